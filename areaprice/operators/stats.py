@@ -8,8 +8,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.numbers import geometric_mean, nan_to_null, round_half_even
-from ..scratch import broadcast_if_small, stored
+from ..functions.numbers import geometric_mean, nan_to_null, quoted, round_half_even
+from ..scratch import broadcast_if_small, stored_and_observed
 
 STATS = ("arith_mean", "median", "count", "geom_mean")
 
@@ -94,35 +94,24 @@ def _locate_middle(cells: DataFrame, key: str, extra: Iterable[str] = ()) -> Dat
     leave nothing open, for the middle rows are then last of the one and first of the other.
     """
     in_order = Window.partitionBy(key).orderBy("_cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = cells.withColumn("_end", F.col("_base") + F.sum("_n").over(in_order)).withColumn(
-        "_start", F.col("_end") - F.col("_n")
-    )
-
-    def holds(rank: str) -> Column:
-        return (F.col(rank) >= F.col("_start")) & (F.col(rank) < F.col("_end"))
-
-    def known(rank: str) -> Column:
-        return F.max(
-            F.when(holds(rank) & (F.col(rank) == F.col("_start")), F.col("_lo")).when(
-                holds(rank) & ((F.col(rank) == F.col("_end") - 1) | (F.col("_lo") == F.col("_hi"))), F.col("_hi")
-            )
-        )
-
-    search = [F.max(name).alias(name) for name in ("_cell", "_start", "_lo", "_hi", "_r0", "_r1", *extra)]
-    search.append(F.max("_n").alias("_size"))
-    return (
-        ranked.where(holds("_r0") | holds("_r1"))
-        .groupBy(key)
-        .agg(known("_r0").alias("_lower"), known("_r1").alias("_upper"), *search)
-        .withColumnRenamed("_start", "_base")
+    ranked = cells.withColumn("_upto", F.sum("_n").over(in_order)).selectExpr(
+        "*", "_base + _upto - _n as _start", "_base + _upto as _end"
     )
+    holds = "({0} >= _start and {0} < _end)".format
+    known = (
+        "max(case when not {1} then null when {0} = _start then _lo when {0} = _end - 1 or _lo = _hi then _hi end) as {2}"
+    ).format
+    middle = ranked.where(f"{holds('_r0')} or {holds('_r1')}").groupBy(key)
+    search = ["max(_start) as _base", "max(_n) as _size"]
+    search += [f"max({name}) as {name}" for name in ("_cell", "_lo", "_hi", "_r0", "_r1", *extra)]
+    ends = [known("_r0", holds("_r0"), "_lower"), known("_r1", holds("_r1"), "_upper")]
+    return middle.agg(*[F.expr(text) for text in ends + search])
 
 
 def _open(located: DataFrame, key: str) -> DataFrame:
     """Keys with a middle value not yet known, the cell to search and the ranks to look for."""
-    return located.where("_lower is null or _upper is null").select(
-        F.col(key).alias("_key"), F.col("_cell").alias("_in"), "_size", "_base", "_r0", "_r1", "_lo", "_hi"
-    )
+    wanted = located.where("_lower is null or _upper is null").withColumnsRenamed({key: "_key", "_cell": "_in"})
+    return wanted.select("_key", "_in", "_base", "_r0", "_r1", "_lo", "_hi")
 
 
 def _stats_with_exact_median(rows: DataFrame, key: str, stats: list[str]) -> DataFrame:
@@ -132,43 +121,42 @@ def _stats_with_exact_median(rows: DataFrame, key: str, stats: list[str]) -> Dat
     large area is spread over its cells, and the window over an area sees cells, not rows. The outcome, one
     row per area, is stored; where it leaves a middle value open, the rows of one cell are read again.
     """
-    value = F.col("_v")
-    celled = rows.withColumn("_cell", _log_cell(value))
-    sums = [F.count("_v").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")]
+    celled = rows.withColumn("_cell", _log_cell(F.col("_v")))
+    sums = ["count(_v) as _n", "min(_v) as _lo", "max(_v) as _hi"]
     if "arith_mean" in stats:
-        sums.append(F.sum("_v").alias("_sum"))
+        sums.append("sum(_v) as _sum")
     if "geom_mean" in stats:
-        log = F.ln(F.when(value > 0, value))
-        sums += [F.sum(log).alias("_sum_log"), F.count(log).alias("_n_log")]
+        sums += ["sum(case when _v > 0 then ln(_v) end) as _sum_log", "count_if(_v > 0) as _n_log"]
     # Missing values drop out here and not by a filter on the rows, which Catalyst would push down through
     # the parsing of the price and so parse it once more.
-    cells = celled.groupBy(key, "_cell").agg(*sums).where("_n > 0")
+    cells = celled.groupBy(key, "_cell").agg(*[F.expr(text) for text in sums]).where("_n > 0")
 
     whole = Window.partitionBy(key)
     totals = [name for name in ("_n", "_sum", "_sum_log", "_n_log") if name in cells.columns]
-    cells = cells.withColumns({f"_all{name}": F.sum(name).over(whole) for name in totals}).withColumns(
-        {
-            "_base": F.lit(0).cast("bigint"),
-            "_r0": F.expr("(_all_n - 1) div 2"),
-            "_r1": F.expr("_all_n div 2"),
-        }
+    cells = cells.withColumns({f"_all{name}": F.sum(name).over(whole) for name in totals}).selectExpr(
+        "*", "0L as _base", "(_all_n - 1) div 2 as _r0", "_all_n div 2 as _r1"
     )
-    located = stored(_locate_middle(cells, key, [f"_all{name}" for name in totals]))
-    result = {"median": (F.col("_lower") + F.col("_upper")) / 2, "count": F.col("_all_n")}
-    if "arith_mean" in stats:
-        result["arith_mean"] = F.col("_all_sum") / F.col("_all_n")
-    if "geom_mean" in stats:
-        result["geom_mean"] = F.when(F.col("_all_n_log") > 0, F.exp(F.col("_all_sum_log") / F.col("_all_n_log")))
-
-    wanted = _open(located, key)
-    n_open, largest = wanted.agg(F.count(F.lit(1)), F.max("_size")).first()
-    if n_open:
-        middles = _middle_values(celled, key, broadcast_if_small(wanted, n_open), largest)
-        known = F.coalesce("_lower_found", "_lower").alias("_lower"), F.coalesce("_upper_found", "_upper").alias("_upper")
+    is_open = F.expr("_lower is null or _upper is null")
+    located, seen = stored_and_observed(
+        _locate_middle(cells, key, [f"_all{name}" for name in totals]),
+        n_open=F.count_if(is_open),
+        largest=F.max(F.when(is_open, F.col("_size"))),
+    )
+    if n_open := seen["n_open"]:
+        middles = _middle_values(celled, key, broadcast_if_small(_open(located, key), n_open), seen["largest"])
+        all_names = [f"_all{name}" for name in totals]
         located = located.join(
             broadcast_if_small(middles, n_open), F.col(key).eqNullSafe(F.col("_found")), "left"
-        ).select(key, *known, *[f"_all{name}" for name in totals])
-    return located.select(key, *[result[name].alias(name) for name in stats])
+        ).selectExpr(
+            quoted(key), "coalesce(_lower_found, _lower) as _lower", "coalesce(_upper_found, _upper) as _upper", *all_names
+        )
+    result = {
+        "arith_mean": "_all_sum / _all_n",
+        "median": "(_lower + _upper) / 2",
+        "count": "_all_n",
+        "geom_mean": "case when _all_n_log > 0 then exp(_all_sum_log / _all_n_log) end",
+    }
+    return located.selectExpr(quoted(key), *[f"{result[name]} as {name}" for name in stats])
 
 
 def _middle_values(celled: DataFrame, key: str, wanted: DataFrame, largest: int) -> DataFrame:
@@ -182,9 +170,9 @@ def _middle_values(celled: DataFrame, key: str, wanted: DataFrame, largest: int)
     ranks = ["_base", "_r0", "_r1"]
     part = _linear_cell(F.col("_v"), F.col("_lo"), F.col("_hi")).alias("_cell")
     prices = celled.join(wanted, inside).groupBy(key, "_v", part, *ranks).agg(F.count(F.lit(1)).alias("_n"))
-    single = [F.col("_v").alias(name) for name in ("_cell", "_lo", "_hi")]
+    single = [quoted(key), "_n", *ranks, "_v as _cell", "_v as _lo", "_v as _hi"]
     if largest <= REFINE_ABOVE:
-        found = [_locate_middle(prices.select(key, "_n", *ranks, *single), key)]
+        found = [_locate_middle(prices.selectExpr(single), key)]
     else:
         parts = prices.groupBy(key, "_cell", *ranks).agg(
             F.sum("_n").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")
@@ -193,10 +181,10 @@ def _middle_values(celled: DataFrame, key: str, wanted: DataFrame, largest: int)
         singles = prices.drop(*ranks).join(_open(narrowed, key).drop("_lo", "_hi"), inside)
         found = [
             narrowed.where("_lower is not null and _upper is not null"),
-            _locate_middle(singles.select(key, "_n", *ranks, *single), key),
+            _locate_middle(singles.selectExpr(single), key),
         ]
-    ends = [F.col(key).alias("_found"), F.col("_lower").alias("_lower_found"), F.col("_upper").alias("_upper_found")]
-    return functools.reduce(DataFrame.union, [part.select(ends) for part in found])
+    ends = [f"{quoted(key)} as _found", "_lower as _lower_found", "_upper as _upper_found"]
+    return functools.reduce(DataFrame.union, [part.selectExpr(ends) for part in found])
 
 
 def metric_domain(df: DataFrame, column: str) -> DataFrame:

@@ -5,8 +5,9 @@ from __future__ import annotations
 import functools
 import tempfile
 import uuid
+from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # A side of a join is broadcast only if it was counted and has at most this many (narrow) rows.
@@ -35,6 +36,13 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stored_and_observed(df: DataFrame, **measures: Column) -> tuple[DataFrame, dict[str, Any]]:
+    """The stored rows and aggregates over them, which are taken while they are written."""
+    seen = Observation()
+    table = stored(df.observe(seen, *[measure.alias(name) for name, measure in measures.items()]))
+    return table, seen.get
+
+
 def broadcast_if_small(df: DataFrame, rows: int) -> DataFrame:
     """Hint a broadcast of a table with a known number of rows, unless that is too many."""
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df

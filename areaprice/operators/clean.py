@@ -6,8 +6,9 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.numbers import number_of
+from ..functions.numbers import number_of, quoted
 
 # Building years and registration period of the filtered map.
 YEARS = (1964, 1972)
@@ -18,8 +19,14 @@ def clean_prices(df: DataFrame, price: str = "price_per_sqm", policy: str = "pos
     """Make the price numeric and keep ``positive`` prices only, or all that are ``present``."""
     if policy not in ("positive", "present"):
         raise ValueError(f"Unknown price policy: {policy}")
-    priced = df.withColumn(price, number_of(df, price))
-    return priced.where(F.col(price) > 0) if policy == "positive" else priced.where(F.col(price).isNotNull())
+    kind, value = df.schema[price].dataType, F.col(quoted(price))
+    if isinstance(kind, T.StringType):
+        df = df.withColumn(price, number_of(df, price))
+    elif isinstance(kind, (T.DoubleType, T.FloatType)):
+        df = df.where(~F.isnan(value))
+    # On a numeric column this is a plain comparison, which file formats with statistics can use.
+    kept = df.where(value > 0 if policy == "positive" else value.isNotNull())
+    return kept.withColumn(price, value.cast("double"))
 
 
 def drop_incomplete(df: DataFrame, columns: Iterable[str]) -> DataFrame:

@@ -1,0 +1,226 @@
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from areaprice.operators.joins import with_area_key
+from areaprice.operators.stats import area_stats
+from areaprice.sources.features import read_features
+from areaprice.sources.sinks import write_csv, write_features, write_layer
+from areaprice.sources.tables import (
+    clean_bids,
+    metrics_or_compute,
+    read_bids,
+    read_deals,
+    read_metrics,
+    read_probed,
+    read_table,
+)
+
+HEADER = "quarter_cad_number;street;wall_material_code;year_build;floor;area;period_start_date;deal_price;price_per_sqm"
+LINES = [
+    HEADER,
+    "78:10:0005225;Меншиковский;Крупнопанельные;1967;1;57.1;01.07.2025;1600000;28021.02",
+    "78:10:0005224;Ёлочная «№7»;NA;1966;2;45.6;01.07.2025;3300000;72368.42",
+    ";Руставели;Кирпичные;;5;44,3;01.07.2025;1700000;n/a",
+]
+
+
+@pytest.fixture
+def deals_file(tmp_path):
+    def write(name="deals.csv", sep=";", encoding="utf-8", end="\r\n"):
+        path = tmp_path / name
+        path.write_bytes((end.join(line.replace(";", sep) for line in LINES) + end).replace("44,3", "44.3x").encode(encoding))
+        return str(path)
+
+    return write
+
+
+def rows(df):
+    return sorted(map(repr, df.collect()))
+
+
+def test_missing_and_unsupported_tables(spark, tmp_path):
+    for name in ("nope.csv", "nope.tsv", "nope.parquet"):
+        with pytest.raises(FileNotFoundError):
+            read_table(spark, str(tmp_path / name))
+    with pytest.raises(FileNotFoundError):
+        read_features(spark, str(tmp_path / "nope.geojson"))
+    with pytest.raises(ValueError, match="Unsupported"):
+        read_table(spark, str(tmp_path / "book.xlsx"))
+
+
+def test_table_formats(spark, tmp_path):
+    (tmp_path / "t.CSV").write_text('id,note\n1,"a, ""b"""\n2,NA\n')
+    (tmp_path / "t.tsv").write_text('id\tnote\n1\ta, "b"\n2\tnull\n')
+    expected = ["Row(id='1', note='a, \"b\"')", "Row(id='2', note=None)"]
+    assert rows(read_table(spark, str(tmp_path / "t.CSV"))) == expected
+    assert rows(read_table(spark, str(tmp_path / "t.tsv"))) == expected
+    spark.createDataFrame([("1", 2.5)], "id string, v double").write.parquet(str(tmp_path / "t.parquet"))
+    assert rows(read_table(spark, str(tmp_path / "t.parquet"))) == ["Row(id='1', v=2.5)"]
+    typed = read_table(spark, str(tmp_path / "t.CSV"), schema="id int, note string")
+    assert typed.schema["id"].dataType.simpleString() == "int"
+
+
+def test_deals_are_typed(spark, deals_file):
+    found = {r.street: r for r in read_deals(spark, deals_file()).collect()}
+    first = found["Меншиковский"]
+    assert (first.quarter_cad_number, first.year_build, first.floor, first.price_per_sqm) == ("78:10:0005225", 1967, 1, 28021.02)
+    assert found["Ёлочная «№7»"].wall_material_code is None
+    last = found["Руставели"]
+    assert (last.quarter_cad_number, last.year_build, last.area, last.price_per_sqm) == (None, None, None, None)
+
+
+@pytest.mark.parametrize("sep", [";", ","])
+@pytest.mark.parametrize("encoding", ["utf-8", "cp1251"])
+def test_encodings_and_separators_agree(spark, deals_file, sep, encoding):
+    plain = rows(read_deals(spark, deals_file()))
+    path = deals_file("other.csv", sep, encoding)
+    assert rows(read_deals(spark, path, sep=sep, encoding=encoding)) == plain
+    assert rows(read_probed(spark, path)) == plain
+
+
+def test_probe_reads_a_folder_of_both_encodings(spark, tmp_path):
+    folder = tmp_path / "mixed"
+    folder.mkdir()
+    for name, encoding in (("a.csv", "utf-8"), ("b.csv", "cp1251")):
+        (folder / name).write_bytes("\n".join(LINES).encode(encoding))
+    streets = [r.street for r in read_probed(spark, str(folder)).collect()]
+    assert sorted(streets) == sorted(2 * ["Меншиковский", "Ёлочная «№7»", "Руставели"])
+
+
+def test_probe_without_the_column(spark, tmp_path):
+    (tmp_path / "x.csv").write_text("a;b\n1;2\n")
+    with pytest.raises(ValueError, match="price_per_sqm"):
+        read_probed(spark, str(tmp_path / "x.csv"))
+
+
+def test_headers_that_disagree_are_an_error(spark, tmp_path):
+    folder = tmp_path / "parts"
+    folder.mkdir()
+    (folder / "a.csv").write_text("quarter_cad_number;price_per_sqm\na;1\n")
+    (folder / "b.csv").write_text("price_per_sqm;quarter_cad_number\n1;a\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_deals(spark, str(folder)).collect()
+
+
+def test_bids(spark, tmp_path):
+    path = tmp_path / "bids.csv"
+    path.write_text(
+        'Адрес,Широта,Долгота,"Цена, руб","Цена за кв.м, руб.","Площадь, кв.м"\n'
+        '"Санкт-Петербург г., Науки просп., 14К2",60.013398,30.401981,8800000,195 556,45\n'
+        '"без цены",60.0,30.4,8800000,н/д,45\n'
+        '"без места",,30.4,8800000,195556,45\n',
+        encoding="utf-8",
+    )
+    (row,) = read_bids(spark, str(path)).collect()
+    assert (row["Адрес"], row.lat, row.lon, row.price_per_sqm) == ("Санкт-Петербург г., Науки просп., 14К2", 60.013398, 30.401981, 195556.0)
+    assert row["Цена, руб"] == "8800000"
+
+
+def test_bids_with_numeric_columns(spark):
+    bids = spark.createDataFrame(
+        [("a", 60.0, 30.0, 195556), ("b", float("nan"), 30.0, 1)], "`Адрес` string, `Широта` double, `Долгота` double, `Цена за кв.м, руб.` long"
+    )
+    assert [r.price_per_sqm for r in clean_bids(bids).collect()] == [195556.0]
+
+
+def test_metrics(spark, tmp_path):
+    path = tmp_path / "metrics.csv"
+    path.write_text("quarter_cad_number,arith_mean,median,count,geom_mean\n78:10:1,1.5,2.5,3,bad\n")
+    (row,) = read_metrics(spark, str(path)).collect()
+    assert (row.arith_mean, row.median, row["count"], row.geom_mean) == (1.5, 2.5, 3, None)
+    path.write_text("quarter_cad_number,median\n78:10:1,2.5\n")
+    with pytest.raises(ValueError, match="arith_mean.*count.*geom_mean"):
+        read_metrics(spark, str(path))
+
+
+def test_metrics_reused_or_computed(spark, tmp_path):
+    deals = spark.createDataFrame([("a", 1.0), ("a", 2.0)], "quarter_cad_number string, price_per_sqm double")
+    path = str(tmp_path / "m.parquet")
+    computed = metrics_or_compute(spark, path, deals)
+    assert rows(computed) == ["Row(quarter_cad_number='a', median=1.5, count=2)"]
+    area_stats(spark.createDataFrame([("b", 5.0)], deals.schema)).write.parquet(path)
+    read = metrics_or_compute(spark, path, deals)
+    assert rows(read) == ["Row(quarter_cad_number='b', median=5.0, count=1)"] and read.schema == computed.schema
+
+
+FEATURES = [
+    {"type": "Feature", "id": 7, "geometry": {"type": "Point", "coordinates": [1, 2.50]}, "properties": {"label": "a", "n": 1}},
+    {"type": "Feature", "id": "x-1", "geometry": {"type": "Polygon", "coordinates": [[[0, 0], [1, 0], [1, 1], [0, 0]]], "crs": {"type": "name"}}, "properties": {"label": "b", "options": {"cad_num": "c"}}},
+    {"type": "Feature", "geometry": None, "properties": None},
+]
+
+
+@pytest.mark.parametrize("layout", ["document", "pretty", "lines", "sequence", "one_per_line"])
+def test_geojson_layouts(spark, tmp_path, layout):
+    features = [json.dumps(f) for f in FEATURES]
+    text = {
+        "document": json.dumps({"type": "FeatureCollection", "features": FEATURES}),
+        "pretty": json.dumps({"type": "FeatureCollection", "features": FEATURES}, indent=1),
+        "lines": "\n".join(features),
+        "sequence": "".join(f"\x1e{line}\n" for line in features),
+        "one_per_line": '{\n"type": "FeatureCollection",\n"features": [\n' + ",\n".join(features) + "\n]\n}\n",
+    }[layout]
+    path = tmp_path / "f.geojson"
+    path.write_text(text)
+    read = read_features(spark, str(path), lines=layout not in ("document", "pretty"))
+    found = read.select("id", "type", "geometry.type", F.from_json("properties", "label string").label).collect()
+    assert sorted(map(tuple, found), key=repr) == sorted(
+        [("7", "Feature", "Point", "a"), ("x-1", "Feature", "Polygon", "b"), (None, "Feature", None, None)], key=repr
+    )
+
+
+def test_broken_geojson_is_an_error(spark, tmp_path):
+    (tmp_path / "f.geojson").write_text('{"type":"Feature","properties":{}}\n{"type":"Feature","prop\n')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_features(spark, str(tmp_path / "f.geojson"), lines=True).collect()
+
+
+def test_geojson_key_column(spark, tmp_path):
+    path = tmp_path / "f.geojson"
+    path.write_text("\n".join(map(json.dumps, FEATURES)))
+    assert sorted(r.label or "" for r in read_features(spark, str(path), lines=True, id_column="label").collect()) == ["", "a", "b"]
+    assert "id" in read_features(spark, str(path), lines=True, id_column="id").columns
+    with pytest.raises(KeyError, match="area_id"):
+        read_features(spark, str(path), lines=True, id_column="area_id")
+
+
+def test_geojson_round_trip_keeps_properties(spark, tmp_path):
+    source = tmp_path / "in.geojson"
+    source.write_text("\n".join(map(json.dumps, FEATURES)))
+    keyed = with_area_key(read_features(spark, str(source), lines=True)).selectExpr(
+        "*", "cast(null as double) as median", "cast(3 as bigint) as count", "'new' as label"
+    )
+    out = write_features(keyed, str(tmp_path / "out"), ["cadnum", "median", "count", "label"], drop=["n"])
+    written = {row.value for row in spark.read.text(out).collect()}
+    found = {f.get("id"): f for f in map(json.loads, written)}
+    assert found[7]["properties"] == {"cadnum": "a", "median": None, "count": 3, "label": "new"}
+    assert found[7]["geometry"] == {"type": "Point", "coordinates": [1, 2.5]}
+    assert found["x-1"]["properties"]["options"] == {"cad_num": "c"}
+    assert found[None]["geometry"] is None and found[None]["properties"]["cadnum"] is None
+    assert all('"median":null' in line and line.count('"label"') == 1 for line in written)
+    again = read_features(spark, out, lines=True)
+    assert {r.id for r in again.collect()} == {"7", "x-1", None}
+
+
+def test_csv_round_trip(spark, tmp_path):
+    table = spark.createDataFrame([('a "q", b', 1.5), ("ё;\\", None), (None, 2.0)], "`имя` string, v double")
+    for encoding in ("UTF-8", "cp1251"):
+        path = write_csv(table, str(tmp_path / f"deep/{encoding}.csv"), encoding=encoding)
+        back = read_table(spark, path, encoding=encoding).selectExpr("`имя`", "cast(v as double) as v")
+        assert rows(back) == rows(table)
+    write_csv(table.limit(1), str(tmp_path / "deep/UTF-8.csv"))
+    assert read_table(spark, str(tmp_path / "deep/UTF-8.csv")).count() == 1
+
+
+def test_cp1251_lacks_some_characters(spark, tmp_path):
+    path = write_csv(spark.createDataFrame([("Ж→é«ё»",)], "t string"), str(tmp_path / "x.csv"), encoding="cp1251")
+    assert read_table(spark, path, encoding="cp1251").first().t == "Ж??«ё»"
+
+
+def test_layers_are_partitioned(spark, tmp_path):
+    layers = spark.createDataFrame([("one", 1.0), ("two", 2.0), ("two", 3.0)], "layer string, value double")
+    path = write_layer(layers, str(tmp_path / "layers"))
+    assert sorted(p.name for p in (tmp_path / "layers").iterdir() if p.is_dir()) == ["layer=one", "layer=two"]
+    assert spark.read.parquet(path).where("layer = 'two'").count() == 2

@@ -11,7 +11,6 @@ from ..functions import geometry as geo
 from ..functions.keys import key_suffix
 from ..functions.labels import area_label, bid_popup
 from ..functions.numbers import lenient_double, quoted
-from ..functions.colors import class_color
 from ..operators import centers, joins, layers, stats
 from ..operators.clean import clean_prices, filter_period
 from ..plans import maps

@@ -1,8 +1,8 @@
-"""Colour scales as column expressions."""
+"""Colour scales."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The public ColorBrewer nine-colour palettes.
@@ -26,53 +26,47 @@ MISSING_COLOR = "#dddddd"
 MISSING_CLASS_COLOR = "black"
 
 
-def _edge(lo: Column, hi: Column, step: Column, steps: int) -> Column:
-    return lo + (hi - lo) * (step / F.lit(float(steps)))
+def ramp_color(df: DataFrame, name: str, value: str, lo: str, hi: str, palette: str = "YlOrRd") -> DataFrame:
+    """Add a column with the ``#rrggbbaa`` of a value on a linear scale from ``lo`` to ``hi``.
 
-
-def ramp_segment(value: Column, lo: Column, hi: Column, steps: int = 8) -> Column:
-    """Index of the ramp segment that holds the value, 0 to ``steps - 1``; an edge belongs to the lower one."""
-    passed = F.lit(0)
-    for step in range(1, steps):
-        passed = passed + F.when(value > _edge(lo, hi, F.lit(step), steps), 1).otherwise(0)
-    return passed
-
-
-def ramp_color(value: Column, lo: Column, hi: Column, palette: str = "YlOrRd") -> Column:
-    """``#rrggbbaa`` of a value on a linear scale from ``lo`` to ``hi``; NULL for a missing value.
-
-    Colours between two palette entries are interpolated and each channel is cut to a byte. Values outside
-    the scale take its end colours; a scale of one single value has only the first colour.
+    ``value``, ``lo`` and ``hi`` are SQL expressions. Colours between two palette entries are interpolated and
+    each channel is cut to a byte. Values outside the scale take its end colours, a scale of one single value
+    has only the first colour, and a missing value gives NULL. The steps are columns of their own, so that
+    each is computed once per row.
     """
     colors = PALETTES[palette].split()
     steps = len(colors) - 1
-    segment = ramp_segment(value, lo, hi, steps)
-    start, end = _edge(lo, hi, segment, steps), _edge(lo, hi, segment + 1, steps)
-    share = F.when(value <= lo, 0.0).when(value >= hi, 1.0).otherwise((value - start) / (end - start))
-    packed = F.lit(255).cast("bigint")
+    edge = f"({lo} + ({hi} - {lo}) * (({{}}) / {steps}D))".format
+    segment = " + ".join(f"int({value} > {edge(step)})" for step in range(1, steps))
+    share = (
+        f"case when {value} <= {lo} then 0D when {value} >= {hi} then 1D "
+        f"else ({value} - {edge('_segment')}) / ({edge('_segment + 1')} - {edge('_segment')}) end"
+    )
+    channels = []
     for channel in range(3):
-        levels = [int(color[2 * channel : 2 * channel + 2], 16) / 255.0 for color in colors]
-        low = F.get(F.lit(levels[:-1]), segment)
-        high = F.get(F.lit(levels[1:]), segment)
-        byte = F.floor(((1.0 - share) * low + share * high) * 255.9999)
-        packed = packed + byte * F.lit(2 ** (8 * (3 - channel)))
-    return F.when(value.isNotNull(), F.concat(F.lit("#"), F.lower(F.lpad(F.hex(packed), 8, "0"))))
+        levels = [f"{int(color[2 * channel : 2 * channel + 2], 16) / 255!r}D" for color in colors]
+        low, high = (f"get(array({', '.join(part)}), _segment)" for part in (levels[:-1], levels[1:]))
+        channels.append(f"floor(((1D - _share) * {low} + _share * {high}) * 255.9999D) * {256 ** (3 - channel)}L")
+    packed = " + ".join([*channels, "255L"])
+    return (
+        df.selectExpr("*", f"{segment} as _segment")
+        .selectExpr("*", f"{share} as _share")
+        .selectExpr("*", f"'#' || lower(lpad(hex({packed}), 8, '0')) as {name}")
+        .drop("_segment", "_share")
+    )
 
 
-def class_index(value: Column, lo: Column, hi: Column, classes: int = 6) -> Column:
+def class_index(value: str, lo: str, hi: str, classes: int = 6) -> Column:
     """Equal-width class 0 to ``classes - 1`` of a value between ``lo`` and ``hi``; NULL if missing.
 
     An edge belongs to the upper class, the greatest value to the last one; with a single value there is only
     class 0.
     """
-    width = (hi - lo) / F.lit(float(classes))
-    passed = F.lit(0)
-    for step in range(1, classes):
-        passed = passed + F.when(value >= lo + width * float(step), 1).otherwise(0)
-    return F.when(value.isNotNull(), F.when(hi > lo, passed).otherwise(0))
+    passed = " + ".join(f"int({value} >= {lo} + (({hi} - {lo}) / {classes}D) * {step}D)" for step in range(1, classes))
+    return F.expr(f"case when {value} is null then null when {hi} > {lo} then {passed} else 0 end")
 
 
-def class_color(index: Column, classes: int = 6) -> Column:
+def class_color(index: str, classes: int = 6) -> Column:
     """Colour of a class; NULL index gives the colour of missing values."""
-    colors = ["#" + color for color in CLASS_PALETTES[classes].split()]
-    return F.coalesce(F.get(F.lit(colors), index), F.lit(MISSING_CLASS_COLOR))
+    colors = ", ".join(f"'#{color}'" for color in CLASS_PALETTES[classes].split())
+    return F.expr(f"coalesce(get(array({colors}), {index}), '{MISSING_CLASS_COLOR}')")

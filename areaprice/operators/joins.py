@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.keys import KEY_PATHS, area_key
@@ -39,19 +40,27 @@ def join_features(
     left_key, right_key = F.col(quoted(on)), F.col("_right_key")
     matches = left_key.eqNullSafe(right_key) if null_keys_match else left_key == right_key
 
-    def result(joined: DataFrame, key: Column) -> DataFrame:
-        own = [key.alias(on) if name == on else F.col(quoted(name)) for name in left.columns]
-        return joined.select(*own, *[F.col(quoted(name)) for name in right.columns if name != "_right_key"])
-
-    if how == "right":
-        return result(left.join(right, matches, "right"), right_key)
-    if how != "outer":
-        return result(left.join(right, matches, how), left_key)
-    # A full outer join cannot split a key with very many rows between tasks; its two halves can.
-    lone = right.join(left.select(F.col(quoted(on))).distinct(), matches, "left_anti")
-    empty = [F.lit(None).cast(field.dataType).alias(field.name) for field in left.schema if field.name != on]
-    lone = lone.select(right_key.alias(on), *empty, *[F.col(quoted(c)) for c in right.columns if c != "_right_key"])
-    return result(left.join(right, matches, "left"), left_key).unionByName(lone)
+    def result(joined: DataFrame) -> DataFrame:
+        """All columns in order; those of a side that is not there as NULL."""
+        key = F.coalesce(*[k for k, name in ((left_key, on), (right_key, "_right_key")) if name in joined.columns])
+        columns = []
+        for field in [*left.schema, *right.schema]:
+            if field.name == on:
+                columns.append(key.alias(on))
+            elif field.name != "_right_key":
+                present = field.name in joined.columns
+                column = F.col(quoted(field.name)) if present else F.lit(None).cast(field.dataType)
+                columns.append(column.alias(field.name))
+        return joined.select(columns)
+
+    # An outer join can neither broadcast the side it preserves nor split a hot key of the other side. The
+    # inner join can, and what remains is looked up among distinct keys.
+    parts = [result(left.join(right, matches, "inner"))]
+    if how in ("left", "outer"):
+        parts.append(result(left.join(right.select("_right_key").distinct(), matches, "left_anti")))
+    if how in ("right", "outer"):
+        parts.append(result(right.join(left.select(left_key).distinct(), matches, "left_anti")))
+    return functools.reduce(DataFrame.unionByName, parts)
 
 
 def with_area_key(features: DataFrame, paths: tuple[str, ...] = KEY_PATHS) -> DataFrame:

@@ -44,24 +44,23 @@ def color_ramp(
 
 
 def _ramp(df: DataFrame, metric: str, palette: str, missing: str, opacity: tuple[float, float]) -> DataFrame:
-    value = nan_to_null(F.col(quoted(metric)).cast("double"))
-    colored = df.withColumn("_value", value)
-    color = ramp_color(F.col("_value"), F.col("_scale.lo"), F.col("_scale.hi"), palette)
+    valued = df.withColumn("_value", nan_to_null(F.col(quoted(metric)).cast("double")))
+    colored = ramp_color(valued, "_color", "_value", "_scale.lo", "_scale.hi", palette)
     style = {
-        "fill_color": F.coalesce(color, F.lit(missing)),
+        "fill_color": F.coalesce("_color", F.lit(missing)),
         "fill_opacity": F.when(F.col("_value").isNotNull(), opacity[0]).otherwise(opacity[1]),
     }
-    return colored.withColumns(style).drop("_value")
+    return colored.withColumns(style).drop("_value", "_color")
 
 
 def class_bins(df: DataFrame, metric: str, domain: DataFrame, classes: int = 6) -> DataFrame:
     """Add ``class`` (0 to ``classes - 1``, NULL if missing), ``fill_color`` and ``fill_opacity``."""
     value = nan_to_null(F.col(quoted(metric)).cast("double"))
-    index = class_index(F.col("_value"), F.col("_scale.lo"), F.col("_scale.hi"), classes)
+    index = class_index("_value", "_scale.lo", "_scale.hi", classes)
     return (
         df.withColumns({"_scale": _bounds(domain), "_value": value})
         .withColumn("class", index)
-        .withColumns({"fill_color": class_color(F.col("class"), classes), "fill_opacity": F.lit(CLASS_OPACITY)})
+        .withColumns({"fill_color": class_color("class", classes), "fill_opacity": F.lit(CLASS_OPACITY)})
         .drop("_scale", "_value")
     )
 

@@ -11,12 +11,16 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # A side of a join is broadcast only if it was counted and has at most this many (narrow) rows.
-BROADCAST_ROWS = 1_000_000
+BROADCAST_ROWS = 2_000_000
 
 
 def scratch_path(spark: SparkSession) -> str:
-    """A new path below ``spark.checkpoint.dir``; only where that is unset (tests), below a temporary folder."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or _own_folder()
+    """A new path below ``spark.checkpoint.dir``; a local session without that uses a temporary folder."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.conf.get("spark.master", "local").startswith("local"):
+            raise RuntimeError("Set spark.checkpoint.dir to a folder that all executors share")
+        root = _own_folder()
     return f"{root.rstrip('/')}/areaprice/{uuid.uuid4().hex}"
 
 

@@ -1,4 +1,4 @@
-"""Every registered query against its SQL in DuckDB, on the test tables."""
+"""Every registered query against its SQL in DuckDB, and its plan against what does not scale."""
 
 import glob
 import os
@@ -28,8 +28,12 @@ def test_entry(spark):
 
 
 @pytest.mark.parametrize("name", sorted(contract.queries()))
-def test_query_equals_sql(spark, database, name):
+def test_query_equals_sql(spark, database, capsys, name):
     found = contract.queries()[name](spark, SF)
+    found.explain("formatted")
+    plan = capsys.readouterr().out
+    for word in ("Python", "ArrowEval", "CartesianProduct", "BroadcastNestedLoopJoin", "Scan ExistingRDD"):
+        assert word not in plan
     cursor = database.execute(contract.oracle_sql()[name])
     names = [column[0] for column in cursor.description]
     assert sorted(found.columns) == sorted(names)

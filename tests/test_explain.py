@@ -26,13 +26,6 @@ def count(pattern, text):
     return len(re.findall(pattern, text))
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
-def test_no_python_and_no_cross_join(spark, plan, name):
-    text = plan(QUERIES[name](spark, SF))
-    for word in ("Python", "ArrowEval", "CartesianProduct", "BroadcastNestedLoopJoin", "Scan ExistingRDD"):
-        assert word not in text, word
-
-
 def test_mean_and_count_take_one_shuffle(spark, plan):
     deals = clean_prices(tables.deals(spark, SF))
     text = plan(stats.area_stats(deals, stats=["arith_mean", "count", "geom_mean"]))

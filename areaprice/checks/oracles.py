@@ -131,7 +131,7 @@ def domain(source: str, column: str = "median", name: str = "domain") -> str:
 def area_rows(layer: str, metric: str, source: str, features: str, palette: str, shown: tuple[float, float], join: str) -> str:
     """Rows of one area layer with all columns of a map row."""
     return f"""select '{layer}' as layer, cadnum, count, {ramp(metric, "lo", "hi", palette)} as fill_color,
-        {opacity(metric, *shown)} as fill_opacity, round({metric}, 4) as value, null::double as lat, null::double as lon,
+        {opacity(metric, *shown)} as fill_opacity, {metric if metric == "median" else f"round({metric}, 4)"} as value, null::double as lat, null::double as lon,
         null::varchar as text
         from {features} {join} join {source} on cadnum = quarter_cad_number,
         (select min({metric}) as lo, max({metric}) as hi from {source})"""
@@ -230,7 +230,7 @@ ORACLES = {
     "read_probed": sql(f"select {DEAL_COLUMNS}, f as file from typed, (values ('old'), ('new')) files(f)", "typed"),
     "read_bids": sql("select address, lat, lon, price_per_sqm from bids", "bids"),
     "read_metrics": sql(
-        """select quarter_cad_number, round(arith_mean, 4) as arith_mean, round(median, 4) as median,
+        """select quarter_cad_number, round(arith_mean, 4) as arith_mean, median,
             round(geom_mean, 4) as geom_mean, count from metrics""",
         "metrics",
     ),

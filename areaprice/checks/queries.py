@@ -54,6 +54,13 @@ def median_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored(stats.area_median(priced(spark, sf_dir)))
 
 
+def value() -> Column:
+    """Value of a layer: medians are exact, the means that share a column with them are rounded."""
+    medians = layers.LAYER_MEDIAN, maps.HEAT_LAYERS["median"], maps.MEDIAN_TITLE
+    exact = F.col("layer").isin(*medians)
+    return F.when(exact, F.col("value")).otherwise(F.round("value", 4)).alias("value")
+
+
 STAT_COLUMNS = ["quarter_cad_number", "median", "count"]
 AREA_COLUMNS = ["layer", "cadnum", "count", "fill_color", "fill_opacity"]
 
@@ -108,7 +115,7 @@ def read_bids(spark, sf_dir):
 def read_metrics(spark, sf_dir):
     path = sinks.write_csv(metrics(spark, sf_dir), scratch_path(spark) + ".csv")
     read = sources.read_metrics(spark, path)
-    return read.select("quarter_cad_number", *rounded(arith_mean=4, median=4, geom_mean=4), "count")
+    return read.select("quarter_cad_number", "median", *rounded(arith_mean=4, geom_mean=4), "count")
 
 
 @query
@@ -158,7 +165,7 @@ def write_geojson(spark, sf_dir):
 def write_layer(spark, sf_dir):
     areas = layers.area_layers(tables.keyed_features(spark, sf_dir), metrics(spark, sf_dir), maps.METRIC_LAYERS, unique=True)
     path = sinks.write_layer(areas, scratch_path(spark))
-    return spark.read.parquet(path).select(*AREA_COLUMNS, F.round("value", 4).alias("value"))
+    return spark.read.parquet(path).select(*AREA_COLUMNS, value())
 
 
 # Cleaning and filters
@@ -318,8 +325,9 @@ def color_ramp(spark, sf_dir):
 
 @query
 def class_bins(spark, sf_dir):
-    joined = joins.lookup_stats(tables.keyed_features(spark, sf_dir), median_metrics(spark, sf_dir), ["median"], unique=True)
-    binned = layers.class_bins(joined, "median", stats.metric_domain(median_metrics(spark, sf_dir), "median"), CLASSES)
+    medians = median_metrics(spark, sf_dir)
+    joined = joins.lookup_stats(tables.keyed_features(spark, sf_dir), medians, ["median"], unique=True)
+    binned = layers.class_bins(joined, "median", stats.metric_domain(medians, "median"), CLASSES)
     return binned.select("cadnum", "median", "class", "fill_color", "fill_opacity")
 
 
@@ -370,7 +378,8 @@ def _map_rows(built: maps.MapLayers) -> DataFrame:
     center = built.center.select(F.struct(F.round("lat", 9).alias("lat"), F.round("lon", 9).alias("lon"))).scalar()
     return rows.withColumn("center", center).select(
         *AREA_COLUMNS,
-        *rounded(value=4, lat=9, lon=9),
+        value(),
+        *rounded(lat=9, lon=9),
         "text",
         F.col("center.lat").alias("center_lat"),
         F.col("center.lon").alias("center_lon"),

@@ -12,15 +12,27 @@ _AS_LATIN1 = _HIGH_BYTES.decode("latin-1")
 _AS_CP1251 = _HIGH_BYTES.decode("cp1251")
 
 
+# Latin-1 characters that windows-1251 lacks; written as they are, they would come back as other letters.
+_ONLY_LATIN1 = "".join(c for c in bytes(range(128, 256)).decode("latin-1") if c not in _AS_CP1251)
+
+
+def _unless_ascii(text: Column, changed: Column) -> Column:
+    """Most cells are plain ASCII and are passed on as they are, which is quicker than looking up each letter."""
+    return F.when(text.rlike(r"[^\x00-\x7F]"), changed).otherwise(text)
+
+
 def cp1251_from_latin1(text: Column) -> Column:
     """Text whose windows-1251 bytes were read as Latin-1, put right."""
-    return F.translate(text, _AS_LATIN1, _AS_CP1251)
+    return _unless_ascii(text, F.translate(text, _AS_LATIN1, _AS_CP1251))
 
 
 def cp1251_to_latin1(text: Column) -> Column:
-    """Inverse of :func:`cp1251_from_latin1`; a character that windows-1251 lacks becomes ``?``."""
-    known = F.regexp_replace(text, f"[^\\x00-\\x7F{_AS_CP1251}]", "?")
-    return F.translate(known, _AS_CP1251, _AS_LATIN1)
+    """Inverse of :func:`cp1251_from_latin1`, to be written as Latin-1.
+
+    What windows-1251 lacks becomes ``?``, here or, if Latin-1 lacks it too, in the writer.
+    """
+    unknown = "?" * len(_ONLY_LATIN1)
+    return _unless_ascii(text, F.translate(text, _AS_CP1251 + _ONLY_LATIN1, _AS_LATIN1 + unknown))
 
 
 def utf8_or_cp1251(text: Column) -> Column:
@@ -30,7 +42,7 @@ def utf8_or_cp1251(text: Column) -> Column:
     could mislead and no second pass.
     """
     as_utf8 = F.encode(text, "ISO-8859-1").cast("string")
-    return F.when(F.is_valid_utf8(as_utf8), as_utf8).otherwise(cp1251_from_latin1(text))
+    return _unless_ascii(text, F.when(F.is_valid_utf8(as_utf8), as_utf8).otherwise(F.translate(text, _AS_LATIN1, _AS_CP1251)))
 
 
 def decode_name(name: str) -> str:

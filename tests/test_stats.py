@@ -3,7 +3,6 @@ import random
 import statistics
 
 import pytest
-from pyspark.sql import functions as F
 
 from areaprice.operators import stats
 from areaprice.operators.clean import clean_prices, filter_period, require_columns, require_rows

@@ -126,14 +126,16 @@ def _stats_with_exact_median(rows: DataFrame, key: str, stats: list[str]) -> Dat
     if "arith_mean" in stats:
         sums.append("sum(_v) as _sum")
     if "geom_mean" in stats:
-        sums += ["sum(case when _v > 0 then ln(_v) end) as _sum_log", "count_if(_v > 0) as _n_log"]
+        sums.append("sum(case when _v > 0 then ln(_v) end) as _sum_log")
     # Missing values drop out here and not by a filter on the rows, which Catalyst would push down through
     # the parsing of the price and so parse it once more.
     cells = celled.groupBy(key, "_cell").agg(*[F.expr(text) for text in sums]).where("_n > 0")
 
     whole = Window.partitionBy(key)
-    totals = [name for name in ("_n", "_sum", "_sum_log", "_n_log") if name in cells.columns]
-    cells = cells.withColumns({f"_all{name}": F.sum(name).over(whole) for name in totals}).selectExpr(
+    totals = {name: name for name in ("_n", "_sum", "_sum_log") if name in cells.columns}
+    if "geom_mean" in stats:
+        totals["_n_log"] = "if(_cell > 0, _n, 0L)"  # cells of positive values have positive numbers
+    cells = cells.withColumns({f"_all{name}": F.sum(F.expr(text)).over(whole) for name, text in totals.items()}).selectExpr(
         "*", "0L as _base", "(_all_n - 1) div 2 as _r0", "_all_n div 2 as _r1"
     )
     is_open = F.expr("_lower is null or _upper is null")

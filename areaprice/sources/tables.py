@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import lenient_double, missing_to_null, number_of, quoted, without_spaces
 from ..functions.text import cp1251_from_latin1, decode_name, utf8_or_cp1251
-from ..operators.clean import drop_incomplete, require_columns
+from ..operators.clean import drop_incomplete, keep_known, require_columns
 from ..operators.stats import area_stats
 
 # Column names of the input files.
@@ -147,4 +147,4 @@ def metrics_or_compute(
         metrics = read_table(spark, path)
     except FileNotFoundError:
         metrics = area_stats(deals, stats=[name for name in keep if name != AREA_KEY])
-    return _typed_metrics(metrics.select([name for name in keep if name in metrics.columns]))
+    return _typed_metrics(keep_known(metrics, keep))

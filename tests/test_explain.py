@@ -8,6 +8,8 @@ from areaprice.checks import tables
 from areaprice.checks.queries import QUERIES
 from areaprice.operators import joins, stats
 from areaprice.operators.clean import clean_prices, filter_period
+from areaprice.sources.sinks import write_csv
+from areaprice.sources.tables import read_deals
 
 SF = "/root/testdata/sf0.01"
 
@@ -53,6 +55,14 @@ def test_scans_read_only_needed_columns(spark, plan, tmp_path):
     assert "GreaterThan(price_per_sqm,0.0)" in pushed
 
 
+@pytest.mark.parametrize("encoding", ["UTF-8", "cp1251", "auto"])
+def test_delimited_scans_read_only_needed_columns(spark, plan, tmp_path, encoding):
+    path = write_csv(tables.deals(spark, SF), str(tmp_path / "deals.csv"), sep=";")
+    text = plan(stats.area_stats(clean_prices(read_deals(spark, path, encoding=encoding)), stats=["count"]))
+    schema = re.search(r"ReadSchema: struct<(.*)>", text).group(1)
+    assert schema == "quarter_cad_number:string,price_per_sqm:string"
+
+
 def test_lookup_in_a_small_table_shuffles_no_features(spark, plan):
     metrics = QUERIES["color_ramp"](spark, SF)
     looked_up = joins.lookup_stats(tables.keyed_features(spark, SF), metrics, ["median"], unique=True)

@@ -1 +1 @@
-"""Column-level building blocks: every function takes and returns columns, none starts a job."""
+"""Building blocks made of column expressions; none of them starts a job."""

@@ -9,15 +9,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numbers import geometric_mean, nan_to_null, quoted, round_half_even
-from ..scratch import broadcast_if_small, stored_and_observed
+from ..scratch import stored, stored_and_observed
 
 STATS = ("arith_mean", "median", "count", "geom_mean")
 
 # Resolution of the exact median: logarithmic cells per factor e, then equal cells within one of those.
 LOG_CELLS = 64
 LINEAR_CELLS = 4096
-# Rows in a cell above which its distinct prices are not ranked at once.
-REFINE_ABOVE = 1_000_000
+# Of a key whose middle values are not both known.
+IS_OPEN = "_lower is null or _upper is null"
 APPROX_ACCURACY = 10_000
 
 
@@ -109,9 +109,9 @@ def _locate_middle(cells: DataFrame, key: str, extra: Iterable[str] = ()) -> Dat
 
 
 def _open(located: DataFrame, key: str) -> DataFrame:
-    """Keys with a middle value not yet known, the cell to search and the ranks to look for."""
-    wanted = located.where("_lower is null or _upper is null").withColumnsRenamed({key: "_key", "_cell": "_in"})
-    return wanted.select("_key", "_in", "_base", "_r0", "_r1", "_lo", "_hi")
+    """Keys with a middle value not yet known, the cell to search, its size and the ranks to look for."""
+    renamed = [F.col(key).alias("_key"), F.col("_cell").alias("_in"), F.col("_size").alias("_want")]
+    return located.where(IS_OPEN).select(*renamed, "_base", "_r0", "_r1", "_lo", "_hi")
 
 
 def _stats_with_exact_median(rows: DataFrame, key: str, stats: list[str]) -> DataFrame:
@@ -138,18 +138,11 @@ def _stats_with_exact_median(rows: DataFrame, key: str, stats: list[str]) -> Dat
     cells = cells.withColumns({f"_all{name}": F.sum(F.expr(text)).over(whole) for name, text in totals.items()}).selectExpr(
         "*", "0L as _base", "(_all_n - 1) div 2 as _r0", "_all_n div 2 as _r1"
     )
-    is_open = F.expr("_lower is null or _upper is null")
-    located, seen = stored_and_observed(
-        _locate_middle(cells, key, [f"_all{name}" for name in totals]),
-        n_open=F.count_if(is_open),
-        largest=F.max(F.when(is_open, F.col("_size"))),
-    )
-    if n_open := seen["n_open"]:
-        middles = _middle_values(celled, key, broadcast_if_small(_open(located, key), n_open), seen["largest"])
-        all_names = [f"_all{name}" for name in totals]
-        located = located.join(
-            broadcast_if_small(middles, n_open), F.col(key).eqNullSafe(F.col("_found")), "left"
-        ).selectExpr(
+    all_names = [f"_all{name}" for name in totals]
+    located, seen = stored_and_observed(_locate_middle(cells, key, all_names), n_open=F.count_if(F.expr(IS_OPEN)))
+    if seen["n_open"]:
+        middles = _middle_values(celled, key, _open(located, key), seen["n_open"])
+        located = located.join(middles, F.col(key).eqNullSafe(F.col("_found")), "left").selectExpr(
             quoted(key), "coalesce(_lower_found, _lower) as _lower", "coalesce(_upper_found, _upper) as _upper", *all_names
         )
     result = {
@@ -161,32 +154,38 @@ def _stats_with_exact_median(rows: DataFrame, key: str, stats: list[str]) -> Dat
     return located.selectExpr(quoted(key), *[f"{result[name]} as {name}" for name in stats])
 
 
-def _middle_values(celled: DataFrame, key: str, wanted: DataFrame, largest: int) -> DataFrame:
+def _middle_values(celled: DataFrame, key: str, wanted: DataFrame, n_open: int) -> DataFrame:
     """The two middle values of the keys in ``wanted``: ``_found`` (the key), ``_lower_found``, ``_upper_found``.
 
-    Reads the rows of the one wanted cell per key, a small part of the data, and counts them per distinct
-    price. If a cell has too many rows to rank its prices in one task, it is first narrowed to one of
-    ``LINEAR_CELLS`` equal parts.
+    Reads the rows of the one wanted cell per key, a small part of the data, and stores their counts per
+    distinct price. The cell is then narrowed to one of ``LINEAR_CELLS`` equal parts, and that again, until
+    every middle value is an end of its part. A part that holds two prices is always split, and one step
+    divides the width of a part by ``LINEAR_CELLS``, so the precision of a double bounds the steps; no task
+    ranks more than the parts of a key. The counts must agree from step to step: a source that changed
+    between the reads is an error.
     """
-    inside = F.col(key).eqNullSafe(F.col("_key")) & F.col("_cell").eqNullSafe(F.col("_in"))
-    ranks = ["_base", "_r0", "_r1"]
+    inside = F.col(key).eqNullSafe(F.col("_key"))
+    in_cell = inside & F.col("_cell").eqNullSafe(F.col("_in"))
+    prices = stored(celled.join(wanted, in_cell).groupBy(key, "_v").agg(F.count(F.lit(1)).alias("_n")))
     part = _linear_cell(F.col("_v"), F.col("_lo"), F.col("_hi")).alias("_cell")
-    prices = celled.join(wanted, inside).groupBy(key, "_v", part, *ranks).agg(F.count(F.lit(1)).alias("_n"))
-    single = [quoted(key), "_n", *ranks, "_v as _cell", "_v as _lo", "_v as _hi"]
-    if largest <= REFINE_ABOVE:
-        found = [_locate_middle(prices.selectExpr(single), key)]
-    else:
-        parts = prices.groupBy(key, "_cell", *ranks).agg(
-            F.sum("_n").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")
+    done = []
+    while n_open:
+        parts = prices.join(wanted, inside & F.expr("_v between _lo and _hi")).groupBy(
+            key, part, "_base", "_r0", "_r1", "_want"
+        ).agg(F.sum("_n").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+        parts = parts.withColumn("_seen", F.sum("_n").over(Window.partitionBy(key)))
+        located, seen = stored_and_observed(
+            _locate_middle(parts, key, ("_seen", "_want")),
+            keys=F.count(F.lit(1)),
+            other=F.count_if(F.expr("_seen <> _want")),
+            n_open=F.count_if(F.expr(IS_OPEN)),
         )
-        narrowed = _locate_middle(parts, key)
-        singles = prices.drop(*ranks).join(_open(narrowed, key).drop("_lo", "_hi"), inside)
-        found = [
-            narrowed.where("_lower is not null and _upper is not null"),
-            _locate_middle(singles.selectExpr(single), key),
-        ]
+        if seen["keys"] != n_open or seen["other"]:
+            raise RuntimeError("The prices changed while their median was computed; store them first")
+        done.append(located.where(f"not ({IS_OPEN})"))
+        wanted, n_open = _open(located, key), seen["n_open"]
     ends = [f"{quoted(key)} as _found", "_lower as _lower_found", "_upper as _upper_found"]
-    return functools.reduce(DataFrame.union, [part.selectExpr(ends) for part in found])
+    return functools.reduce(DataFrame.union, [part.selectExpr(ends) for part in done])
 
 
 def metric_domain(df: DataFrame, column: str) -> DataFrame:

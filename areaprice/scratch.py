@@ -2,40 +2,42 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
 
-# A side of a join is broadcast only if it was counted and has at most this many (narrow) rows.
-BROADCAST_ROWS = 2_000_000
 
+def scratch_root(spark: SparkSession, folder: str | None = None) -> str:
+    """``areaprice`` below ``folder``, else below the session's checkpoint folder.
 
-def scratch_path(spark: SparkSession) -> str:
-    """A new path below ``spark.checkpoint.dir``; a local session without that uses a temporary folder."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    That is ``spark.checkpoint.dir`` or what ``SparkContext.setCheckpointDir`` was given. A session that has
+    neither, a local one included, is an error: a folder of one machine would be missed by the others.
+    """
+    root = folder or spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.conf.get("spark.master", "local").startswith("local"):
-            raise RuntimeError("Set spark.checkpoint.dir to a folder that all executors share")
-        root = _own_folder()
-    return f"{root.rstrip('/')}/areaprice/{uuid.uuid4().hex}"
+        raise RuntimeError("Set spark.checkpoint.dir to a folder that all executors share")
+    return f"{root.rstrip('/')}/areaprice"
+
+
+def scratch_path(spark: SparkSession, folder: str | None = None) -> str:
+    """A new path below :func:`scratch_root`."""
+    return f"{scratch_root(spark, folder)}/{uuid.uuid4().hex}"
 
 
-@functools.cache
-def _own_folder() -> str:
-    return tempfile.mkdtemp(prefix="areaprice-")
+def clear_scratch(spark: SparkSession, folder: str | None = None) -> bool:
+    """Delete all intermediate tables, once the results that read them are written; whether there were any."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark, folder))
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def stored(df: DataFrame) -> DataFrame:
+def stored(df: DataFrame, folder: str | None = None) -> DataFrame:
     """The rows of ``df`` written as Parquet and read back.
 
-    Used for tables of about one row per area that later steps read more than once: nothing upstream is
-    computed again, also after the loss of an executor, and their size is known before the next join.
+    Used for tables that later steps read more than once: nothing upstream is computed again, also after the
+    loss of an executor, and Spark knows their size in bytes before the next join.
     """
-    path = scratch_path(df.sparkSession)
+    path = scratch_path(df.sparkSession, folder)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -45,8 +47,3 @@ def stored_and_observed(df: DataFrame, **measures: Column) -> tuple[DataFrame, d
     seen = Observation()
     table = stored(df.observe(seen, *[measure.alias(name) for name, measure in measures.items()]))
     return table, seen.get
-
-
-def broadcast_if_small(df: DataFrame, rows: int) -> DataFrame:
-    """Hint a broadcast of a table with a known number of rows, unless that is too many."""
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df

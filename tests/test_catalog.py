@@ -7,6 +7,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from areaprice.checks.oracles import ORACLES
+from areaprice.checks.queries import QUERIES
 
 SF = "/root/testdata/sf0.01"
 
@@ -20,14 +22,15 @@ def database():
 
 
 def test_every_query_has_an_oracle():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(contract.queries()) and set(contract.oracle_sql()) <= set(contract.queries())
 
 
 def test_entry(spark):
     assert contract.entry(spark).count() == 97
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, database, capsys, name):
     found = contract.queries()[name](spark, SF)
     found.explain("formatted")

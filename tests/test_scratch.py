@@ -4,21 +4,37 @@ import pytest
 from pyspark.sql import functions as F
 
 from areaprice import scratch
+from areaprice.checks.session import ensure_shared_folder
 
 
-def session(**settings):
-    return SimpleNamespace(conf=SimpleNamespace(get=lambda name, default=None: settings.get(name, default)))
+def session(checkpoint_dir=None, master="local[4]", **settings):
+    context = SimpleNamespace(master=master, checkpoint_dir=checkpoint_dir)
+    context.getCheckpointDir = lambda: context.checkpoint_dir
+    context.setCheckpointDir = lambda path: setattr(context, "checkpoint_dir", path)
+    conf = SimpleNamespace(get=lambda name, default=None: settings.get(name, default))
+    return SimpleNamespace(conf=conf, sparkContext=context)
 
 
 def test_shared_folder_is_the_one_the_session_names():
-    path = scratch.scratch_path(session(**{"spark.checkpoint.dir": "hdfs://host/shared/", "spark.master": "yarn"}))
-    assert path.startswith("hdfs://host/shared/areaprice/")
+    named = session(**{"spark.checkpoint.dir": "hdfs://host/shared/"})
+    assert scratch.scratch_path(named).startswith("hdfs://host/shared/areaprice/")
+    assert scratch.scratch_path(session("s3a://bucket/c")).startswith("s3a://bucket/c/areaprice/")
+    assert scratch.scratch_path(session(), "/given").startswith("/given/areaprice/")
 
 
-def test_only_a_local_session_may_do_without():
-    assert scratch.scratch_path(session(**{"spark.master": "local[4]"}))
+@pytest.mark.parametrize("master", ["local[4]", "spark://host:7077", "local-cluster[2,1,1024]", None])
+def test_a_session_without_the_folder_is_an_error(master):
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        scratch.scratch_path(session(**{"spark.master": "spark://host:7077"}))
+        scratch.scratch_path(session(master=master))
+
+
+def test_checks_make_a_folder_for_local_sessions_only():
+    local, cluster = session(), session(master="local-cluster[2,1,1024]")
+    ensure_shared_folder(local)
+    ensure_shared_folder(cluster)
+    assert scratch.scratch_path(local)
+    with pytest.raises(RuntimeError):
+        scratch.scratch_path(cluster)
 
 
 def test_stored_rows_and_their_aggregates(spark):
@@ -29,8 +45,8 @@ def test_stored_rows_and_their_aggregates(spark):
     assert seen == {"n": 0, "top": None} and empty.count() == 0
 
 
-def test_broadcast_only_below_the_bound(spark, capsys, monkeypatch):
-    monkeypatch.setattr(scratch, "BROADCAST_ROWS", 5)
-    for rows, hinted in ((5, True), (6, False)):
-        scratch.broadcast_if_small(spark.range(rows), rows).explain("extended")
-        assert ("broadcast" in capsys.readouterr().out) is hinted
+def test_clear_scratch(spark, tmp_path):
+    folder = str(tmp_path)
+    assert scratch.stored(spark.range(3), folder).count() == 3
+    assert scratch.clear_scratch(spark, folder) and not list(tmp_path.glob("areaprice/*"))
+    assert not scratch.clear_scratch(spark, folder)

@@ -4,6 +4,7 @@ import statistics
 
 import pytest
 
+from areaprice import scratch
 from areaprice.operators import stats
 from areaprice.operators.clean import clean_prices, filter_period, require_columns, require_rows
 from areaprice.operators.stats import area_median, area_stats, keys_union, metric_domain
@@ -63,11 +64,10 @@ def _awkward_rows():
     return [(key, make()) for key, make in makers.items() for _ in range(sizes[key])]
 
 
-@pytest.mark.parametrize("log_cells, linear_cells, refine_above", [(256, 4096, 10**6), (256, 4096, 0), (1, 2, 0), (1, 2, 10**6), (4, 8, 20)])
-def test_exact_median_against_brute_force(spark, monkeypatch, log_cells, linear_cells, refine_above):
+@pytest.mark.parametrize("log_cells, linear_cells", [(64, 4096), (1, 16), (4, 64)])
+def test_exact_median_against_brute_force(spark, monkeypatch, log_cells, linear_cells):
     monkeypatch.setattr(stats, "LOG_CELLS", log_cells)
     monkeypatch.setattr(stats, "LINEAR_CELLS", linear_cells)
-    monkeypatch.setattr(stats, "REFINE_ABOVE", refine_above)
     rows = _awkward_rows()
     found = by_key(area_stats(spark.createDataFrame(rows, SCHEMA).repartition(5)))
     groups = {}
@@ -80,12 +80,22 @@ def test_exact_median_against_brute_force(spark, monkeypatch, log_cells, linear_
         assert found[key]["count"] == len(values)
 
 
-def test_exact_median_without_broadcast(spark, monkeypatch):
-    monkeypatch.setattr("areaprice.scratch.BROADCAST_ROWS", 0)
-    rows = _awkward_rows()
-    deals = spark.createDataFrame(rows, SCHEMA)
+def test_exact_median_without_broadcast(spark):
+    deals = spark.createDataFrame(_awkward_rows(), SCHEMA)
     expected = {k: r.median for k, r in by_key(area_stats(deals, method="single_shuffle")).items()}
-    assert {k: r.median for k, r in by_key(area_stats(deals)).items()} == expected
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert {k: r.median for k, r in by_key(area_stats(deals)).items()} == expected
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("change", ["_v is null", "_v <> 100000.05", "_n > 0 and _v > 0 and _v < 0"])
+def test_prices_that_change_between_the_reads_are_an_error(spark, monkeypatch, change):
+    deals = spark.createDataFrame([("a", 100000.0 + i / 100) for i in range(10)], SCHEMA)
+    monkeypatch.setattr(stats, "stored", lambda df: scratch.stored(df.where(change)))
+    with pytest.raises(RuntimeError, match="changed"):
+        area_stats(deals)
 
 
 def test_approximate_median_is_close(spark):

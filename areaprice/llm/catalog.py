@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, packing
+from . import exact_dedup, mixing, packing, quality, simhash
 from .oracles import ORACLES
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -32,6 +32,13 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op1_simhash_near_dedup(spark, sf_dir):
+    found = simhash.near_components(documents(spark, sf_dir).select("doc_id", "text"), shingle=4, max_bits=4)
+    digits = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
+    return found.select("row.doc_id", digits.alias("fingerprint"), "component_id")
+
+
 @query
 def op2_best_fit_packing(spark, sf_dir):
     docs = documents(spark, sf_dir).select("doc_id", "text")
@@ -40,7 +47,19 @@ def op2_best_fit_packing(spark, sf_dir):
     return packing.pack(digest, capacity=1024)
 
 
+@query
+def op5_quality_rules(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    judged = quality.quality(docs.select("doc_id", "text"), quality.references(docs))
+    return judged.select("row.doc_id", *quality.COUNTS, "base_failed", "kept")
+
+
 @query
 def op8_exact_dedup(spark, sf_dir):
     groups = exact_dedup.exact_groups(documents(spark, sf_dir), keep="largest")
     return groups.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+@query
+def op9_source_mixing(spark, sf_dir):
+    return mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")

@@ -38,6 +38,42 @@ def whole_row(df: DataFrame, name: str = "row") -> Column:
     return F.struct(*[F.col(f"`{column.replace('`', '``')}`") for column in df.columns]).alias(name)
 
 
+def renamed(docs: DataFrame) -> DataFrame:
+    """The table with its columns numbered, so that none can clash with a column that an operator adds."""
+    return docs.toDF(*[f"_doc{i}" for i in range(len(docs.columns))])
+
+
+def renamed_row(docs: DataFrame, name: str = "row") -> Column:
+    """The struct of :func:`whole_row` from the columns of ``renamed(docs)``."""
+    return F.struct(*[F.col(f"_doc{i}").alias(column) for i, column in enumerate(docs.columns)]).alias(name)
+
+
+def computed_once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that are evaluated once for each row.
+
+    Catalyst moves filters below the expressions they use, and merges projections, by writing the expressions
+    out wherever they are used; for long ones inside loops over an array that multiplies the work. It does
+    neither through a generator, here one that makes one row of each.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*[column.alias(name) for name, column in columns.items()]))))
+
+
+def row_key(doc_id: Column, text: Column) -> Column:
+    """What tells documents apart: the id, null or not, and a hash of the text."""
+    text_hash = F.hex(F.xxhash64(F.coalesce(text.cast("string"), F.lit(""))))
+    return F.concat_ws(":", F.coalesce(doc_id.cast("string"), F.lit("null")), text_hash)
+
+
+def rows_with_keys(docs: DataFrame, keys: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """The documents whose :func:`row_key` is in the distinct ``keys`` (one column), with all their columns.
+
+    Of rows that repeat both id and text one is returned.
+    """
+    wanted = keys.toDF("key")
+    rows = docs.select(whole_row(docs), row_key(F.col(id_column), F.col(text_column)).alias("key"))
+    return rows.join(wanted, "key").dropDuplicates(["key"]).select("row.*")
+
+
 def ranked(df: DataFrame, order: Sequence[Column | str], name: str = "rank") -> DataFrame:
     """Add the rank from 0 of each row in a total order, without one task that sees all rows.
 

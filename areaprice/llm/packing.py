@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..scratch import stored
 from .rows import ranked, text_slices, whole_row
 
 CAPACITY = 1024
@@ -158,7 +159,8 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, length_column: str = "leng
     each placed. A length that is null, below 1 or above the capacity is an error; an empty table gives no rows.
     """
     row = whole_row(pieces, "_row")
-    ordered = pieces.select(row, F.col(length_column).cast("long").alias("_length"))
+    # Stored first, for a sort by ranges reads its input twice.
+    ordered = stored(pieces.select(row, F.col(length_column).cast("long").alias("_length")))
     table = ranked(ordered, ["_length", F.xxhash64("_row")], "_rank")
     wrong = F.col("_length").isNull() | ~F.col("_length").between(1, capacity)
     if not table.where(wrong).isEmpty():

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, packing, quality, simhash
+from . import chunks, exact_dedup, mixing, packing, pii, quality, simhash, token_counts
 from .oracles import ORACLES
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -47,6 +47,19 @@ def op2_best_fit_packing(spark, sf_dir):
     return packing.pack(digest, capacity=1024)
 
 
+@query
+def op4_personal_data(spark, sf_dir):
+    found = pii.find_personal_data(documents(spark, sf_dir).select("doc_id", "text"))
+    base = [kind.name for kind in pii.KINDS if kind.base]
+    counts = [F.size(pii.of_kinds([name])).cast("long").alias(f"n_{name}") for name in base]
+    return found.select(
+        "row.doc_id",
+        *counts,
+        F.sha2(pii.span_text(pii.of_kinds(base)), 256).alias("base_sha256"),
+        pii.span_text(F.col("spans")).alias("spans"),
+    )
+
+
 @query
 def op5_quality_rules(spark, sf_dir):
     docs = documents(spark, sf_dir)
@@ -54,6 +67,12 @@ def op5_quality_rules(spark, sf_dir):
     return judged.select("row.doc_id", *quality.COUNTS, "base_failed", "kept")
 
 
+@query
+def op6_token_counts(spark, sf_dir):
+    counted = token_counts.token_counts(documents(spark, sf_dir).select("doc_id", "text"), vocabulary("piece_bpe_32k.model"))
+    return counted.select("row.doc_id", "n_words", "n_tokens")
+
+
 @query
 def op8_exact_dedup(spark, sf_dir):
     groups = exact_dedup.exact_groups(documents(spark, sf_dir), keep="largest")
@@ -63,3 +82,9 @@ def op8_exact_dedup(spark, sf_dir):
 @query
 def op9_source_mixing(spark, sf_dir):
     return mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query
+def op10_substring_dedup(spark, sf_dir):
+    cut = chunks.dedup_substrings(documents(spark, sf_dir).select("doc_id", "text"))
+    return cut.select("row.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chunks, exact_dedup, mixing, packing, pii, quality, simhash, token_counts
+from . import chunks, exact_dedup, mixing, packing, pii, quality, repeats, simhash, token_counts
 from .oracles import ORACLES
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -73,6 +73,12 @@ def op6_token_counts(spark, sf_dir):
     return counted.select("row.doc_id", "n_words", "n_tokens")
 
 
+@query
+def op7_suffix_array_dedup(spark, sf_dir):
+    cut = repeats.drop_repeats(documents(spark, sf_dir).select("doc_id", "text"), length=400)
+    return cut.select("row.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op8_exact_dedup(spark, sf_dir):
     groups = exact_dedup.exact_groups(documents(spark, sf_dir), keep="largest")

@@ -83,14 +83,14 @@ def cut_points(texts: list[bytes], cutting: Cutting = Cutting()) -> list[list[in
     return found
 
 
-def _key(docs: DataFrame, id_column: str, text_column: str) -> list[Column]:
+def keyed(docs: DataFrame, id_column: str, text_column: str) -> list[Column]:
     text = F.coalesce(F.col(text_column).cast("string"), F.lit(""))
     return [F.col(id_column).alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text")]
 
 
 def text_chunks(docs: DataFrame, cutting: Cutting = Cutting(), id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``doc_id, text_hash, start, size, digest`` of every chunk of every whole text, in UTF-8 bytes."""
-    source = docs.select(*_key(docs, id_column, text_column))
+    source = docs.select(*keyed(docs, id_column, text_column))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh3_128_digest
@@ -131,22 +131,28 @@ def repeated_spans(chunks: DataFrame, least_run: int = Cutting().least_run) -> D
     spans = F.array_sort(F.collect_list(F.struct(F.col("start"), (F.col("start") + F.col("size")).alias("end"))))
     by_text = later.groupBy("doc_id", "text_hash").agg(F.array_distinct(spans).alias("spans"))
 
-    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return merged_spans(by_text, least_run)
+
+
+def merged_spans(spans: DataFrame, least: int = 1) -> DataFrame:
+    """The table with the sorted ``spans`` of each row joined where they touch; runs of ``least`` bytes stay."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            merged = [
-                [run for run in _merged([(s["start"], s["end"]) for s in spans]) if run["end"] - run["start"] >= least_run]
-                for spans in batch.column("spans").to_pylist()
+            found = [
+                [run for run in merged([(s["start"], s["end"]) for s in own]) if run["end"] - run["start"] >= least]
+                for own in batch.column("spans").to_pylist()
             ]
-            columns = {name: batch.column(name) for name in ("doc_id", "text_hash")}
-            yield pa.RecordBatch.from_pydict({**columns, "spans": pa.array(merged, SPAN_TYPE)})
+            place = batch.schema.get_field_index("spans")
+            yield batch.set_column(place, "spans", pa.array(found, SPAN_TYPE))
 
-    return by_text.mapInArrow(joined, by_text.schema).where(F.size("spans") > 0)
+    return spans.mapInArrow(run, spans.schema).where(F.size("spans") > 0)
 
 
 SPAN_TYPE = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 
-def _merged(spans: list[tuple[int, int]]) -> list[dict[str, int]]:
+def merged(spans: list[tuple[int, int]]) -> list[dict[str, int]]:
     runs: list[dict[str, int]] = []
     for start, end in spans:
         if runs and start <= runs[-1]["end"]:
@@ -162,10 +168,10 @@ def without_spans(docs: DataFrame, spans: DataFrame, id_column: str = "doc_id",
     ``spans`` has ``doc_id, text_hash, spans`` once for each text that has any; ``row`` is a struct of the other columns.
     """
     others = docs.drop(text_column)
-    keyed = docs.select(whole_row(others), *_key(docs, id_column, text_column))
+    rows = docs.select(whole_row(others), *keyed(docs, id_column, text_column))
     known = spans.select(F.col("doc_id").alias("span_id"), F.col("text_hash").alias("span_hash"), "spans")
     same = F.col("doc_id").eqNullSafe(F.col("span_id")) & (F.col("text_hash") == F.col("span_hash"))
-    joined = keyed.join(known, same, "left").select("row", "text", "spans")
+    joined = rows.join(known, same, "left").select("row", "text", "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

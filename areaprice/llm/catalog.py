@@ -62,9 +62,8 @@ def op4_personal_data(spark, sf_dir):
 
 @query
 def op5_quality_rules(spark, sf_dir):
-    docs = documents(spark, sf_dir)
-    judged = quality.quality(docs.select("doc_id", "text"), quality.references(docs))
-    return judged.select("row.doc_id", *quality.COUNTS, "base_failed", "kept")
+    found = quality.judged(documents(spark, sf_dir).select("doc_id", "lang", "text"))
+    return found.select("row.doc_id", *quality.COUNTS, "base_failed", "kept")
 
 
 @query

@@ -11,16 +11,16 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .rows import SPACE, WORD, computed_once, renamed, renamed_row, whole_text, words
+from ..scratch import stored
+from .rows import SPACE, WORD, computed_once, renamed, row_key, rows_with_keys, whole_text
 
-# Character classes, each character in the first that matches.
+# Character classes of what words have beside lower-case letters, each character in one.
+LOWER = r"[a-zß-öø-ÿ\p{Ll}]+"
 CLASSES = {
-    "space": SPACE,
-    "lower": r"\p{Ll}",
-    "upper": r"\p{Lu}",
-    "digit": r"\p{Nd}",
-    "symbol": r"[#*$%&|<>]",
-    "mark": r"[.,;:!?'\"()-]",
+    "upper": r"\p{Lu}+",
+    "digit": r"\p{Nd}+",
+    "symbol": r"[#*$%&|<>]+",
+    "mark": r"[.,;:!?'\"()-]+",
 }
 
 # Frequent words of each language.
@@ -32,143 +32,136 @@ COMMON_WORDS = {
 }
 VOCABULARY = tuple(sorted({word for listed in COMMON_WORDS.values() for word in listed}))
 
-SYMBOL = CLASSES["symbol"]
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+HISTOGRAMS = ("classes", "common")
 
 
 class Limits(NamedTuple):
     """Greatest distances from the nearest reference, and the sizes below which a histogram says too little."""
 
     class_distance: float = 0.3
-    word_distance: float = 0.295
+    word_distance: float = 0.285
     min_chars: int = 200
     min_words: int = 100
 
 
-def _without(text: Column, pattern: str) -> Column:
-    return F.char_length(F.regexp_replace(text, pattern, ""))
+def _length_without(text: Column, pattern: Column | str) -> Column:
+    return F.char_length(F.regexp_replace(text, pattern, F.lit(""))).cast("long")
 
 
-def _each(values: Sequence[str], count) -> Column:
-    """``count`` of each value, evaluated in a loop: written out, the generated code is too long to be compiled."""
-    return F.transform(F.array(*[F.lit(value) for value in values]), count)
-
-
-def class_counts(text: Column) -> Column:
-    """Characters of the text in each of :data:`CLASSES`, and last those in none."""
-    counts = _each(list(CLASSES.values()), lambda pattern: F.char_length(text) - F.char_length(F.regexp_replace(text, pattern, F.lit(""))))
-    return F.concat(counts, F.array(_without(text, "|".join(CLASSES.values())))).cast("array<long>")
-
-
-def word_counts(lowered: Column) -> Column:
-    """Occurrences of each of :data:`VOCABULARY` in an array of lower-case words."""
-    return _each(VOCABULARY, lambda word: F.size(lowered) - F.size(F.array_remove(lowered, word))).cast("array<long>")
-
+def text_counts(docs: DataFrame, text_column: str = "text") -> DataFrame:
+    """Counts of :func:`quality` and two histograms of every whole text, beside ``row``, the other columns.
 
-def _with_histograms(rows: DataFrame) -> DataFrame:
-    """Add ``class_counts`` and ``word_counts``, other words last, to rows with ``text`` and ``words``."""
-    lowered = computed_once(rows, lowered=F.transform("words", F.lower))
-    counted = computed_once(
-        lowered,
-        class_counts=class_counts(F.col("text")),
-        known=word_counts(F.col("lowered")),
-    ).drop("lowered")
-    others = F.size("words").cast("long") - F.aggregate("known", F.lit(0).cast("long"), lambda a, n: a + n)
-    return computed_once(counted, word_counts=F.concat("known", F.array(others))).drop("known")
+    ``classes`` counts the characters that are white space, lower-case letters, in each of :data:`CLASSES`, and
+    others; ``common`` counts each word of :data:`VOCABULARY` and, last, all other words. Words are compared by
+    64-bit hashes. Steps are kept apart by :func:`computed_once`, and loops are over arrays, for written out they
+    make code too long to be compiled.
+    """
+    others = docs.drop(text_column)
+    rows = renamed(docs)
+    text = whole_text(f"_doc{docs.columns.index(text_column)}")
+    kept = [f"_doc{i}" for i, name in enumerate(docs.columns) if name != text_column]
+    rows = rows.select(*kept, text.alias("text"))
+    rows = computed_once(rows, words=F.array_remove(F.split("text", f"{SPACE}+", -1), ""))
+    rows = computed_once(
+        rows,
+        hashes=F.transform("words", lambda word: F.xxhash64(word)),
+        joined=F.array_join("words", ""),
+        lines=F.split("text", "\n", -1),
+        n_chars=F.char_length("text").cast("long"),
+        n_words=F.size("words").cast("long"),
+    ).drop("text", "words")
+    hashed, n = F.col("hashes"), F.size("hashes")
+    window = F.transform(
+        F.sequence(F.lit(0), n - 3), lambda i: F.xxhash64(F.get(hashed, i), F.get(hashed, i + 1), F.get(hashed, i + 2))
+    )
+    listed = F.array(*[F.xxhash64(F.lit(word)) for word in VOCABULARY])
+    # Most texts have no line twice; only in others are the lines without a word told apart.
+    with_word = F.filter("lines", lambda line: line.rlike(WORD))
+    n_dup_lines = F.when(
+        F.size(F.array_distinct("lines")) < F.size("lines"), F.size(with_word) - F.size(F.array_distinct(with_word))
+    ).otherwise(0)
+    rows = computed_once(
+        rows,
+        windows=F.when(n >= 3, window).otherwise(F.array().cast("array<bigint>")),
+        known=F.transform(listed, lambda word: (n - F.size(F.array_remove(hashed, word))).cast("long")),
+        word_chars=F.char_length("joined").cast("long"),
+        residue=F.regexp_replace("joined", LOWER, ""),
+        n_dup_lines=n_dup_lines.cast("long"),
+    ).drop("hashes", "joined", "lines")
+    # Windows by hash and place; those that have an equal neighbour occur twice or more.
+    placed = F.sort_array(F.transform("windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    size = F.char_length("residue").cast("long")
+    patterns = F.array(*[F.lit(pattern) for pattern in CLASSES.values()])
+    rows = computed_once(
+        rows,
+        placed=F.when(F.size(F.array_distinct("windows")) < F.size("windows"), placed),
+        in_class=F.transform(patterns, lambda pattern: size - _length_without(F.col("residue"), pattern)),
+        in_none=_length_without(F.col("residue"), "|".join(CLASSES.values())),
+        n_lower=F.col("word_chars") - size,
+    ).drop("windows", "residue")
 
+    def equal(x: Column, neighbour: Column) -> Column:
+        return F.coalesce(x["h"] == F.get(F.col("placed"), neighbour)["h"], F.lit(False))
 
-def _split(docs: DataFrame, text_column: str) -> DataFrame:
-    """The columns of ``renamed(docs)``, ``text`` and its ``words``."""
-    text = whole_text(f"_doc{docs.columns.index(text_column)}")
-    return computed_once(renamed(docs).withColumn("text", text), words=words(F.col("text")))
+    again = F.filter("placed", lambda x, i: equal(x, i - 1) | equal(x, i + 1))
+    covered = F.flatten(F.transform(again, lambda x: F.array(x["i"], x["i"] + 1, x["i"] + 2)))
+    zero = F.lit(0).cast("long")
+    rows = computed_once(
+        rows,
+        n_symbols=F.get("in_class", F.lit(list(CLASSES).index("symbol"))),
+        n_repeat_words=F.coalesce(F.size(F.array_distinct(covered)).cast("long"), zero),
+        classes=F.concat(F.array(F.col("n_chars") - F.col("word_chars"), "n_lower"), "in_class", F.array("in_none")),
+        common=F.concat("known", F.array(F.col("n_words") - F.aggregate("known", zero, lambda a, x: a + x))),
+    )
+    struct = F.struct(*[F.col(place).alias(name) for place, name in zip(kept, others.columns, strict=True)])
+    return rows.select(struct.alias("row"), "n_chars", *COUNTS, *HISTOGRAMS)
 
 
 class Reference(NamedTuple):
-    """Shares of the character classes and common words in the texts of a language."""
+    """Shares of the bins of either histogram in all texts of a language."""
 
     classes: list[float]
-    words: list[float]
+    common: list[float]
 
 
-def references(
-    docs: DataFrame, languages: Sequence[str] = tuple(COMMON_WORDS), lang_column: str = "lang", text_column: str = "text"
-) -> dict[str, Reference]:
+def references(counted: DataFrame, languages: Sequence[str] = tuple(COMMON_WORDS), lang_column: str = "lang") -> dict[str, Reference]:
     """References from all documents of the given languages; a language without a word in any document has none.
 
-    One aggregate with a row per language and bin comes to the driver, as many whatever the size of the data.
+    ``counted`` comes from :func:`text_counts`. One aggregate with a row per language and bin comes to the driver,
+    as many whatever the size of the data.
     """
-    counted = _with_histograms(_split(docs.where(F.col(lang_column).isin(*languages)), text_column))
-    bins = counted.select(
-        F.col(f"_doc{docs.columns.index(lang_column)}").alias("lang"), F.posexplode(F.concat("class_counts", "word_counts")).alias("bin", "n")
-    )
+    lang = F.col("row")[lang_column].alias("lang")
+    bins = counted.select(lang, F.posexplode(F.concat(*HISTOGRAMS)).alias("bin", "n")).where(F.col("lang").isin(*languages))
     sums: dict[str, dict[int, int]] = {}
-    for lang, place, n in bins.groupBy("lang", "bin").agg(F.sum("n")).collect():
-        sums.setdefault(lang, {})[place] = n
+    for language, place, n in bins.groupBy("lang", "bin").agg(F.sum("n")).collect():
+        sums.setdefault(language, {})[place] = n
+    n_classes = len(CLASSES) + 3
     found = {}
-    for lang, by_place in sorted(sums.items()):
+    for language, by_place in sorted(sums.items()):
         counts = [by_place[place] for place in sorted(by_place)]
-        parts = counts[: len(CLASSES) + 1], counts[len(CLASSES) + 1 :]
+        parts = counts[:n_classes], counts[n_classes:]
         if all(sum(part) for part in parts):
-            found[lang] = Reference(*[[n / sum(part) for n in part] for part in parts])
+            found[language] = Reference(*[[n / sum(part) for n in part] for part in parts])
     return found
 
 
-def js_distance(counts: Column, shares: Sequence[float]) -> Column:
-    """Jensen-Shannon distance, 0 to 1, of a histogram from given shares; NULL for an empty histogram."""
+def js_distance(shares: Column, reference: Sequence[float]) -> Column:
+    """Jensen-Shannon distance, 0 to 1, between the shares of two histograms; NULL if the first is."""
     zero = F.lit(0.0)
-    total = F.aggregate(counts, zero, lambda a, n: a + n)
 
-    def part(n: Column, q: Column) -> Column:
-        p = n / total
+    def part(p: Column, q: Column) -> Column:
         own = F.when(p > 0, p * F.log2(2 * p / (p + q))).otherwise(zero)
         return own + F.when(q > 0, q * F.log2(2 * q / (p + q))).otherwise(zero)
 
-    parts = F.zip_with(counts, F.array(*[F.lit(float(share)) for share in shares]), part)
-    divergence = F.aggregate(parts, zero, lambda a, x: a + x) / 2
-    return F.when(total > 0, F.sqrt(F.greatest(divergence, zero)))
+    parts = F.zip_with(shares, F.array(*[F.lit(float(share)) for share in reference]), part)
+    return F.sqrt(F.greatest(F.aggregate(parts, zero, lambda a, x: a + x) / 2, zero))
 
 
-def text_counts(docs: DataFrame, text_column: str = "text") -> DataFrame:
-    """Counts of :func:`quality` and the histograms, beside the columns of ``renamed(docs)``."""
-    split = _with_histograms(_split(docs, text_column))
-    word = F.col("words")
-    window = F.transform(
-        F.sequence(F.lit(0), F.size(word) - 3), lambda i: F.xxhash64(F.get(word, i), F.get(word, i + 1), F.get(word, i + 2))
-    )
-    lines = F.filter(F.split("text", "\n", -1), lambda line: line.rlike(WORD))
-    counted = computed_once(
-        split,
-        lines=lines,
-        windows=F.when(F.size(word) >= 3, window).otherwise(F.array().cast("array<bigint>")),
-        n_words=F.size(word).cast("long"),
-        word_chars=F.char_length(F.array_join(word, "")).cast("long"),
-        n_symbols=(F.char_length("text") - _without(F.col("text"), f"{SYMBOL}+")).cast("long"),
-    ).drop("text", "words")
-    # Windows by hash and place; those that have an equal neighbour occur twice or more.
-    placed = F.sort_array(F.transform("windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    once = F.size("windows") == F.size(F.array_distinct("windows"))
-    counted = computed_once(
-        counted,
-        placed=F.when(~once, placed),
-        n_dup_lines=(F.size("lines") - F.size(F.array_distinct("lines"))).cast("long"),
-    ).drop("windows", "lines")
-
-    def equal(x: Column, neighbour: Column) -> Column:
-        return F.coalesce(x["h"] == F.get(F.col("placed"), neighbour)["h"], F.lit(False))
-
-    again = F.filter("placed", lambda x, i: equal(x, i - 1) | equal(x, i + 1))
-    covered = F.flatten(F.transform(again, lambda x: F.array(x["i"], x["i"] + 1, x["i"] + 2)))
-    n_repeat = F.coalesce(F.size(F.array_distinct(covered)), F.lit(0)).cast("long")
-    return computed_once(counted, n_repeat_words=n_repeat).drop("placed")
+def quality(counted: DataFrame, known: Mapping[str, Reference], limits: Limits = Limits()) -> DataFrame:
+    """Verdict on every row of :func:`text_counts`, given references of languages.
 
-
-def quality(
-    docs: DataFrame,
-    known: Mapping[str, Reference],
-    limits: Limits = Limits(),
-    text_column: str = "text",
-) -> DataFrame:
-    """Counts and verdict on every whole text; the document's own columns are in ``row``.
+    Returns ``row`` (a struct of the document's columns but the text) and:
 
     * ``n_words``, ``word_chars`` (characters in words), ``n_symbols``, ``n_dup_lines`` (lines with a word, equal to
       an earlier line), ``n_repeat_words`` (words in three-word windows found twice or more);
@@ -178,24 +171,48 @@ def quality(
     * ``kept``: not ``base_failed``, and neither distance above its limit. A distance counts only for texts of at
       least ``min_chars`` characters or ``min_words`` words, below which histograms say little.
 
-    A null text has no words. The language of the document itself is not asked, so a missing or wrong one does
-    no harm. Each row is judged alone: rows that repeat give rows that repeat, an empty table gives none.
+    A null text has no words. A document is compared with every language, so a missing or wrong ``lang`` does no
+    harm. Each row is judged alone: rows that repeat give rows that repeat, an empty table gives none.
     """
-    counted = text_counts(docs, text_column)
+    zero = F.lit(0).cast("long")
+    shared = computed_once(
+        counted,
+        all_classes=F.aggregate("classes", zero, lambda a, n: a + n),
+        all_common=F.aggregate("common", zero, lambda a, n: a + n),
+    )
+    shared = computed_once(
+        shared,
+        class_shares=F.when(F.col("all_classes") > 0, F.transform("classes", lambda n: n / F.col("all_classes"))),
+        common_shares=F.when(F.col("all_common") > 0, F.transform("common", lambda n: n / F.col("all_common"))),
+    )
 
     def nearest(column: str, field: str) -> Column:
         distances = [js_distance(F.col(column), getattr(reference, field)) for reference in known.values()]
-        return F.least(*distances) if len(distances) > 1 else distances[0] if distances else F.lit(None).cast("double")
+        return F.array_min(F.array(*distances)) if distances else F.lit(None).cast("double")
 
     judged = computed_once(
-        counted,
-        class_distance=nearest("class_counts", "classes"),
-        word_distance=nearest("word_counts", "words"),
-        n_chars=F.aggregate("class_counts", F.lit(0).cast("long"), lambda a, n: a + n),
+        shared,
+        class_distance=nearest("class_shares", "classes"),
+        word_distance=nearest("common_shares", "common"),
         base_failed=(F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")),
     )
     far = ((F.col("n_chars") >= limits.min_chars) & (F.col("class_distance") > limits.class_distance)) | (
         (F.col("n_words") >= limits.min_words) & (F.col("word_distance") > limits.word_distance)
     )
     kept = ~F.col("base_failed") & ~F.coalesce(far, F.lit(False))
-    return judged.select(renamed_row(docs), *COUNTS, "base_failed", "class_distance", "word_distance", kept.alias("kept"))
+    return judged.select("row", *COUNTS, "base_failed", "class_distance", "word_distance", kept.alias("kept"))
+
+
+def judged(docs: DataFrame, limits: Limits = Limits(), lang_column: str = "lang", text_column: str = "text") -> DataFrame:
+    """:func:`quality` of all documents against references from all of them; the texts are read once."""
+    counted = stored(text_counts(docs, text_column))
+    return quality(counted, references(counted, lang_column=lang_column), limits)
+
+
+def keep_good(docs: DataFrame, limits: Limits = Limits(), id_column: str = "doc_id", lang_column: str = "lang", text_column: str = "text") -> DataFrame:
+    """The documents that :func:`judged` keeps, with all their columns; of rows that repeat id and text, one."""
+    narrow = docs.select(
+        row_key(F.col(id_column), F.col(text_column)).alias("key"), F.col(lang_column).alias("lang"), F.col(text_column).alias("text")
+    )
+    keys = judged(narrow, limits).where("kept").select("row.key").distinct()
+    return rows_with_keys(docs, keys, id_column, text_column)

@@ -15,8 +15,7 @@ ORACLE_SQL = None
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    kept = quality.quality(docs, quality.references(docs)).where("kept")
-    return kept.select("row.*")
+    return quality.keep_good(docs)
 
 
 def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chunks, exact_dedup, mixing, packing, pii, quality, repeats, simhash, token_counts
+from . import chunks, exact_dedup, language, mixing, packing, pii, quality, repeats, simhash, token_counts
 from .oracles import ORACLES
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -47,6 +47,15 @@ def op2_best_fit_packing(spark, sf_dir):
     return packing.pack(digest, capacity=1024)
 
 
+@query
+def op3_language_id(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    id_text = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    docs = docs.select("doc_id", "text", "lang", (F.crc32(id_text.cast("binary")) % 3 == 1).alias("held_out"))
+    model = language.learn(docs.where(~F.col("held_out")))
+    return language.predict(docs.drop("lang"), model).select("row.doc_id", "row.held_out", "lang_pred", "score")
+
+
 @query
 def op4_personal_data(spark, sf_dir):
     found = pii.find_personal_data(documents(spark, sf_dir).select("doc_id", "text"))

@@ -103,12 +103,14 @@ def spanning_links(prints: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.nd
     return np.concatenate([empty, *from_]), np.concatenate([empty, *to])
 
 
-def links(distinct: DataFrame, max_bits: int = 4, pieces: int = PIECES) -> tuple[DataFrame, DataFrame]:
+def links(
+    distinct: DataFrame, max_bits: int = 4, pieces: int = PIECES, block_rows: int = BLOCK_ROWS
+) -> tuple[DataFrame, DataFrame]:
     """Verified links (``a``, ``b``) among distinct fingerprints, and the fingerprints (``a``) of very large blocks.
 
     Each fingerprint is cut into ``pieces``; a close pair agrees on ``pieces - max_bits`` of them, so it meets in
     the block of one such choice. Blocks are sorted together and read as a stream; in each, the Hamming distance
-    decides, and the links that connect it are returned. Of a block above ``BLOCK_ROWS`` only the members are
+    decides, and the links that connect it are returned. Of a block above ``block_rows`` only the members are
     returned, for :func:`_neighbour_links`.
     """
     masks = np.array(_masks(max_bits, pieces), dtype=np.uint64)
@@ -123,7 +125,7 @@ def links(distinct: DataFrame, max_bits: int = 4, pieces: int = PIECES) -> tuple
                 )
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for prints, whole in _blocks(batches):
+        for prints, whole in _blocks(batches, block_rows):
             if whole:
                 a, b = spanning_links(np.unique(prints), max_bits)
                 arrays = pa.array(a.view(np.int64)), pa.array(b.view(np.int64))
@@ -138,10 +140,10 @@ def links(distinct: DataFrame, max_bits: int = 4, pieces: int = PIECES) -> tuple
     return found.where("b is not null"), found.where("b is null").select("a")
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, bool]]:
+def _blocks(batches: Iterator[pa.RecordBatch], block_rows: int) -> Iterator[tuple[np.ndarray, bool]]:
     """Fingerprints of each block of two or more, from rows sorted by block, and whether that is the whole block.
 
-    A block above ``BLOCK_ROWS`` comes in parts, so no more than that and a batch is held.
+    A block above ``block_rows`` comes in parts, so no more than that and a batch is held.
     """
     key, held, large = None, [], False
 
@@ -165,9 +167,9 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, boo
             yield from ended()
             middle = np.flatnonzero(np.diff(edges[1:-1]) > 1) + 1
             for start, stop in zip(edges[middle].tolist(), edges[middle + 1].tolist(), strict=True):
-                yield prints[start:stop], stop - start <= BLOCK_ROWS
+                yield prints[start:stop], stop - start <= block_rows
             key, held, large = keys[last], [prints[last:]], False
-        if sum(map(len, held)) > BLOCK_ROWS:
+        if sum(map(len, held)) > block_rows:
             large = True
             yield from ended()
             held = []

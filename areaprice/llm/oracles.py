@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from .rows import UPPER
+from . import mixing, quality
+from .rows import UPPER, WORD
 
 ORACLES: dict[str, str] = {}
 
@@ -10,3 +11,105 @@ ORACLES["op8_exact_dedup"] = f"""
 with d as (select doc_id, translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}') as norm from documents),
      g as (select norm, max(doc_id) as keep_id, count(*) as group_size from d group by norm)
 select doc_id, keep_id, group_size, doc_id = keep_id as kept, sha256(norm) as text_sha256 from d join g using (norm)"""
+
+# A word of a text, as in the library, for regular expressions of either engine.
+_WORDS = f"regexp_extract_all(coalesce(text, ''), '{WORD}')"
+
+ORACLES["op9_source_mixing"] = f"""
+with d as (select doc_id, source, len({_WORDS}) as size, md5(concat('{mixing.SEED}:', cast(doc_id as varchar))) as seeded
+           from documents),
+     s as (select source, cast(sum(size) as bigint) as source_size from d group by source),
+     p as (select *, row_number() over (order by source is null, source) - 1 as place from s),
+     w as (select *, list_value(5, 2, 1)[place % 3 + 1] as weight from p),
+     t as (select cast(sum(source_size) as double) as total, cast(sum(weight) as double) as all_weights from w),
+     -- Sources by the rate at which they are full: the first that is not full when those before it are.
+     o as (select *, row_number() over full_order as turn,
+                  coalesce(sum(source_size) over (full_order rows between unbounded preceding and 1 preceding), 0) as full_size,
+                  coalesce(sum(weight) over (full_order rows between unbounded preceding and 1 preceding), 0) as full_weight
+           from w window full_order as (order by 2e0 * source_size / weight, place)),
+     r as (select (1.5e0 * total - 2 * cast(full_size as double)) / (all_weights - cast(full_weight as double)) as rate, *
+           from o, t),
+     k as (select rate from r where rate * weight <= 2 * source_size order by turn limit 1),
+     g as (select source, place, source_size,
+                  case when k.rate * weight > 2 * source_size then cast(2 * source_size as double) else k.rate * weight end as target
+           from w, k),
+     e as (select d.*, g.place, g.source_size, g.target,
+                  cast(concat('0x', substr(seeded, 1, 8)) as bigint) % ((g.source_size - 1) // {mixing.SHARD_WORDS} + 1) as shard
+           from d join g on d.source is not distinct from g.source),
+     c as (select place, shard, cast(sum(size) as bigint) as words, max(target) * sum(size) / max(source_size) as wanted
+           from e where size > 0 group by place, shard),
+     c2 as (select *, cast(floor(wanted / {mixing.BLOCK_WORDS} + 0.5) as bigint) as rounded from c),
+     m as (select cast(floor(1.5e0 * (select total from t) / {mixing.BLOCK_WORDS} + 0.5) as bigint) - sum(rounded) as missing,
+                  count(*) as n_cells, sum(wanted) as all_wanted from c2),
+     c3 as (select c2.*, missing, cast(ceil(wanted / all_wanted * (abs(missing) + n_cells)) as bigint) + 1 as seats from c2, m),
+     f as (select place, shard, wanted, missing,
+                  unnest(case when missing > 0 then generate_series(rounded + 1, rounded + seats)
+                              else generate_series(greatest(rounded - seats, 1), rounded) end) as seat from c3),
+     f2 as (select *, row_number() over (order by case when missing > 0 then -wanted / (2 * seat - 1) else wanted / (2 * seat - 1) end,
+                                                  sign(missing) * seat, sign(missing) * place, sign(missing) * shard) as turn from f),
+     h as (select place, shard, count(*) as n from f2 where turn <= abs(missing) group by place, shard),
+     q as (select c3.*, least((rounded + coalesce(n, 0) * sign(missing)) * {mixing.BLOCK_WORDS}, 2 * words) as quota
+           from c3 left join h using (place, shard)),
+     q2 as (select place, shard, words, quota // words as copies, quota - quota // words * words as rest from q),
+     b as (select *, unnest(generate_series(0, (words - 1) // {mixing.BLOCK_WORDS})) as block from q2 where rest > 0),
+     b2 as (select *, least({mixing.BLOCK_WORDS}, words - block * {mixing.BLOCK_WORDS}) as block_size,
+                   md5(concat('{mixing.SEED}:', place, ':', shard, ':', block)) as seeded from b),
+     b3 as (select *, least(block_size, rest - coalesce(sum(block_size) over (
+                   partition by place, shard order by seeded, block rows between unbounded preceding and 1 preceding), 0)) as take from b2),
+     i as (select *, coalesce(sum(size) over (
+                   partition by place, shard order by seeded rows between unbounded preceding and 1 preceding), 0) as first
+           from e where size > 0),
+     j as (select i.doc_id, sum(greatest(0, least(first + size, block * {mixing.BLOCK_WORDS} + take)
+                                            - greatest(first, block * {mixing.BLOCK_WORDS}))) as partly
+           from i join b3 on i.place = b3.place and i.shard = b3.shard and take > 0
+                and block between first // {mixing.BLOCK_WORDS} and (first + size - 1) // {mixing.BLOCK_WORDS}
+           group by i.doc_id)
+select e.doc_id, e.size, e.source_size, e.target,
+       cast(case when e.size = 0 then 0 else copies * e.size + coalesce(partly, 0) end as bigint) as taken
+from e left join q2 on e.place = q2.place and e.shard = q2.shard and e.size > 0 left join j on e.doc_id = j.doc_id"""
+
+
+
+def _without(text: str, pattern: str) -> str:
+    return "length(regexp_replace({}, '{}', '', 'g'))".format(text, pattern.replace("'", "''"))
+
+
+_CLASSES = ", ".join(f"length(residue) - {_without('residue', pattern)}" for pattern in quality.CLASSES.values())
+_NO_CLASS = _without("residue", "|".join(quality.CLASSES.values()))
+_COMMON = ", ".join(f"len(list_filter(w, lambda x: x = '{word}'))" for word in quality.VOCABULARY)
+_N_CLASSES, _N_COMMON = len(quality.CLASSES) + 3, len(quality.VOCABULARY) + 1
+
+ORACLES["op5_quality_rules"] = f"""
+with d as (select doc_id, lang, coalesce(text, '') as text, {_WORDS} as w from documents),
+     j as (select *, array_to_string(w, '') as joined from d),
+     r as (select *, regexp_replace(joined, '{quality.LOWER}', '', 'g') as residue,
+                  list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '{WORD}')) as lines from j),
+     g as (select doc_id, unnest(range(1, len(w) - 1)) as i, w from r where len(w) >= 3),
+     g2 as (select doc_id, i, count(*) over (partition by doc_id, w[i], w[i + 1], w[i + 2]) as n from g),
+     v as (select doc_id, count(distinct word) as n_repeat_words
+           from (select doc_id, unnest([i, i + 1, i + 2]) as word from g2 where n > 1) group by doc_id),
+     c as (select doc_id, lang, length(text) as n_chars, len(w) as n_words, length(joined) as word_chars,
+                  length(joined) - {_without("joined", quality.CLASSES["symbol"])} as n_symbols,
+                  len(lines) - len(list_distinct(lines)) as n_dup_lines, coalesce(n_repeat_words, 0) as n_repeat_words,
+                  [length(text) - length(joined), length(joined) - length(residue), {_CLASSES}, {_NO_CLASS}] as classes,
+                  [{_COMMON}] as known
+           from r left join v using (doc_id)),
+     bins as (select doc_id, lang, unnest(list_concat(classes, known, [n_words - cast(list_sum(known) as bigint)])) as n,
+                     unnest(range({_N_CLASSES + _N_COMMON})) as bin from c),
+     shares as (select *, bin < {_N_CLASSES} as of_class, n / sum(n) over (partition by doc_id, bin < {_N_CLASSES}) as p from bins),
+     langs as (select lang, bin, bin < {_N_CLASSES} as of_class, sum(n) as n from bins
+               where lang in ({", ".join(f"'{lang}'" for lang in quality.COMMON_WORDS)}) group by lang, bin),
+     refs as (select *, n / sum(n) over (partition by lang, of_class) as q from langs),
+     parts as (select s.doc_id, s.of_class, refs.lang,
+                      (case when p > 0 then p * log2(2 * p / (p + q)) else 0 end
+                       + case when q > 0 then q * log2(2 * q / (p + q)) else 0 end) / 2 as part
+               from shares s join refs using (bin) where not isnan(p)),
+     far as (select doc_id, of_class, lang, sqrt(greatest(sum(part), 0)) as distance from parts group by doc_id, of_class, lang),
+     near as (select doc_id, min(distance) filter (of_class) as class_distance, min(distance) filter (not of_class) as word_distance
+              from far group by doc_id),
+     b as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from c left join near using (doc_id))
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       not base_failed
+       and not (n_chars >= {quality.Limits().min_chars} and coalesce(class_distance, 0) > {quality.Limits().class_distance})
+       and not (n_words >= {quality.Limits().min_words} and coalesce(word_distance, 0) > {quality.Limits().word_distance}) as kept
+from b"""

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from .queries import CENTER_POINT, CLASSES, PERIOD
-from .tables import AREA_TABLE, BIDS_DUCKDB, DEALS_DUCKDB, FEATURES, OFFSETS
+from .tables import AREA_TABLE, BIDS_DUCKDB, DEALS_DUCKDB, FEATURES, SHAPES
 
 # Palettes as the Spark side must use them.
 YLORRD = "ffffcc ffeda0 fed976 feb24c fd8d3c fc4e2a e31a1c bd0026 800026"
@@ -68,6 +68,21 @@ def stats(name: str, source: str, condition: str) -> str:
 _SUFFIXED_KEY = """coalesce(nullif(json_extract_string(properties, '$.externalKey'), ''),
     nullif(json_extract_string(properties, '$.label'), ''), nullif(json_extract_string(properties, '$.options.cad_num'), ''))"""
 
+
+
+def _shape_rows() -> list[str]:
+    """Vertices of each shape in order, with the polygon and the ring in it that they belong to."""
+    rows = []
+    for shape, (kind, rings) in enumerate(SHAPES):
+        number = 0
+        for place, (part, ring) in enumerate(rings):
+            in_part = sum(1 for other, _ in rings[:place] if other == part)
+            for dx, dy in ring:
+                rows.append(f"({shape}, '{kind}', {part}, {in_part}, {number}, {dx:e}, {dy:e})")
+                number += 1
+    return rows
+
+
 CTES = {
     "deals": f"deals as ({DEALS_DUCKDB})",
     "typed": f"typed as (select * replace ({number('price_per_sqm')} as price_per_sqm) from deals)",
@@ -82,24 +97,28 @@ CTES = {
     "features": f"features as ({FEATURES})",
     "keyed": f"keyed as (select * replace ({_SUFFIXED_KEY} as cadnum) from features)",
     "area_table": f"area_table as ({AREA_TABLE})",
-    "vertices": "vertices as (select id, i, x, y from (select id, x0, y0, has_geometry from features) f cross join (values "
-    + ", ".join(f"({i}, {dx:e}, {dy:e})" for i, (dx, dy) in enumerate(OFFSETS))
-    + ") o(i, dx, dy), lateral (select x0 + dx as x, y0 + dy as y) where has_geometry)",
-    "edges": """edges as (select id, x - x1 as x, y - y1 as y, x1, y1, lead(x) over w - x1 as u, lead(y) over w - y1 as v
-        from (select *, first_value(x) over (partition by id order by i) as x1,
-              first_value(y) over (partition by id order by i) as y1 from vertices) window w as (partition by id order by i))""",
-    "moments": """moments as (select id, sum(x * v - u * y) / 2 as area,
-        any_value(x1) + sum((x * v - u * y) * (x + u)) / (3 * sum(x * v - u * y)) as cx,
-        any_value(y1) + sum((x * v - u * y) * (y + v)) / (3 * sum(x * v - u * y)) as cy
-        from edges where u is not null group by id)""",
+    "shapes": "shapes(shape, kind, part, ring, i, dx, dy) as (values " + ", ".join(_shape_rows()) + ")",
+    "vertices": f"""vertices as (select id, kind, part, ring, i, x0 + dx as x, y0 + dy as y
+        from features join shapes on id % {len(SHAPES)} = shape where has_geometry)""",
+    "spots": "spots as (select id, any_value(kind) as kind, count(*) as n, avg(x) as lon, avg(y) as lat from vertices group by id)",
+    "edges": """edges as (select id, part, ring, x - x1 as x, y - y1 as y, x1, y1, lead(x) over w - x1 as u, lead(y) over w - y1 as v
+        from (select *, first_value(x) over (partition by id, part, ring order by i) as x1,
+              first_value(y) over (partition by id, part, ring order by i) as y1 from vertices where kind like '%Polygon')
+        window w as (partition by id, part, ring order by i))""",
+    "rings": """rings as (select id, sum(x * v - u * y) / 2 as a, sum((x * v - u * y) * (x + u)) / 6 as ax,
+        sum((x * v - u * y) * (y + v)) / 6 as ay, any_value(x1) as x1, any_value(y1) as y1,
+        sign(sum(x * v - u * y)) * case when ring = 0 then 1 else -1 end as turn
+        from edges where u is not null group by id, part, ring)""",
+    "moments": """moments as (select id, sum(turn * a) as area, sum(turn * (ax + a * x1)) / sum(turn * a) as cx,
+        sum(turn * (ay + a * y1)) / sum(turn * a) as cy from rings group by id)""",
     "bids_middle": "bids_middle as (select round(avg(lat), 9) as center_lat, round(avg(lon), 9) as center_lon from bids)",
 }
 
 # What each common table needs before it.
 NEEDS = {
     "typed": ["deals"], "prices": ["typed"], "metrics": ["prices"], "early": ["prices"], "late": ["prices"],
-    "filtered": ["prices"], "bids": ["raw_bids"], "keyed": ["features"], "vertices": ["features"], "edges": ["vertices"],
-    "moments": ["edges"], "bids_middle": ["bids"],
+    "filtered": ["prices"], "bids": ["raw_bids"], "keyed": ["features"], "vertices": ["features", "shapes"], "edges": ["vertices"],
+    "spots": ["vertices"], "rings": ["edges"], "moments": ["rings"], "bids_middle": ["bids"],
 }
 
 
@@ -236,9 +255,12 @@ ORACLES = {
     ),
     "metrics_reuse": sql("select quarter_cad_number, median, count from metrics", "metrics"),
     "read_geojson": sql(
-        """select cast(id as varchar) as id, 'Feature' as type, json_extract_string(properties, '$.label') as label, cadnum,
-            case when has_geometry then 'Polygon' end as kind, case when has_geometry then 5 end as n from keyed""",
+        """select cast(id as varchar) as id, 'Feature' as type, json_extract_string(properties, '$.label') as label,
+            json_extract_string(properties, '$.externalKey') as "externalKey",
+            json_extract_string(properties, '$.options.cad_num') as cad_num, cadnum, kind, cast(n as int) as n
+            from keyed left join spots using (id)""",
         "keyed",
+        "spots",
     ),
     "write_csv": sql(
         """select "Адрес" as address, "Широта" as lat, "Долгота" as lon, "Цена, руб" as price,
@@ -246,12 +268,13 @@ ORACLES = {
         "raw_bids",
     ),
     "write_geojson": sql(
-        """select cast(id as varchar) as id, case when has_geometry then 'Polygon' end as kind, cadnum,
+        """select cast(id as varchar) as id, kind, cast(n as int) as n, round(lon, 9) as lon, round(lat, 9) as lat, cadnum,
             json_extract_string(properties, '$.label') as label, cast(median_round as varchar) as median_round,
             cast(count as varchar) as count, median_round is null as null_kept
-            from keyed left join metrics on cadnum = quarter_cad_number""",
+            from keyed left join metrics on cadnum = quarter_cad_number left join spots using (id)""",
         "keyed",
         "metrics",
+        "spots",
     ),
     "write_layer": sql(
         "select layer, cadnum, count, fill_color, fill_opacity, value from ("
@@ -266,6 +289,7 @@ ORACLES = {
     "area_stats": sql(rounded_stats("metrics"), "metrics"),
     "area_stats_all_prices": sql(rounded_stats("everything"), "prices", extra=stats("everything", "prices", "p is not null")),
     "area_stats_filtered": sql(rounded_stats("filtered"), "filtered"),
+    "area_stats_on_dates": sql(rounded_stats("filtered"), "filtered"),
     "area_median": sql("select quarter_cad_number, median, count, median_round from metrics", "metrics"),
     "metric_domain": sql("select min(median) as lo, max(median) as hi from metrics", "metrics"),
     "area_keys": sql("select distinct quarter_cad_number from prices where p > 0", "prices"),
@@ -279,7 +303,7 @@ ORACLES = {
         "prices",
     ),
     **{f"join_features_{how}": joined(how) for how in ("left", "right", "inner", "outer")},
-    "vertex_count": sql("select cast(id as varchar) as id, case when has_geometry then 5 end as n from features", "features"),
+    "vertex_count": sql("select cast(id as varchar) as id, cast(n as int) as n from features left join spots using (id)", "spots"),
     "label_point": sql(
         """select cast(f.id as varchar) as id, round(lon, 9) as lon, round(lat, 9) as lat from features f
             left join (select id, avg(x) as lon, avg(y) as lat from vertices group by id) v on f.id = v.id""",
@@ -365,6 +389,17 @@ ORACLES = {
         "metrics",
         "bids_middle",
     ),
+    "map_bids_without_medians": sql(
+        "select * from ("
+        + union(
+            *[area_rows(name, m, "metrics", "features", YLORRD, (0.6, 0.1), "left") for m, name in METRIC_ROWS if m != "median"],
+            bid_rows(YLORRD, 0.9, with_price=True),
+        )
+        + "), bids_middle",
+        "features",
+        "metrics",
+        "bids_middle",
+    ),
     "map_median": sql(
         f"""select * from ({area_rows(MEDIAN, "median", "metrics", "features", YLORRD, (0.65, 0.1), "left")}), {box("features")}""",
         "vertices",

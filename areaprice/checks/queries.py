@@ -130,9 +130,16 @@ def metrics_reuse(spark, sf_dir):
 @query
 def read_geojson(spark, sf_dir):
     path = sinks.write_features(tables.features(spark, sf_dir), scratch_path(spark))
-    read = feature_source.read_features(spark, path, lines=True, id_column="label")
+    read = feature_source.read_features(spark, path, lines=True, id_column="label", properties=["externalKey", "options"])
     return joins.with_area_key(read).select(
-        "id", "type", "label", "cadnum", F.col("geometry.type").alias("kind"), geo.vertex_count(F.col("geometry")).alias("n")
+        "id",
+        "type",
+        "label",
+        "externalKey",
+        F.get_json_object("options", "$.cad_num").alias("cad_num"),
+        "cadnum",
+        F.col("geometry.type").alias("kind"),
+        geo.vertex_count(F.col("geometry")).alias("n"),
     )
 
 
@@ -154,11 +161,15 @@ def write_geojson(spark, sf_dir):
     path = sinks.write_features(joined, scratch_path(spark), ["cadnum", "median_round", "count"])
     line = spark.read.text(path)
     fields = {
-        "id": "$.id", "kind": "$.geometry.type", "cadnum": "$.properties.cadnum", "label": "$.properties.label",
+        "id": "$.id", "kind": "$.geometry.type", "coordinates": "$.geometry.coordinates", "cadnum": "$.properties.cadnum", "label": "$.properties.label",
         "median_round": "$.properties.median_round", "count": "$.properties.count",
     }
     nulls = F.col("value").contains('"median_round":null').alias("null_kept")
-    return line.select(*[F.get_json_object("value", p).alias(name) for name, p in fields.items()], nulls)
+    read = line.select(*[F.get_json_object("value", p).alias(name) for name, p in fields.items()], nulls)
+    shape = F.struct(F.col("kind").alias("type"), "coordinates")
+    spot = geo.label_point(shape)
+    written = {"n": geo.vertex_count(shape), "lon": F.round(spot["lon"], 9), "lat": F.round(spot["lat"], 9)}
+    return read.withColumns(written).drop("coordinates")
 
 
 @query
@@ -219,6 +230,13 @@ def area_stats_filtered(spark, sf_dir):
     return _all_stats(clean_prices(filter_period(tables.deals(spark, sf_dir), (1964, 1972), PERIOD)))
 
 
+@query
+def area_stats_on_dates(spark, sf_dir):
+    deals = tables.deals(spark, sf_dir)
+    dated = deals.withColumn("period_start_date", F.to_date("period_start_date", "dd.MM.yyyy"))
+    return _all_stats(clean_prices(filter_period(dated, (1964, 1972), PERIOD)))
+
+
 @query
 def area_median(spark, sf_dir):
     return stats.area_median(priced(spark, sf_dir))
@@ -368,15 +386,15 @@ def area_labels_long(spark, sf_dir):
 # Whole maps, all layers of a map in one table with its centre
 
 
-def _map_rows(built: maps.MapLayers) -> DataFrame:
-    rows = built.rows()
+def _map_rows(rows: DataFrame, center: DataFrame, *others: str) -> DataFrame:
     empty = {"cadnum": "string", "count": "bigint", "lat": "double", "lon": "double", "text": "string"}
     rows = rows.withColumns({name: F.lit(None).cast(kind) for name, kind in empty.items() if name not in rows.columns})
     for missing, kind in (("fill_color", "string"), ("fill_opacity", "double"), ("value", "double")):
         if missing not in rows.columns:
             rows = rows.withColumn(missing, F.lit(None).cast(kind))
-    center = built.center.select(F.struct(F.round("lat", 9).alias("lat"), F.round("lon", 9).alias("lon"))).scalar()
-    return rows.withColumn("center", center).select(
+    middle = center.select(F.struct(F.round("lat", 9).alias("lat"), F.round("lon", 9).alias("lon"))).scalar()
+    return rows.withColumn("center", middle).select(
+        *others,
         *AREA_COLUMNS,
         value(),
         *rounded(lat=9, lon=9),
@@ -390,7 +408,7 @@ def _map_rows(built: maps.MapLayers) -> DataFrame:
 def map_quick(spark, sf_dir):
     table = tables.area_table(spark, sf_dir)
     shapes = tables.keyed_features(spark, sf_dir)
-    built = maps.map_quick(shapes, table, "cadnum", "val", ["cadnum", "val"], CLASSES)
+    built = maps.map_quick(shapes, table, "cadnum", "val", ["cadnum", "val"], CLASSES, unique=True)
     center = built.center.select(F.struct("lat", "lon")).scalar()
     return built.areas.withColumn("center", center).select(
         "cadnum",
@@ -404,45 +422,49 @@ def map_quick(spark, sf_dir):
     )
 
 
+def _whole(built: maps.MapLayers) -> DataFrame:
+    return _map_rows(built.rows(), built.center)
+
+
 @query
 def map_deals_bids(spark, sf_dir):
-    return _map_rows(
-        maps.map_deals_bids(tables.deals(spark, sf_dir), bids(spark, sf_dir), tables.features(spark, sf_dir))
-    )
+    return _whole(maps.map_deals_bids(tables.deals(spark, sf_dir), bids(spark, sf_dir), tables.features(spark, sf_dir)))
 
 
 @query
 def map_bids(spark, sf_dir):
-    return _map_rows(
-        maps.map_bids(bids(spark, sf_dir), metrics(spark, sf_dir), tables.keyed_features(spark, sf_dir))
-    )
+    return _whole(maps.map_bids(bids(spark, sf_dir), metrics(spark, sf_dir), tables.keyed_features(spark, sf_dir)))
+
+
+@query
+def map_bids_without_medians(spark, sf_dir):
+    no_medians = metrics(spark, sf_dir).withColumn("median", F.lit(None).cast("double"))
+    return _whole(maps.map_bids(bids(spark, sf_dir), no_medians, tables.keyed_features(spark, sf_dir)))
 
 
 @query
 def map_median(spark, sf_dir):
     found = stored(sources.metrics_or_compute(spark, scratch_path(spark) + ".csv", priced(spark, sf_dir)))
-    return _map_rows(maps.map_median(found, tables.keyed_features(spark, sf_dir)))
+    return _whole(maps.map_median(found, tables.keyed_features(spark, sf_dir)))
 
 
 @query
 def map_median_bids(spark, sf_dir):
-    return _map_rows(
-        maps.map_median_bids(median_metrics(spark, sf_dir), bids(spark, sf_dir), tables.keyed_features(spark, sf_dir))
-    )
+    shapes = tables.keyed_features(spark, sf_dir)
+    return _whole(maps.map_median_bids(median_metrics(spark, sf_dir), bids(spark, sf_dir), shapes))
 
 
 @query
 def map_two_periods(spark, sf_dir):
     built = maps.map_two_periods(*_periods(spark, sf_dir), tables.features(spark, sf_dir))
-    first, second = (_map_rows(part).withColumn("map", F.lit(name)) for part, name in zip(built, "ab", strict=True))
-    return first.unionByName(second)
+    return _map_rows(built.together, built.first.center, "map")
 
 
 @query
 def map_labeled(spark, sf_dir):
-    return _map_rows(maps.map_labeled(tables.deals(spark, sf_dir), tables.features(spark, sf_dir)))
+    return _whole(maps.map_labeled(tables.deals(spark, sf_dir), tables.features(spark, sf_dir)))
 
 
 @query
 def map_labeled_filtered(spark, sf_dir):
-    return _map_rows(maps.map_labeled_filtered(tables.deals(spark, sf_dir), tables.features(spark, sf_dir), PERIOD))
+    return _whole(maps.map_labeled_filtered(tables.deals(spark, sf_dir), tables.features(spark, sf_dir), PERIOD))

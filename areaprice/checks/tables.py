@@ -5,7 +5,7 @@ The SQL of each view is given once where Spark and DuckDB understand the same te
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 AREA = "concat('78:10:', lpad(cast({} as string), 7, '0'))"
@@ -50,8 +50,21 @@ from supplier"""
 AREA_TABLE = f"""
 select {AREA.format("p_partkey + 40")} as cadnum, p_retailprice as val, cast(p_size as double) as x0 from part"""
 
-# Vertices of each polygon as offsets from (x0, y0).
-OFFSETS = ((0.0, 0.0), (9e-3, 0.0), (9e-3, 4e-3), (3e-3, 8e-3), (0.0, 0.0))
+# Shapes of features, by s_suppkey modulo their number: kind, and rings of offsets from (x0, y0), each ring in a
+# polygon (or line, or point) that has a number.
+_FIVE = ((0.0, 0.0), (9e-3, 0.0), (9e-3, 4e-3), (3e-3, 8e-3), (0.0, 0.0))
+_FOUR = ((0.0, 0.0), (8e-3, 0.0), (8e-3, 8e-3), (0.0, 0.0))
+_HOLE = ((2e-3, 1e-3), (2e-3, 2e-3), (4e-3, 2e-3), (4e-3, 1e-3), (2e-3, 1e-3))
+_AWAY = ((1e-2, 1e-2), (1.5e-2, 1e-2), (1.2e-2, 1.6e-2), (1e-2, 1e-2))
+SHAPES = (
+    ("Polygon", ((0, _FIVE),)),
+    ("Polygon", ((0, _FIVE), (0, _HOLE))),
+    ("MultiPolygon", ((0, _FOUR), (1, _AWAY))),
+    ("Polygon", ((0, _FOUR),)),
+    ("Point", ((0, ((4e-3, 4e-3),)),)),
+    ("LineString", ((0, _FOUR[:3]),)),
+    ("MultiPolygon", ((0, _FIVE), (0, _HOLE), (1, _AWAY))),
+)
 
 
 def _select(spark: SparkSession, sf_dir: str, table: str, sql: str) -> DataFrame:
@@ -71,15 +84,35 @@ def raw_bids(spark: SparkSession, sf_dir: str) -> DataFrame:
 def keyed_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Features with ``cadnum``, origin and GeoJSON geometry."""
     rows = _select(spark, sf_dir, "supplier", FEATURES)
-    corners = [
-        F.concat(F.lit("["), (F.col("x0") + dx).cast("string"), F.lit(","), (F.col("y0") + dy).cast("string"), F.lit("]"))
-        for dx, dy in OFFSETS
-    ]
-    ring = F.concat(F.lit("[["), F.concat_ws(",", *corners), F.lit("]]"))
-    geometry = F.when(F.col("has_geometry"), F.struct(F.lit("Polygon").alias("type"), ring.alias("coordinates")))
+
+    def text(kind: str, rings) -> Column:
+        parts: dict[int, list[Column]] = {}
+        for part, ring in rings:
+            parts.setdefault(part, []).append(
+                _list([_list([(F.col("x0") + dx).cast("string"), (F.col("y0") + dy).cast("string")]) for dx, dy in ring])
+            )
+        polygons = [_list(part) for part in parts.values()]
+        if kind == "MultiPolygon":
+            return _list(polygons)
+        if kind == "Polygon":
+            return polygons[0]
+        line = parts[0][0]
+        return line if kind == "LineString" else F.regexp_replace(line, r"^\[|\]$", "")
+
+    def of_shape(values: list[Column]) -> Column:
+        return F.element_at(F.array(*values), (F.col("id") % len(SHAPES) + 1).cast("int"))
+
+    kinds = of_shape([F.lit(kind) for kind, _ in SHAPES])
+    coordinates = of_shape([text(kind, rings) for kind, rings in SHAPES])
+    geometry = F.when(F.col("has_geometry"), F.struct(kinds.alias("type"), coordinates.alias("coordinates")))
     return rows.withColumn("geometry", geometry)
 
 
+def _list(parts: list[Column]) -> Column:
+    """JSON text of a list of JSON texts."""
+    return F.concat(F.lit("["), F.concat_ws(",", *parts), F.lit("]"))
+
+
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Features as they come from GeoJSON: the key is only in the properties."""
     return keyed_features(spark, sf_dir).select(

@@ -112,6 +112,60 @@ def area_moments(geometry: Column) -> Column:
     return F.when(geometry["type"].isin("Polygon", "MultiPolygon"), total)
 
 
+def line_moments(geometry: Column) -> Column:
+    """``struct<length, mx, my>`` of a LineString or MultiLineString in the lon/lat plane; other kinds give NULL."""
+
+    def step(acc: Column, v: Column) -> Column:
+        x, y = F.get(v, 0), F.get(v, 1)
+        length = F.coalesce(F.hypot(x - acc["x"], y - acc["y"]), F.lit(0.0))
+        return F.struct(
+            x.alias("x"),
+            y.alias("y"),
+            (acc["length"] + length).alias("length"),
+            (acc["mx"] + length * F.coalesce((x + acc["x"]) / 2, F.lit(0.0))).alias("mx"),
+            (acc["my"] + length * F.coalesce((y + acc["y"]) / 2, F.lit(0.0))).alias("my"),
+        )
+
+    names = ("length", "mx", "my")
+    zero = [F.lit(0.0).alias(name) for name in names]
+    start = F.struct(F.lit(None).cast("double").alias("x"), F.lit(None).cast("double").alias("y"), *zero)
+    lines = F.transform(F.flatten(polygons(geometry)), lambda line: F.aggregate(line, start, step))
+    total = F.aggregate(
+        lines, F.struct(*zero), lambda acc, part: F.struct(*[(acc[name] + part[name]).alias(name) for name in names])
+    )
+    return F.when(geometry["type"].isin("LineString", "MultiLineString"), total)
+
+
+def centroid_parts(geometry: Column) -> Column:
+    """What a geometry adds to the centroid of many: ``array<struct<dimension, part, weight, mx, my>>``.
+
+    A polygon or line is one part, weighted by area or length and named by a hash of its text; points are a part
+    each, weighing 1 and named by their position. So parts that occur twice can be told by their names, which are
+    short. No geometry gives NULL.
+    """
+    name = F.sha2(F.concat(geometry["type"], geometry["coordinates"]), 256)
+
+    def one(dimension: int, moments: Column, weight: str) -> Column:
+        return F.array(_part(F.lit(dimension), name, moments[weight], moments["mx"], moments["my"]))
+
+    points = F.transform(
+        vertices(geometry),
+        lambda v: _part(F.lit(0), F.concat_ws(",", F.get(v, 0), F.get(v, 1)), F.lit(1.0), F.get(v, 0), F.get(v, 1)),
+    )
+    kind = geometry["type"]
+    return (
+        F.when(kind.isin("Polygon", "MultiPolygon"), one(2, area_moments(geometry), "area"))
+        .when(kind.isin("LineString", "MultiLineString"), one(1, line_moments(geometry), "length"))
+        .when(kind.isin("Point", "MultiPoint"), points)
+    )
+
+
+def _part(dimension: Column, name: Column, weight: Column, mx: Column, my: Column) -> Column:
+    return F.struct(
+        dimension.alias("dimension"), name.alias("part"), weight.alias("weight"), mx.alias("mx"), my.alias("my")
+    )
+
+
 def distance_m(lat: Column, lon: Column, lat0: float | Column, lon0: float | Column) -> Column:
     """Metres from a fixed point on the WGS84 ellipsoid.
 

@@ -35,23 +35,35 @@ def cp1251_to_latin1(text: Column) -> Column:
     return _unless_ascii(text, F.translate(text, _AS_CP1251 + _ONLY_LATIN1, _AS_LATIN1 + unknown))
 
 
+def _as_utf8(text: Column) -> Column:
+    return F.encode(text, "ISO-8859-1").cast("string")
+
+
+def is_utf8(text: Column) -> Column:
+    """Whether text that was read as Latin-1 is valid UTF-8."""
+    return ~text.rlike(r"[^\x00-\x7F]") | F.is_valid_utf8(_as_utf8(text))
+
+
+def utf8_from_latin1(text: Column) -> Column:
+    """Text whose UTF-8 bytes were read as Latin-1, put right."""
+    return _unless_ascii(text, _as_utf8(text))
+
+
 def utf8_or_cp1251(text: Column) -> Column:
     """Text read as Latin-1 of unknown encoding: UTF-8 where its bytes are valid UTF-8, else windows-1251.
 
-    Decided for each value from all of its bytes, in the scan that needs it, so there is no sample that
-    could mislead and no second pass.
+    Decided for each value by itself; a short windows-1251 value may happen to be valid UTF-8.
     """
-    as_utf8 = F.encode(text, "ISO-8859-1").cast("string")
-    return _unless_ascii(text, F.when(F.is_valid_utf8(as_utf8), as_utf8).otherwise(F.translate(text, _AS_LATIN1, _AS_CP1251)))
+    return F.when(is_utf8(text), utf8_from_latin1(text)).otherwise(cp1251_from_latin1(text))
 
 
-def decode_name(name: str) -> str:
-    """Driver-side twin of :func:`utf8_or_cp1251` for a column name of the header."""
-    raw = name.encode("latin-1")
+def decode_names(names: list[str]) -> list[str]:
+    """Column names of a header read as Latin-1: UTF-8 if all of them are, else windows-1251."""
+    raw = [name.encode("latin-1") for name in names]
     try:
-        return raw.decode("utf-8")
+        return [name.decode("utf-8") for name in raw]
     except UnicodeDecodeError:
-        return raw.decode("cp1251", "replace")
+        return [name.decode("cp1251", "replace") for name in raw]
 
 
 def escape_html(text: Column) -> Column:

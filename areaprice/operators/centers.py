@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.geometry import area_moments, vertices
+from ..functions.geometry import area_moments, centroid_parts, vertices
+from ..functions.numbers import nan_to_null
 
 
 def bids_center(bids: DataFrame) -> DataFrame:
@@ -13,6 +14,18 @@ def bids_center(bids: DataFrame) -> DataFrame:
     return bids.agg(F.avg("lat").alias("lat"), F.avg("lon").alias("lon"))
 
 
+def bids_summary(bids: DataFrame) -> DataFrame:
+    """One row about offers: their number ``n``, mean position ``lat`` and ``lon``, price scale ``lo`` and ``hi``."""
+    price = nan_to_null(F.col("price_per_sqm").cast("double"))
+    return bids.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.avg("lat").alias("lat"),
+        F.avg("lon").alias("lon"),
+        F.min(price).alias("lo"),
+        F.max(price).alias("hi"),
+    )
+
+
 def bbox_center(features: DataFrame) -> DataFrame:
     """Middle of the bounding box of all vertices."""
     points = features.select(vertices(F.col("geometry")).alias("v"))
@@ -32,26 +45,25 @@ def bbox_center(features: DataFrame) -> DataFrame:
 def union_center(features: DataFrame) -> DataFrame:
     """Centroid of all geometries together, in the lon/lat plane.
 
-    Polygons are weighted by area and, as in a geometric union, a geometry that occurs twice counts once;
-    polygons that overlap in part are not dissolved. Points count only if there is no polygon.
+    As in a geometric union, a geometry that occurs twice counts once; polygons that overlap in part are not
+    dissolved. Polygons are weighted by area; only if none has any, lines by length, and without these the points.
     """
-    shapes = features.select("geometry.type", "geometry.coordinates").where("coordinates is not null").distinct()
-    shape = F.struct("type", "coordinates")
-    moments = shapes.where(F.col("type").isin("Polygon", "MultiPolygon")).select(area_moments(shape).alias("m"))
-    polygons = moments.agg(*[F.sum(f"m.{name}").alias(name) for name in ("area", "mx", "my")])
-    points = (
-        shapes.where(F.col("type").isin("Point", "MultiPoint"))
-        .select(F.explode(vertices(shape)).alias("v"))
-        .select(F.get("v", 0).alias("lon"), F.get("v", 1).alias("lat"))
-        .distinct()
-        .agg(F.struct(F.avg("lat").alias("lat"), F.avg("lon").alias("lon")).alias("p"))
-    )
-    has_area = F.col("area") > 0
-    return polygons.withColumn("p", points.scalar()).select(
-        F.when(has_area, F.col("my") / F.col("area")).otherwise(F.col("p.lat")).alias("lat"),
-        F.when(has_area, F.col("mx") / F.col("area")).otherwise(F.col("p.lon")).alias("lon"),
+    return parts_center(features.select(centroid_parts(F.col("geometry")).alias("parts")))
+
+
+def parts_center(parts: DataFrame) -> DataFrame:
+    """:func:`union_center` from the ``parts`` of each feature. Names and moments are shuffled, no geometry is."""
+    numbers = ("weight", "mx", "my")
+    single = parts.select(F.inline("parts")).groupBy("dimension", "part").agg(*[F.first(n).alias(n) for n in numbers])
+    sums = single.agg(
+        *[F.sum(F.when(F.col("dimension") == d, F.col(n))).alias(f"{n}{d}") for d in (2, 1, 0) for n in numbers]
     )
 
+    def middle(moment: str) -> Column:
+        return F.coalesce(*[F.when(F.col(f"weight{d}") > 0, F.col(f"{moment}{d}") / F.col(f"weight{d}")) for d in (2, 1, 0)])
+
+    return sums.select(middle("my").alias("lat"), middle("mx").alias("lon"))
+
 
 def area_centroids(features: DataFrame) -> DataFrame:
     """Features with ``centroid_lon`` and ``centroid_lat`` of their polygons; NULL for other geometries."""

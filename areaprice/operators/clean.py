@@ -13,6 +13,7 @@ from ..functions.numbers import number_of, quoted
 # Building years and registration period of the filtered map.
 YEARS = (1964, 1972)
 PERIOD = "01.07.2025"
+PERIOD_FORMAT = "dd.MM.yyyy"
 
 
 def clean_prices(df: DataFrame, price: str = "price_per_sqm", policy: str = "positive") -> DataFrame:
@@ -41,11 +42,17 @@ def filter_period(
     year_column: str = "year_build",
     period_column: str = "period_start_date",
 ) -> DataFrame:
-    """Keep an inclusive range of building years and one period, given as its text."""
+    """Keep an inclusive range of building years and one period, given as its text (``dd.MM.yyyy``).
+
+    A text column is compared as text; a date or timestamp column with the day that the text names.
+    """
     if years is not None:
         df = df.where(F.col(year_column).between(*years))
     if period is not None:
-        df = df.where(F.col(period_column) == period)
+        found, wanted = F.col(quoted(period_column)), F.lit(period)
+        if isinstance(df.schema[period_column].dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+            found, wanted = found.cast("date"), F.to_date(wanted, PERIOD_FORMAT)
+        df = df.where(found == wanted)
     return df
 
 

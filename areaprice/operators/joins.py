@@ -21,11 +21,13 @@ def join_features(
     how: str = "left",
     suffixes: tuple[str, str] = ("", "_other"),
     null_keys_match: bool = False,
+    unique: bool = False,
 ) -> DataFrame:
     """Join features with a table on a key that both have; a key found twice repeats the row.
 
     Other columns that both sides have get the suffixes. NULL keys match nothing unless asked to match each
-    other. Keys of different types are an error, not a cast.
+    other. Keys of different types are an error, not a cast. ``unique=True`` says that no key occurs twice in the
+    table; then a left join is a single one, which reads each side once.
     """
     if how not in HOW:
         raise ValueError(f"Unknown join {how!r}, expected one of {HOW}")
@@ -53,6 +55,8 @@ def join_features(
                 columns.append(column.alias(field.name))
         return joined.select(columns)
 
+    if unique and how == "left":
+        return result(left.join(right, matches, "left"))
     # An outer join can neither broadcast the side it preserves nor split a hot key of the other side. The
     # inner join can, and what remains is looked up among distinct keys.
     parts = [result(left.join(right, matches, "inner"))]
@@ -71,10 +75,11 @@ def with_area_key(features: DataFrame, paths: tuple[str, ...] = KEY_PATHS) -> Da
 def features_with_keys(
     features: DataFrame, keys: DataFrame, key: str = "quarter_cad_number", require_geometry: bool = True
 ) -> DataFrame:
-    """Features whose ``cadnum`` is among the keys and, unless told otherwise, that have a geometry."""
+    """Features whose ``cadnum`` is among the keys, taken as text, and, unless told otherwise, that have a geometry."""
     if require_geometry:
         features = features.where("geometry is not null")
-    return features.join(keys.select(F.col(key).alias("_wanted")).distinct(), F.col("cadnum") == F.col("_wanted"), "left_semi")
+    wanted = keys.select(F.col(quoted(key)).cast("string").alias("_wanted")).distinct()
+    return features.join(wanted, F.col("cadnum") == F.col("_wanted"), "left_semi")
 
 
 def unique_by_key(metrics: DataFrame, key: str = "quarter_cad_number") -> DataFrame:
@@ -95,7 +100,7 @@ def lookup_stats(
     how: str = "left",
     unique: bool = False,
 ) -> DataFrame:
-    """Add the statistics of its area to each feature; NULLs where the area has none.
+    """Add the statistics of its area to each feature; NULLs where the area has none. Keys are compared as text.
 
     ``unique=True`` says that no key occurs twice, as after an aggregation; otherwise that is checked.
     ``how="inner"`` also drops features without statistics.
@@ -104,5 +109,5 @@ def lookup_stats(
     metrics = metrics.select(key, *columns)
     if not unique:
         metrics = unique_by_key(metrics, key)
-    metrics = metrics.withColumnRenamed(key, "_area")
+    metrics = metrics.select(F.col(quoted(key)).cast("string").alias("_area"), *[F.col(quoted(name)) for name in columns])
     return features.drop(*columns).join(metrics, F.col("cadnum") == F.col("_area"), how).drop("_area")

@@ -83,8 +83,9 @@ def area_layers(
 ) -> DataFrame:
     """One coloured row per feature and metric; ``layers`` maps each metric to the name of its layer.
 
-    The scale of a metric spans all areas in ``metrics``, also those without a feature. All metrics come
-    from one join and all scales from one aggregate. ``metrics`` is read twice, so pass a stored table.
+    The scale of a metric spans all areas in ``metrics``, also those without a feature; a metric without any
+    value has no layer. All metrics come from one join and all scales from one aggregate. ``metrics`` is read
+    twice, so pass a stored table.
     """
     joined = lookup_stats(features, metrics, [*layers, "count"], how=how, unique=unique)
     domain = metrics.agg(
@@ -103,12 +104,59 @@ def area_layers(
         ]
     )
     spread = joined.withColumn("_scales", _bounds(domain)).select("cadnum", "geometry", "count", F.inline(rows))
-    colored = _ramp(spread, "value", palette, MISSING_COLOR, opacity)
+    colored = _ramp(spread.where("_scale.lo is not null"), "value", palette, MISSING_COLOR, opacity)
     return colored.select(
         "layer", "cadnum", "geometry", "value", "count", "fill_color", "fill_opacity", "tooltip"
     )
 
 
+def median_layers(
+    shown: DataFrame,
+    sides: Mapping[str, tuple[str, DataFrame]],
+    title: str,
+    palette: str = "YlOrRd",
+    long: bool = False,
+) -> DataFrame:
+    """Areas coloured by their median and their labels, for one map or several, in one pass over the features.
+
+    ``shown`` has ``cadnum``, ``geometry`` and, for each map in ``sides``, ``median``, ``median_round`` and ``count``
+    with the suffix named there; the metrics beside it give the scale. The rows have the name of their ``map``; those of the
+    layer ``title`` are areas, those of ``LAYER_LABELS`` are texts at the means of the vertices.
+    """
+    located = shown.withColumn("_at", label_point(F.col("geometry")))
+    rows = []
+    for name, (suffix, metrics) in sides.items():
+        located = located.withColumn(f"_scale{suffix}", _bounds(metric_domain(metrics, "median")))
+        median, whole, n = (f"{column}{suffix}" for column in ("median", "median_round", "count"))
+        area = {
+            "map": F.lit(name),
+            "layer": F.lit(title),
+            "geometry": F.col("geometry"),
+            "value": F.col(median),
+            "median_round": F.col(whole),
+            "count": F.col(n),
+            "_scale": F.col(f"_scale{suffix}"),
+            "tooltip": tooltip({"cadnum": TITLE_KEY, whole: title, n: "Количество"}),
+            "lat": F.lit(None).cast("double"),
+            "lon": F.lit(None).cast("double"),
+            "text": F.lit(None).cast("string"),
+        }
+        text = area_label(F.col("cadnum"), F.col(whole), F.col(n), long)
+        label = {"layer": F.lit(LAYER_LABELS), "lat": F.col("_at.lat"), "lon": F.col("_at.lon"), "text": text}
+        kept = {"map", "layer", "lat", "lon", "text"}
+        rows.append(F.struct(*[column.alias(key) for key, column in area.items()]))
+        rows.append(
+            F.struct(*[label.get(key, column if key in kept else F.when(F.lit(False), column)).alias(key) for key, column in area.items()])
+        )
+    spread = located.select("cadnum", F.inline(F.array(*rows)))
+    colored = _ramp(spread, "value", palette, MISSING_COLOR, AREA_OPACITY)
+    is_area = F.col("layer") == title
+    style = {name: F.when(is_area, F.col(name)) for name in ("fill_color", "fill_opacity")}
+    return colored.withColumns(style).select(
+        "map", "layer", "cadnum", "geometry", "value", "median_round", "count", *style, "tooltip", "lat", "lon", "text"
+    )
+
+
 def bids_layer(
     bids: DataFrame,
     palette: str | None,
@@ -116,12 +164,16 @@ def bids_layer(
     address: str,
     price: str | None = None,
     name: str = LAYER_BIDS,
+    domain: DataFrame | None = None,
 ) -> DataFrame:
-    """One point per offer with its popup; coloured by price per square metre, or black without a palette."""
+    """One point per offer with its popup; coloured by price per square metre, or black without a palette.
+
+    The scale is ``domain``, a row with ``lo`` and ``hi``, or that of the offers, for which they are read once more.
+    """
     if palette is None:
         colored = bids.withColumns({"fill_color": F.lit("black"), "fill_opacity": F.lit(opacity)})
     else:
-        domain = metric_domain(bids, "price_per_sqm")
+        domain = metric_domain(bids, "price_per_sqm") if domain is None else domain
         colored = color_ramp(bids, "price_per_sqm", domain, palette, opacity=(opacity, opacity))
     popup = bid_popup(F.col(quoted(address)), F.col("price_per_sqm"), F.col(quoted(price)) if price else None)
     return colored.select(

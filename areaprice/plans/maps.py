@@ -9,21 +9,20 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.geometry import centroid_parts
 from ..functions.keys import KEY_PATHS
-from ..functions.numbers import number_of
-from ..operators.centers import bbox_center, bids_center, union_center
+from ..functions.numbers import number_of, quoted
+from ..operators.centers import bbox_center, bids_summary, parts_center
 from ..operators.clean import PERIOD, YEARS, clean_prices, filter_period, require_columns, require_rows
 from ..operators.joins import join_features, lookup_stats, with_area_key
 from ..operators.layers import (
     LAYER_ARITH_MEAN,
     LAYER_GEOM_MEAN,
     LAYER_MEDIAN,
-    TITLE_KEY,
     area_layers,
     bids_layer,
     class_bins,
-    color_ramp,
-    labels_layer,
+    median_layers,
     tooltip,
 )
 from ..operators.stats import area_median, area_stats, metric_domain
@@ -41,38 +40,43 @@ MEDIAN_TITLE = "Медиана цены за кв.м"
 
 
 class MapLayers(NamedTuple):
-    """Content of a map: coloured areas, points with texts (offers or labels) and the centre."""
+    """Content of a map: coloured areas, points with texts (offers or labels) and the centre.
+
+    ``together`` has the rows of all layers where one pass over the features makes them.
+    """
 
     areas: DataFrame
     points: DataFrame | None
     center: DataFrame
+    together: DataFrame | None = None
 
     def rows(self) -> DataFrame:
         """All layers in one table, ready for ``write_layer``."""
+        if self.together is not None:
+            return self.together
         parts = [part for part in (self.areas, self.points) if part is not None]
         return functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
+class TwoMaps(NamedTuple):
+    """Two maps of the same areas. ``together`` has the rows of both, told apart by ``map``, in one pass."""
+
+    first: MapLayers
+    second: MapLayers
+    together: DataFrame
+
+
 def _keyed(features: DataFrame) -> DataFrame:
     """Features that already carry their key, as a column or as the property ``cadnum``."""
     return features if "cadnum" in features.columns else with_area_key(features, ("$.cadnum", *KEY_PATHS))
 
 
-def _median_layer(shown: DataFrame, metrics: DataFrame, palette: str = "YlOrRd") -> DataFrame:
-    """Coloured rows of features that have their median already; the scale spans all of ``metrics``."""
-    titles = {"cadnum": TITLE_KEY, "median_round": MEDIAN_TITLE, "count": "Количество"}
-    colored = color_ramp(shown, "median", metric_domain(metrics, "median"), palette)
-    return colored.select(
-        F.lit(MEDIAN_TITLE).alias("layer"),
-        "cadnum",
-        "geometry",
-        F.col("median").alias("value"),
-        "median_round",
-        "count",
-        "fill_color",
-        "fill_opacity",
-        tooltip(titles).alias("tooltip"),
-    )
+def _median_map(rows: DataFrame, name: str, center: DataFrame) -> MapLayers:
+    """One of the maps in the rows of :func:`median_layers`."""
+    own = rows.where(F.col("map") == name).drop("map")
+    is_area = F.col("layer") == MEDIAN_TITLE
+    areas = own.where(is_area).drop("lat", "lon", "text")
+    return MapLayers(areas, own.where(~is_area).select("layer", "cadnum", "lat", "lon", "text"), center, own)
 
 
 def map_quick(
@@ -82,19 +86,29 @@ def map_quick(
     value_column: str | None = None,
     tooltip_columns: Iterable[str] = (),
     classes: int = 6,
+    unique: bool = False,
 ) -> MapLayers:
-    """Any table joined to any features on a key, coloured by classes of one column."""
-    joined = join_features(features, table, on)
+    """Any table joined to any features on a key, coloured by classes of one column; no features are an error.
+
+    The features are read for the rows and, once before, for what is needed of them all: the keys that belong to
+    the scale, and the centre. ``unique=True`` says that no key occurs twice in the table, which saves another pass.
+    """
+    columns = [F.col(quoted(on)).alias("key"), centroid_parts(F.col("geometry")).alias("parts")]
+    known = require_rows(stored(features.select(columns)), "No features")
+    joined = join_features(features, table, on, unique=unique)
     areas = joined
     if value_column:
+        values = table if value_column in table.columns else features
+        on_map = values.join(known.select(F.col("key").alias("_known")).distinct(), F.col(quoted(on)) == F.col("_known"), "left_semi")
+        scale = metric_domain(on_map.select(number_of(values, value_column).alias("value")), "value")
         areas = areas.withColumn(value_column, number_of(joined, value_column))
-        areas = class_bins(areas, value_column, metric_domain(areas, value_column), classes)
+        areas = class_bins(areas, value_column, scale, classes)
     tooltip_columns = list(tooltip_columns)
     if tooltip_columns:
         require_columns(joined, tooltip_columns, "joined table")
         areas = areas.withColumn("tooltip", tooltip({name: name for name in tooltip_columns}))
     # A left join keeps every feature, so the features alone give the centre of the joined map.
-    return MapLayers(areas, None, union_center(features))
+    return MapLayers(areas, None, parts_center(known))
 
 
 def map_deals_bids(deals: DataFrame, bids: DataFrame, features: DataFrame) -> MapLayers:
@@ -104,18 +118,21 @@ def map_deals_bids(deals: DataFrame, bids: DataFrame, features: DataFrame) -> Ma
     areas = area_layers(
         with_area_key(features), metrics, HEAT_LAYERS, opacity=(0.7, 0.2), count_title="Число сделок", how="inner", unique=True
     )
-    return MapLayers(areas, bids_layer(bids, "Blues", 0.8, BID_ADDRESS), bids_center(bids))
+    summary = stored(bids_summary(bids))
+    points = bids_layer(bids, "Blues", 0.8, BID_ADDRESS, domain=summary.select("lo", "hi"))
+    return MapLayers(areas, points, summary.select("lat", "lon"))
 
 
 def map_bids(bids: DataFrame, metrics: DataFrame | None, features: DataFrame | None) -> MapLayers:
     """Offers on a bright scale over the three deal metrics, if those and the features are there."""
-    require_rows(bids, "No offers with coordinates and price")
-    points = bids_layer(bids, "YlOrRd", 0.9, BID_ADDRESS, BID_PRICE)
+    summary = stored(bids_summary(bids))
+    require_rows(summary.where("n > 0"), "No offers with coordinates and price")
+    points = bids_layer(bids, "YlOrRd", 0.9, BID_ADDRESS, BID_PRICE, domain=summary.select("lo", "hi"))
     areas = None
     if metrics is not None and features is not None:
         require_columns(metrics, [AREA_KEY, *METRIC_LAYERS, "count"], "metrics")
         areas = area_layers(_keyed(features), metrics, METRIC_LAYERS, opacity=(0.6, 0.1))
-    return MapLayers(areas, points, bids_center(bids))
+    return MapLayers(areas, points, summary.select("lat", "lon"))
 
 
 def map_median(metrics: DataFrame, features: DataFrame) -> MapLayers:
@@ -126,12 +143,12 @@ def map_median(metrics: DataFrame, features: DataFrame) -> MapLayers:
 
 def map_median_bids(metrics: DataFrame, bids: DataFrame, features: DataFrame) -> MapLayers:
     """Median layer under black points of offers."""
-    areas, _, center = map_median(metrics, features)
-    return MapLayers(areas, bids_layer(bids, None, 0.9, BID_ADDRESS, BID_PRICE), center)
+    below = map_median(metrics, features)
+    return below._replace(points=bids_layer(bids, None, 0.9, BID_ADDRESS, BID_PRICE))
 
 
-def map_two_periods(deals_a: DataFrame, deals_b: DataFrame, features: DataFrame) -> tuple[MapLayers, MapLayers]:
-    """Two maps of the same areas, those with deals in either period, each on its own scale."""
+def map_two_periods(deals_a: DataFrame, deals_b: DataFrame, features: DataFrame) -> TwoMaps:
+    """Two maps, ``a`` and ``b``, of the same areas, those with deals in either period, each on its own scale."""
     metrics = [stored(area_median(clean_prices(deals, policy="present"))) for deals in (deals_a, deals_b)]
     columns = ("median", "median_round", "count")
     sides = [
@@ -142,11 +159,10 @@ def map_two_periods(deals_a: DataFrame, deals_b: DataFrame, features: DataFrame)
     shown = with_area_key(features.where("geometry is not null"))
     shown = lookup_stats(shown, both, how="inner", unique=True)
     center = bbox_center(shown)
-    maps = []
-    for part, side in zip(metrics, "ab", strict=True):
-        own = shown.select("cadnum", "geometry", *[F.col(f"{name}_{side}").alias(name) for name in columns])
-        maps.append(MapLayers(_median_layer(own, part), labels_layer(own, long=True), center))
-    return maps[0], maps[1]
+    rows = median_layers(
+        shown, {side: (f"_{side}", part) for side, part in zip("ab", metrics, strict=True)}, MEDIAN_TITLE, long=True
+    )
+    return TwoMaps(_median_map(rows, "a", center), _median_map(rows, "b", center), rows)
 
 
 def map_labeled(
@@ -160,7 +176,8 @@ def map_labeled(
     metrics = area_median(clean_prices(filter_period(deals, years, period)))
     metrics = require_rows(stored(metrics), "No deals left after filtering")
     shown = lookup_stats(with_area_key(features.where("geometry is not null")), metrics, how="inner", unique=True)
-    return MapLayers(_median_layer(shown, metrics, palette), labels_layer(shown), bbox_center(shown))
+    rows = median_layers(shown, {"": ("", metrics)}, MEDIAN_TITLE, palette)
+    return _median_map(rows, "", bbox_center(shown))
 
 
 def map_labeled_filtered(deals: DataFrame, features: DataFrame, period: str = PERIOD) -> MapLayers:

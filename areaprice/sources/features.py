@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.geometry import GEOMETRY_TYPE
 from .tables import _existing
@@ -14,14 +17,22 @@ COLLECTION_HEAD = r'^\{(\s*"type"\s*:\s*"FeatureCollection".*)?$'
 FEATURE_TYPE = f"struct<id:string,type:string,geometry:{GEOMETRY_TYPE},properties:string>"
 
 
-def read_features(spark: SparkSession, path: str, lines: bool = False, id_column: str | None = None) -> DataFrame:
+def read_features(
+    spark: SparkSession,
+    path: str,
+    lines: bool = False,
+    id_column: str | None = None,
+    properties: Iterable[str] | str | T.StructType = (),
+) -> DataFrame:
     """One row per GeoJSON feature: ``id``, ``type``, ``geometry``, ``properties`` (JSON text).
 
     A FeatureCollection is one JSON document and thus one task per file. For large layers use one feature
     per line (``lines=True``), which Spark splits: plain newline-delimited features, text sequences with
     record separators, and collections written with a feature on each line all work.
 
-    ``id_column`` names a property (or ``id``) to become a key column; if no feature has it, ``KeyError``.
+    ``id_column`` names a property (or ``id``) to become a key column; if no feature has it, ``KeyError``. That is
+    checked by a job of its own, which reads up to the first feature that has it; with one document per file this
+    parses the document. ``properties`` adds further properties as columns, see :func:`with_properties`, unchecked.
     """
     if lines:
         text = _existing(path, lambda: spark.read.text(path))
@@ -32,6 +43,7 @@ def read_features(spark: SparkSession, path: str, lines: bool = False, id_column
     else:
         reader = spark.read.schema(f"features array<{FEATURE_TYPE}>").options(multiLine=True, mode="FAILFAST")
         features = _existing(path, lambda: reader.json(path)).select(F.inline("features"))
+    features = with_properties(features, properties) if properties else features
     return with_id(features, id_column) if id_column else features
 
 
@@ -43,6 +55,23 @@ def with_id(features: DataFrame, id_column: str) -> DataFrame:
     return features.withColumn(id_column, key)
 
 
+def with_properties(features: DataFrame, properties: Iterable[str] | str | T.StructType) -> DataFrame:
+    """Features with top-level properties as columns, NULL where a feature lacks one.
+
+    Either names, for text columns (objects and arrays as their JSON), or a schema, as a type or in DDL, for typed
+    ones. All come from one parse of the properties. A name that the features have already is an error.
+    """
+    if isinstance(properties, str):
+        properties = T.StructType.fromDDL(properties)
+    if not isinstance(properties, T.StructType):
+        properties = T.StructType([T.StructField(name, T.StringType()) for name in properties])
+    if taken := set(properties.names) & set(features.columns):
+        raise ValueError(f"The features have columns {sorted(taken)} already")
+    parsed = features.withColumn("_properties", F.from_json("properties", properties))
+    columns = {name: F.col("_properties")[name] for name in properties.names}
+    return parsed.withColumns(columns).drop("_properties")
+
+
 def property_text(name: str):
     """Value of a top-level property as text; NULL if absent."""
     return F.get_json_object("properties", f"$['{name}']")

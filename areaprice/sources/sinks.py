@@ -12,8 +12,20 @@ from ..functions.text import cp1251_to_latin1
 from .tables import _CP1251_NAMES
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite", encoding: str = "UTF-8", **options: object) -> str:
-    """Write delimited text with a header into a directory of part files."""
+def write_csv(
+    df: DataFrame,
+    path: str,
+    mode: str = "overwrite",
+    encoding: str = "UTF-8",
+    order_by: Iterable[str] = (),
+    **options: object,
+) -> str:
+    """Write delimited text with a header into a directory of part files.
+
+    With ``order_by`` rows are in that order, NULL first, within the files and from one to the next by name.
+    """
+    if order_by := list(order_by):
+        df = df.orderBy(*[F.col(quoted(name)) for name in order_by])
     if encoding.lower() in _CP1251_NAMES:
         text = [name for name, kind in df.dtypes if kind == "string"]
         df = df.withColumns({name: cp1251_to_latin1(F.col(quoted(name))) for name in text})

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from functools import reduce
+from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.numbers import lenient_double, missing_to_null, number_of, quoted, without_spaces
-from ..functions.text import cp1251_from_latin1, decode_name, utf8_or_cp1251
+from ..functions.text import cp1251_from_latin1, decode_names, is_utf8, utf8_from_latin1, utf8_or_cp1251
 from ..operators.clean import drop_incomplete, keep_known, require_columns
 from ..operators.stats import area_stats
 
@@ -26,6 +29,8 @@ MEDIAN_COLUMNS = (AREA_KEY, "median", "count")
 
 # Quotes inside a quoted field are doubled; the header of every file must name the same columns.
 CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"', "enforceSchema": False}
+# A row with too many or too few fields is an error, which the parser sees only if it splits whole rows.
+STRICT_OPTIONS = {"mode": "FAILFAST", "columnPruning": False}
 _CP1251_NAMES = {"cp1251", "windows-1251", "1251"}
 
 
@@ -44,30 +49,75 @@ def read_table(spark: SparkSession, path: str, **options: object) -> DataFrame:
     raise ValueError(f"Unsupported table format: .{suffix}")
 
 
-def read_delimited(spark: SparkSession, path: str, sep: str = ",", encoding: str = "UTF-8", **options: object) -> DataFrame:
-    """Read delimited text with a header; ``encoding="auto"`` takes UTF-8 and windows-1251 alike."""
+def read_delimited(
+    spark: SparkSession, path: str, sep: str = ",", encoding: str = "UTF-8", strict: bool = True, **options: object
+) -> DataFrame:
+    """Read delimited text with a header.
+
+    ``encoding="auto"`` takes UTF-8 and windows-1251, settled for each file from all of its values, for which the
+    files are read once more; ``"auto_value"`` settles it for each value in the one scan. With a ``schema`` the
+    columns must have its names, and text in it is decoded like any other.
+
+    A row with more or fewer fields than the header, or with a value that the schema's type can't hold, is an
+    error, whatever columns are used later; for that, whole rows are parsed. ``strict=False`` is for clean data:
+    only the needed columns are parsed, surplus fields are dropped and missing ones NULL. A quoted field with line
+    breaks in it needs ``multiLine=True``, with which a file is one task; without it such a row is an error too.
+    """
     schema = options.pop("schema", None)
-    decode, name_of = _decoder(encoding)
-    options = {**CSV_OPTIONS, "sep": sep, "encoding": "ISO-8859-1" if decode else encoding, **options}
+    decode = _decoder(encoding)
+    options = {**CSV_OPTIONS, **(STRICT_OPTIONS if strict else {}), "sep": sep, **options}
+    options["encoding"] = "ISO-8859-1" if decode else encoding
     reader = spark.read.options(**options)
-    if schema is not None:
-        return _existing(path, lambda: reader.schema(schema).csv(path))
     raw = _existing(path, lambda: reader.csv(path))
+    names = decode.names(raw.columns) if decode else raw.columns
+    if schema is not None:
+        schema = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+        if schema.names != names:
+            raise ValueError(f"The columns of {path} are {names}, not {schema.names}")
+        hidden = T.StructType([T.StructField(old, field.dataType) for old, field in zip(raw.columns, schema, strict=True)])
+        raw = spark.read.options(**options).schema(hidden).csv(path)
+    text = [name for name, kind in raw.dtypes if kind == "string"]
+    if decode and text:
+        raw = decode.table(raw, text)
     columns = []
-    for name, kind in raw.dtypes:
+    for name, new in zip(raw.columns, names, strict=True):
         column = F.col(quoted(name))
-        if kind == "string":
-            column = missing_to_null(decode(column) if decode else column)
-        columns.append(column.alias(name_of(name)))
+        columns.append((missing_to_null(column) if name in text else column).alias(new))
     return raw.select(columns)
 
 
-def _decoder(encoding: str):
+class _Decoder(NamedTuple):
+    """How to put right text that was read as Latin-1: the names of the header, and the columns of a table."""
+
+    names: Callable[[list[str]], list[str]]
+    table: Callable[[DataFrame, list[str]], DataFrame]
+
+
+def _decoder(encoding: str) -> _Decoder | None:
+    def each(decode: Callable[[Column], Column]) -> Callable[[DataFrame, list[str]], DataFrame]:
+        return lambda raw, text: raw.withColumns({name: decode(F.col(quoted(name))) for name in text})
+
     if encoding.lower() in _CP1251_NAMES:
-        return cp1251_from_latin1, lambda name: name.encode("latin-1").decode("cp1251", "replace")
+        return _Decoder(lambda names: [name.encode("latin-1").decode("cp1251", "replace") for name in names], each(cp1251_from_latin1))
+    if encoding.lower() == "auto_value":
+        return _Decoder(decode_names, each(utf8_or_cp1251))
     if encoding.lower() == "auto":
-        return utf8_or_cp1251, decode_name
-    return None, lambda name: name
+        return _Decoder(decode_names, _decode_by_file)
+    return None
+
+
+def _decode_by_file(raw: DataFrame, text: list[str]) -> DataFrame:
+    """Text of files that are UTF-8 if all their values are valid, else windows-1251."""
+    valid = F.every(reduce(lambda a, b: a & b, [is_utf8(F.coalesce(F.col(quoted(name)), F.lit(""))) for name in text]))
+    file = F.col("_metadata.file_path")
+    by_file = raw.groupBy(file.alias("_in_file")).agg(valid.alias("_utf8"))
+    named = raw.select("*", file.alias("_file"))
+    known = named.join(by_file, F.col("_file") == F.col("_in_file"))  # a row per file
+    decoded = {
+        name: F.when(F.col("_utf8"), utf8_from_latin1(F.col(quoted(name)))).otherwise(cp1251_from_latin1(F.col(quoted(name))))
+        for name in text
+    }
+    return known.withColumns(decoded).drop("_file", "_in_file", "_utf8")
 
 
 def _existing(path: str, read):
@@ -101,7 +151,7 @@ def read_probed(
     """Read deals of unknown dialect: the first separator whose header has the required column.
 
     Only headers are read to find the separator. Comma or semicolon, UTF-8 or windows-1251 all work; the
-    encoding is settled value by value during the one real scan.
+    encoding is settled for each file.
     """
     tried = []
     for sep in separators:

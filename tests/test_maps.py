@@ -98,7 +98,7 @@ def test_median_with_and_without_bids(features, bids, metrics):
 
 def test_two_periods(features, deals):
     early, late = deals.where("year_build <= 1969"), deals.where("year_build >= 1970")
-    first, second = maps.map_two_periods(early, late, features)
+    first, second, together = maps.map_two_periods(early, late, features)
     a, b = by_key(first.areas), by_key(second.areas)
     # Only q:a has early deals; q:b is still on the early map. Zero prices count on these maps.
     assert set(a) == set(b) == {"q:a", "q:b"}
@@ -106,6 +106,7 @@ def test_two_periods(features, deals):
     assert (b["q:a"].value, b["q:b"].value, b["q:b"]["count"]) == (550.0, 400.0, 3)
     assert {r.text for r in first.points.collect()} == {"q:a<br>мед: 100<br>n=1", "q:b<br>мед: —<br>n=—"}
     assert tuple(first.center.first()) == tuple(second.center.first()) == (0.5, 1.5)
+    assert together.groupBy("map", "layer").count().count() == 4 and first.rows().count() == 4
 
 
 def test_labeled(features, deals):

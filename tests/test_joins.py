@@ -1,6 +1,8 @@
 import pytest
+
 from pyspark.errors import PySparkException
 
+from areaprice.operators import joins
 from areaprice.operators.joins import features_with_keys, join_features, lookup_stats, with_area_key
 
 
@@ -67,3 +69,17 @@ def test_lookup_needs_unique_keys(spark):
     assert found == {"a": (1.5, 3), "b": (None, None), None: (None, None)}
     with pytest.raises(PySparkException, match="Duplicate area key a"):
         lookup_stats(features, metrics.union(metrics.where("median = 1.5")), ["count"]).collect()
+
+
+def test_numeric_keys_meet_text_keys(spark):
+    features = spark.createDataFrame([("7", 1), ("8", 2)], "cadnum string, geometry int")
+    metrics = spark.createDataFrame([(7, 5.0)], "quarter_cad_number long, median double")
+    assert [(r.cadnum, r.median) for r in joins.lookup_stats(features, metrics).orderBy("cadnum").collect()] == [("7", 5.0), ("8", None)]
+    assert [r.cadnum for r in joins.features_with_keys(features, metrics).collect()] == ["7"]
+
+
+def test_left_join_of_a_unique_table(spark):
+    left = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "k string, x int")
+    right = spark.createDataFrame([("a", 9), (None, 8)], "k string, x int")
+    found = joins.join_features(left, right, "k", unique=True)
+    assert sorted(map(tuple, found.collect()), key=repr) == sorted(map(tuple, joins.join_features(left, right, "k").collect()), key=repr)

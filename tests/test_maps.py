@@ -1,6 +1,7 @@
 import pytest
 
 from areaprice.plans import maps
+from areaprice.sources.features import with_properties
 from areaprice.sources.tables import clean_bids
 
 MEDIAN_LAYER = "Сделки: медиана цены за кв.м"
@@ -122,3 +123,23 @@ def test_labeled(features, deals):
     }
     with pytest.raises(ValueError, match="No deals"):
         maps.map_labeled(deals, features, period="01.01.1900")
+
+
+def test_metrics_without_values_have_no_layer(spark, features, bids, metrics):
+    empty = metrics.where("count < 0")
+    assert maps.map_median(empty, features).areas.count() == 0
+    without = metrics.selectExpr("quarter_cad_number", "arith_mean", "geom_mean", "cast(null as double) as median", "count")
+    layers = {r.layer for r in maps.map_bids(bids, without, features).areas.collect()}
+    assert len(layers) == 2 and MEDIAN_LAYER not in layers
+
+
+def test_no_features_are_an_error(spark, features):
+    table = spark.createDataFrame([("1", 5.0)], "id string, price double")
+    with pytest.raises(ValueError, match="No features"):
+        maps.map_quick(features.where("id = 'none'"), table, "id", "price")
+
+
+def test_property_in_the_tooltip_of_a_quick_map(spark, features):
+    table = spark.createDataFrame([("q:b", 5.0)], "label string, price double")
+    built = maps.map_quick(with_properties(features, ["label"]), table, "label", "price", ["label"], unique=True)
+    assert {r.tooltip["label"]: r.price for r in built.areas.collect()} == {"q:b": 5.0, "q:a": None, None: None}

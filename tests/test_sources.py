@@ -224,3 +224,63 @@ def test_layers_are_partitioned(spark, tmp_path):
     path = write_layer(layers, str(tmp_path / "layers"))
     assert sorted(p.name for p in (tmp_path / "layers").iterdir() if p.is_dir()) == ["layer=one", "layer=two"]
     assert spark.read.parquet(path).where("layer = 'two'").count() == 2
+
+
+def written(tmp_path, text, encoding="utf-8", name="t.csv"):
+    (tmp_path / name).write_bytes(text.encode(encoding))
+    return str(tmp_path / name)
+
+
+@pytest.mark.parametrize("schema", [None, "a string, b int"])
+@pytest.mark.parametrize("columns", [["a", "b"], ["a"]])
+@pytest.mark.parametrize("row", ["x,1,extra", "x", '"x\ny",1'])
+def test_malformed_rows_are_an_error_whatever_is_read(spark, tmp_path, schema, columns, row):
+    path = written(tmp_path, f"a,b\nfine,2\n{row}\n")
+    options = {"schema": schema} if schema else {}
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_table(spark, path, **options).select(columns).collect()
+
+
+def test_line_breaks_in_quotes_and_lenient_reading_are_options(spark, tmp_path):
+    path = written(tmp_path, 'a,b\n"x\ny",1\n')
+    assert rows(read_table(spark, path, multiLine=True)) == ["Row(a='x\\ny', b='1')"]
+    path = written(tmp_path, "a,b\nx,1,extra\ny\n", name="u.csv")
+    assert rows(read_table(spark, path, strict=False)) == ["Row(a='x', b='1')", "Row(a='y', b=None)"]
+
+
+@pytest.mark.parametrize("encoding", ["cp1251", "auto", "auto_value", "UTF-8"])
+def test_schema_path_decodes_text(spark, tmp_path, encoding):
+    path = written(tmp_path, "имя,n\nПривет,1\nNA,2\n", "cp1251" if encoding == "cp1251" else "utf-8")
+    found = read_table(spark, path, encoding=encoding, schema="`имя` string, n int")
+    assert rows(found) == ["Row(имя='Привет', n=1)", "Row(имя=None, n=2)"]
+    with pytest.raises(ValueError, match="columns"):
+        read_table(spark, path, encoding=encoding, schema="n int, `имя` string")
+
+
+def test_encoding_is_settled_for_each_file(spark, tmp_path):
+    folder = tmp_path / "mixed"
+    folder.mkdir()
+    # The windows-1251 bytes of the first value are valid UTF-8 for another letter.
+    (folder / "a.csv").write_bytes("price_per_sqm;t\n1;Рё\n2;Привет\n".encode("cp1251"))
+    (folder / "b.csv").write_bytes("price_per_sqm;t\n3;Рё\n4;plain\n".encode())
+    (folder / "c.csv").write_bytes(b"price_per_sqm;t\n5;ascii\n6;\n")
+    found = {r.price_per_sqm: r.t for r in read_probed(spark, str(folder)).collect()}
+    assert found == {1.0: "Рё", 2.0: "Привет", 3.0: "Рё", 4.0: "plain", 5.0: "ascii", 6.0: None}
+
+
+def test_property_columns(spark, tmp_path):
+    path = written(tmp_path, "\n".join(map(json.dumps, FEATURES)), name="f.geojson")
+    named = read_features(spark, path, lines=True, properties=["label", "n", "options"])
+    found = sorted(map(tuple, named.select("label", "n", "options").collect()), key=repr)
+    assert found == sorted([("a", "1", None), ("b", None, '{"cad_num":"c"}'), (None, None, None)], key=repr)
+    typed = read_features(spark, path, lines=True, properties="n int, options struct<cad_num: string>")
+    assert {(r.n, r.options and r.options.cad_num) for r in typed.collect()} == {(1, None), (None, "c"), (None, None)}
+    with pytest.raises(ValueError, match="id"):
+        read_features(spark, path, lines=True, properties=["id"])
+
+
+def test_sorted_sink(spark, tmp_path):
+    table = spark.createDataFrame([(i * 7 % 50, "x") for i in range(50)] + [(None, "y")], "k int, v string").repartition(4)
+    path = write_csv(table, str(tmp_path / "sorted"), order_by=["k"])
+    lines = [line for part in sorted((tmp_path / "sorted").glob("part-*")) for line in part.read_text().split()[1:]]
+    assert [line.split(",")[0] for line in lines] == ["", *map(str, range(50))] and path == str(tmp_path / "sorted")

@@ -127,6 +127,13 @@ def test_period_filter_is_inclusive(spark):
     assert filter_period(deals).count() == 6
 
 
+@pytest.mark.parametrize("kind", ["date", "timestamp", "timestamp_ntz"])
+def test_period_of_a_typed_column(spark, kind):
+    days = ["2025-07-01", "2025-04-01", None]
+    deals = spark.createDataFrame([(d,) for d in days], "period_start_date string").selectExpr(f"cast(period_start_date as {kind}) as period_start_date")
+    assert filter_period(deals, period="01.07.2025").count() == 1
+
+
 def test_domain_keys_and_checks(spark):
     deals = spark.createDataFrame([("a", 2.0), ("b", None), ("c", float("nan")), ("a", 9.0)], SCHEMA)
     assert tuple(metric_domain(deals, "price_per_sqm").first()) == (2.0, 9.0)

@@ -107,3 +107,19 @@ def test_distance_along_axes(one):
     degree = one(distance_m(F.lit(60.0), F.lit(30.001), 60.0, 30.0))
     assert degree == pytest.approx(math.radians(0.001) * 6378137 / math.sqrt(1 - 0.00669437999014 * 0.75) * 0.5, rel=1e-9)
     assert one(distance_m(F.lit(60.0), F.lit(30.0), 60.0, 30.0)) == 0
+
+
+def test_union_centre_takes_the_highest_dimension(spark):
+    line = ("LineString", "[[0,0],[4,0],[4,2]]")
+    lines = ("MultiLineString", "[[[10,10],[10,12]],[[0,0],[2,0]]]")
+    point, square = ("Point", "[100,100]"), ("Polygon", "[[[0,0],[2,0],[2,2],[0,2],[0,0]]]")
+    schema = "geometry struct<type:string,coordinates:string>"
+
+    def center(*shapes):
+        return tuple(union_center(spark.createDataFrame([(shape,) for shape in shapes], schema)).first())
+
+    assert center(line, line, point) == pytest.approx(((0 * 4 + 1 * 2) / 6, (2 * 4 + 4 * 2) / 6))
+    assert center(lines) == pytest.approx(((11 * 2 + 0 * 2) / 4, (10 * 2 + 1 * 2) / 4))
+    assert center(line, point, square, square, None) == pytest.approx((1.0, 1.0))
+    assert center(point, ("MultiPoint", "[[0,0],[100,100]]")) == pytest.approx((50.0, 50.0))
+    assert center(None) == (None, None)

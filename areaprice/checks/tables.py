@@ -66,6 +66,9 @@ SHAPES = (
     ("MultiPolygon", ((0, _FIVE), (0, _HOLE), (1, _AWAY))),
 )
 
+# Brackets fewer than a MultiPolygon has around its coordinates.
+DEPTHS = {"MultiPolygon": 0, "Polygon": 1, "LineString": 2, "Point": 3}
+
 
 def _select(spark: SparkSession, sf_dir: str, table: str, sql: str) -> DataFrame:
     return spark.sql(sql.replace(f"from {table}", f"from parquet.`{sf_dir}/{table}.parquet`"))
@@ -84,33 +87,33 @@ def raw_bids(spark: SparkSession, sf_dir: str) -> DataFrame:
 def keyed_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Features with ``cadnum``, origin and GeoJSON geometry."""
     rows = _select(spark, sf_dir, "supplier", FEATURES)
+    def of_shape(values: list) -> Column:
+        return F.element_at(F.lit(values), (F.col("id") % len(SHAPES) + 1).cast("int"))
+
+    def listed(parts: Column, text) -> Column:
+        """JSON text of a list."""
+        return F.concat(F.lit("["), F.array_join(F.transform(parts, text), ","), F.lit("]"))
+
+    def vertex(v: Column) -> Column:
+        return F.concat(F.lit("["), (F.col("x0") + v[0]).cast("string"), F.lit(","), (F.col("y0") + v[1]).cast("string"), F.lit("]"))
+
+    def ring(vertices: Column) -> Column:
+        return listed(vertices, vertex)
+
+    # Every shape is written as polygons of rings of vertices, and the brackets that its kind lacks are cut off.
+    polygons = listed(of_shape([_polygons(rings) for _, rings in SHAPES]), lambda polygon: listed(polygon, ring))
+    depth = of_shape([DEPTHS[kind] for kind, _ in SHAPES])
+    coordinates = F.substr(polygons, depth + 1, F.char_length(polygons) - 2 * depth)
+    shape = F.struct(of_shape([kind for kind, _ in SHAPES]).alias("type"), coordinates.alias("coordinates"))
+    # One row of each, through a generator, so that the text is not written out again wherever it is used.
+    return rows.select("*", F.inline(F.array(F.struct(F.when(F.col("has_geometry"), shape).alias("geometry")))))
+
 
-    def text(kind: str, rings) -> Column:
-        parts: dict[int, list[Column]] = {}
-        for part, ring in rings:
-            parts.setdefault(part, []).append(
-                _list([_list([(F.col("x0") + dx).cast("string"), (F.col("y0") + dy).cast("string")]) for dx, dy in ring])
-            )
-        polygons = [_list(part) for part in parts.values()]
-        if kind == "MultiPolygon":
-            return _list(polygons)
-        if kind == "Polygon":
-            return polygons[0]
-        line = parts[0][0]
-        return line if kind == "LineString" else F.regexp_replace(line, r"^\[|\]$", "")
-
-    def of_shape(values: list[Column]) -> Column:
-        return F.element_at(F.array(*values), (F.col("id") % len(SHAPES) + 1).cast("int"))
-
-    kinds = of_shape([F.lit(kind) for kind, _ in SHAPES])
-    coordinates = of_shape([text(kind, rings) for kind, rings in SHAPES])
-    geometry = F.when(F.col("has_geometry"), F.struct(kinds.alias("type"), coordinates.alias("coordinates")))
-    return rows.withColumn("geometry", geometry)
-
-
-def _list(parts: list[Column]) -> Column:
-    """JSON text of a list of JSON texts."""
-    return F.concat(F.lit("["), F.concat_ws(",", *parts), F.lit("]"))
+def _polygons(rings) -> list[list[list[list[float]]]]:
+    parts: dict[int, list] = {}
+    for part, ring in rings:
+        parts.setdefault(part, []).append([list(offsets) for offsets in ring])
+    return list(parts.values())
 
 
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -157,22 +157,29 @@ def _stats_with_exact_median(rows: DataFrame, key: str, stats: list[str]) -> Dat
 def _middle_values(celled: DataFrame, key: str, wanted: DataFrame, n_open: int) -> DataFrame:
     """The two middle values of the keys in ``wanted``: ``_found`` (the key), ``_lower_found``, ``_upper_found``.
 
-    Reads the rows of the one wanted cell per key, a small part of the data, and stores their counts per
-    distinct price. The cell is then narrowed to one of ``LINEAR_CELLS`` equal parts, and that again, until
-    every middle value is an end of its part. A part that holds two prices is always split, and one step
-    divides the width of a part by ``LINEAR_CELLS``, so the precision of a double bounds the steps; no task
-    ranks more than the parts of a key. The counts must agree from step to step: a source that changed
-    between the reads is an error.
+    Reads the rows of the one wanted cell per key, a small part of the data, and narrows the cell to one of
+    ``LINEAR_CELLS`` equal parts. Where that leaves a middle value open, the rows of these parts, far fewer, are
+    stored as counts per distinct price and narrowed again, until every middle value is an end of its part. A part
+    that holds two prices is always split, and one step divides the width of a part by ``LINEAR_CELLS``, so the
+    precision of a double bounds the steps; no task ranks more than the parts of a key. The counts must agree
+    from step to step: a source that changed between the reads is an error.
     """
     inside = F.col(key).eqNullSafe(F.col("_key"))
     in_cell = inside & F.col("_cell").eqNullSafe(F.col("_in"))
-    prices = stored(celled.join(wanted, in_cell).groupBy(key, "_v").agg(F.count(F.lit(1)).alias("_n")))
+    in_part = inside & F.expr("_v between _lo and _hi")
     part = _linear_cell(F.col("_v"), F.col("_lo"), F.col("_hi")).alias("_cell")
-    done = []
+    prices, done = None, []
     while n_open:
-        parts = prices.join(wanted, inside & F.expr("_v between _lo and _hi")).groupBy(
-            key, part, "_base", "_r0", "_r1", "_want"
-        ).agg(F.sum("_n").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+        if not done:
+            wanted_rows = celled.withColumn("_n", F.lit(1)).join(wanted, in_cell)
+        else:
+            if prices is None:
+                counted = celled.join(wanted, in_part).groupBy(key, "_v").agg(F.count(F.lit(1)).alias("_n"))
+                prices = stored(counted)
+            wanted_rows = prices.join(wanted, in_part)
+        parts = wanted_rows.groupBy(key, part, "_base", "_r0", "_r1", "_want").agg(
+            F.sum("_n").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")
+        )
         parts = parts.withColumn("_seen", F.sum("_n").over(Window.partitionBy(key)))
         located, seen = stored_and_observed(
             _locate_middle(parts, key, ("_seen", "_want")),

@@ -90,12 +90,25 @@ def test_exact_median_without_broadcast(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-@pytest.mark.parametrize("change", ["_v is null", "_v <> 100000.05", "_n > 0 and _v > 0 and _v < 0"])
-def test_prices_that_change_between_the_reads_are_an_error(spark, monkeypatch, change):
-    deals = spark.createDataFrame([("a", 100000.0 + i / 100) for i in range(10)], SCHEMA)
-    monkeypatch.setattr(stats, "stored", lambda df: scratch.stored(df.where(change)))
+@pytest.mark.parametrize("reads", [1, 2])
+@pytest.mark.parametrize("changed", ["", "a,100000.05\n", "a,7.0\n" * 10])
+def test_prices_that_change_between_the_reads_are_an_error(spark, monkeypatch, tmp_path, changed, reads):
+    monkeypatch.setattr(stats, "LINEAR_CELLS", 3)
+    path = tmp_path / "deals.csv"
+    path.write_text("".join(f"a,{100000.0 + i / 100}\n" for i in range(10)))
+    write = scratch.stored_and_observed
+    done = []
+
+    def then_change(df, **measures):
+        found = write(df, **measures)
+        done.append(1)
+        if len(done) == reads:
+            path.write_text(changed)
+        return found
+
+    monkeypatch.setattr(stats, "stored_and_observed", then_change)
     with pytest.raises(RuntimeError, match="changed"):
-        area_stats(deals)
+        area_stats(spark.read.schema(SCHEMA).csv(str(path)))
 
 
 def test_approximate_median_is_close(spark):

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -21,8 +23,12 @@ LENGTH = 400
 MARK = 64
 # Most strings of `length` bytes in one segment.
 SEGMENT = 1024
-# Bytes of text for one suffix array. A group with more is settled by hashes of its strings.
-ARRAY_BYTES = 2 << 20
+# Of a rolling hash; odd, so that no power of it loses bits.
+FACTOR = 0x9E3779B97F4A7C15
+# Bytes of text that are compared at once, in whole groups.
+ARRAY_BYTES = 1 << 18
+# Bytes of text in a group above which it is settled by hashes of its strings.
+GROUP_BYTES = 1 << 20
 
 SPANS = "array<struct<start:bigint,end:bigint>>"
 
@@ -192,16 +198,79 @@ def _arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield held.take()
 
 
-def _repeats_in(table: pa.Table, length: int) -> Iterator[tuple[int, list[tuple[int, int]]]]:
-    """Maximal repeats among distinct segments: length, and the (row, place in it) of all occurrences."""
-    texts, times = table.column("text").to_pylist(), table.column("n").to_pylist()
-    for row, (text, n) in enumerate(zip(texts, times, strict=True)):
-        if n > 1:
-            yield len(text), [(row, 0)]
-    array = SuffixArray(texts, length)
-    for size, places in array.repeats(length):
-        rows = array.starts.searchsorted(places, side="right") - 1
-        yield size, list(zip(rows.tolist(), (places - array.starts[rows]).tolist(), strict=True))
+def shared_runs(texts: list[bytes], length: int) -> list[tuple[int, int, bytes]]:
+    """Runs of consecutive strings of ``length`` bytes that may occur twice in the texts: text number, first, bytes.
+
+    A rolling hash of every string, from running sums, tells those that occur once. What it lets through is left
+    to the suffix array, which so gets the repeated parts and not all their surroundings.
+    """
+    sizes = np.array([len(text) for text in texts], dtype=np.int64)
+    data = np.frombuffer(b"".join(texts), dtype=np.uint8)
+    n = len(data)
+    values = _mark_hashes(np.arange(256, dtype=np.uint8), 1)[data]
+    powers = np.cumprod(np.full(n, FACTOR, dtype=np.uint64))
+    sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(values * powers)])
+    ends = np.cumsum(sizes)
+    remaining = np.repeat(ends, sizes) - np.arange(n)
+    first = np.flatnonzero(remaining >= length)
+    if len(first) < 2:
+        return []
+    # Moved to a common power: what stands in front of a string doesn't matter.
+    hashes = (sums[first + length] - sums[first]) * powers[n - 1 - first]
+    order = np.argsort(hashes)
+    equal = hashes[order[1:]] == hashes[order[:-1]]
+    twice = np.zeros(len(first), dtype=bool)
+    twice[order[1:][equal]] = True
+    twice[order[:-1][equal]] = True
+    first = first[twice]
+    owner = ends.searchsorted(first, side="right")
+    if not len(first):
+        return []
+    begins = np.flatnonzero(np.append(True, (np.diff(first) != 1) | (np.diff(owner) != 0)))
+    stops = np.append(begins[1:], len(first)) - 1
+    found = []
+    for begin, stop in zip(begins.tolist(), stops.tolist(), strict=True):
+        row = int(owner[begin])
+        at = int(first[begin] - (ends[row] - sizes[row]))
+        found.append((row, at, texts[row][at : at + int(first[stop] - first[begin]) + length]))
+    return found
+
+
+class _Repeats:
+    """Maximal repeats among distinct segments, in the suffix array of the runs that may repeat."""
+
+    def __init__(self, texts: list[bytes], length: int) -> None:
+        self.length = length
+        self.runs = shared_runs(texts, length)
+        self.array = SuffixArray([text for _, _, text in self.runs], length)
+
+    def groups(self) -> Iterator[tuple[int, list[tuple[int, int]]]]:
+        """Length, and the (segment, place in it) of all occurrences, of every maximal repeat."""
+        for size, places in self.array.repeats(self.length):
+            numbers = self.array.starts.searchsorted(places, side="right") - 1
+            offsets = (places - self.array.starts[numbers]).tolist()
+            yield size, [(self.runs[i][0], self.runs[i][1] + offset) for i, offset in zip(numbers.tolist(), offsets, strict=True)]
+
+    def covered(self) -> Iterator[tuple[int, int, int]]:
+        """Segment, start and end of the bytes that occurrences cover: of those at one place, the longest counts."""
+        n = len(self.array.data)
+        reach = np.zeros(n, dtype=np.int64)
+        for size, places in self.array.repeats(self.length):
+            reach[places] = np.maximum(reach[places], size)
+        at = np.flatnonzero(reach)
+        change = np.zeros(n + 1, dtype=np.int64)
+        np.add.at(change, at, 1)
+        np.add.at(change, at + reach[at], -1)
+        inside = np.cumsum(change)[:n] > 0
+        first = np.zeros(n, dtype=bool)
+        first[self.array.starts] = True
+        begins = np.flatnonzero(inside & (first | ~np.append(False, inside[:-1])))
+        stops = np.flatnonzero(inside & np.append(first[1:] | ~inside[1:], True)) + 1
+        numbers = self.array.starts.searchsorted(begins, side="right") - 1
+        for number, begin, stop in zip(numbers.tolist(), begins.tolist(), stops.tolist(), strict=True):
+            row, moved, _ = self.runs[number]
+            moved -= int(self.array.starts[number])
+            yield row, begin + moved, stop + moved
 
 
 def _covered(distinct: DataFrame, length: int) -> DataFrame:
@@ -209,10 +278,11 @@ def _covered(distinct: DataFrame, length: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _arrays(batches):
-            spans: dict[int, list[tuple[int, int]]] = {}
-            for size, places in _repeats_in(table, length):
-                for row, at in places:
-                    spans.setdefault(row, []).append((at, at + size))
+            texts, times = table.column("text").to_pylist(), table.column("n").to_pylist()
+            # A segment that occurs twice is a repeat as a whole.
+            spans = {row: [(0, len(text))] for row, (text, n) in enumerate(zip(texts, times, strict=True)) if n > 1}
+            for row, start, end in _Repeats(texts, length).covered():
+                spans.setdefault(row, []).append((start, end))
             if spans:
                 rows = table.select(["mark", "digest"]).take(pa.array(list(spans)))
                 found = pa.array([merged(sorted(own)) for own in spans.values()], SPAN_TYPE)
@@ -248,23 +318,33 @@ def _covered_in_large(distinct: DataFrame, length: int) -> DataFrame:
     return merged_spans(spans)
 
 
+class _Segments(NamedTuple):
+    """Segments of groups with two or more: where they are, and the distinct ones with their texts."""
+
+    placed: DataFrame
+    distinct: DataFrame
+
+
+def _find_segments(texts: DataFrame, length: int) -> _Segments:
+    table = stored(_segment_rows(texts, length))
+    groups = table.groupBy("mark").agg(F.sum("weight").alias("weight")).where("weight > 1").select("mark")
+    placed = stored(table.join(groups, "mark").drop("weight"))
+    return _Segments(placed, stored(_distinct_texts(texts, placed, length)))
+
+
 def repeated_spans(docs: DataFrame, length: int = LENGTH, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``doc_id, text_hash, spans``: the bytes of each text that lie in a string of ``length`` bytes found twice.
 
     Every string of ``length`` bytes belongs to the group of its least mark (a hash of ``MARK`` bytes), and equal
     strings to the same one. So texts fall into segments, runs of strings of one group, and only segments of groups
     with two or more are looked at. Equal segments are counted, not compared; the distinct ones of a group come
-    together in an enhanced suffix array, whose scan gives the maximal repeats with all their occurrences. Groups
-    whose distinct segments are more than one array holds are settled by counting their strings' 128-bit hashes,
-    spread over all tasks. Matches never cross documents.
+    together; runs of their strings that may repeat go into an enhanced suffix array, whose scan gives the maximal
+    repeats with all their occurrences. Groups whose distinct segments are more than ``GROUP_BYTES`` are settled by
+    counting their strings' 128-bit hashes, spread over all tasks. Matches never cross documents.
     """
-    texts = docs.select(*keyed(docs, id_column, text_column))
-    table = stored(_segment_rows(texts, length))
-    groups = table.groupBy("mark").agg(F.sum("weight").alias("weight")).where("weight > 1").select("mark")
-    repeated = stored(table.join(groups, "mark").drop("weight"))
-    distinct = stored(_distinct_texts(texts, repeated, length))
+    placed, distinct = _find_segments(docs.select(*keyed(docs, id_column, text_column)), length)
     sizes = distinct.groupBy("mark").agg(F.sum(F.octet_length("text")).alias("bytes"))
-    large = stored(sizes.where(F.col("bytes") > ARRAY_BYTES).select("mark"))
+    large = stored(sizes.where(F.col("bytes") > GROUP_BYTES).select("mark"))
     if large.isEmpty():
         covered = _covered(distinct, length)
     else:
@@ -273,11 +353,39 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, id_column: str = "doc_
     shift = F.transform(
         "spans", lambda s: F.struct((s["start"] + F.col("first")).alias("start"), (s["end"] + F.col("first")).alias("end"))
     )
-    placed = repeated.join(covered, ["mark", "digest"]).select("doc_id", "text_hash", shift.alias("spans"))
-    by_text = placed.groupBy("doc_id", "text_hash").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"))
+    found = placed.join(covered, ["mark", "digest"]).select("doc_id", "text_hash", shift.alias("spans"))
+    by_text = found.groupBy("doc_id", "text_hash").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"))
     return merged_spans(by_text)
 
 
+def repeat_groups(docs: DataFrame, length: int = LENGTH, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """Maximal repeats of at least ``length`` bytes with all their occurrences: ``repeat, size, doc_id, text_hash, start``.
+
+    ``repeat`` is the hash of the string, ``size`` its bytes. A repeat that is longer than the segments it lies in is
+    reported in parts, one per segment. One row per occurrence; a string within longer repeats has rows of its own.
+    """
+    placed, distinct = _find_segments(docs.select(*keyed(docs, id_column, text_column)), length)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        digest = xxhash.xxh3_128_digest
+        for table in _arrays(batches):
+            texts, times = table.column("text").to_pylist(), table.column("n").to_pylist()
+            whole = ((len(text), [(row, 0)]) for row, (text, n) in enumerate(zip(texts, times, strict=True)) if n > 1)
+            for size, places in itertools.chain(whole, _Repeats(texts, length).groups()):
+                rows, offsets = zip(*places, strict=True)
+                name = digest(texts[rows[0]][offsets[0] : offsets[0] + size])
+                found = table.select(["mark", "digest"]).take(pa.array(rows)).combine_chunks()
+                found = found.append_column("repeat", pa.array([name] * len(rows), pa.binary()))
+                found = found.append_column("size", pa.array([size] * len(rows), pa.int64()))
+                yield from found.append_column("offset", pa.array(offsets, pa.int64())).to_batches()
+
+    dealt = distinct.repartition("mark").sortWithinPartitions("mark")
+    found = dealt.mapInArrow(run, "mark long, digest binary, repeat binary, size long, offset long")
+    start = (F.col("first") + F.col("offset")).alias("start")
+    placed = placed.drop("size").join(found, ["mark", "digest"])
+    return placed.select("repeat", "size", "doc_id", "text_hash", start).distinct()
+
+
 def drop_repeats(docs: DataFrame, length: int = LENGTH, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Every document without the bytes that lie in a string of ``length`` bytes that starts anywhere else too.
 

@@ -4,6 +4,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -56,6 +57,29 @@ def test_maximal_repeats_with_all_occurrences(seed):
     assert found == expected
 
 
+@pytest.mark.parametrize("seed", range(8))
+def test_shared_runs_are_all_strings_that_occur_twice(seed):
+    rng = random.Random(200 + seed)
+    texts, length = random_texts(rng, 5), rng.randint(1, 8)
+    times = Counter(text[i : i + length] for text in texts for i in range(len(text) - length + 1))
+    expected = {(row, i) for row, text in enumerate(texts) for i in range(len(text) - length + 1) if times[text[i : i + length]] > 1}
+    runs = repeats.shared_runs(texts, length)
+    assert {(row, at + i) for row, at, run in runs for i in range(len(run) - length + 1)} == expected
+    assert all(texts[row][at : at + len(run)] == run for row, at, run in runs)
+
+
+def test_arrays_take_whole_groups():
+    rng = random.Random(1)
+    marks = sorted(rng.choice(range(400)) for _ in range(3000))
+    texts = [bytes(rng.randint(400, 900)) for _ in marks]
+    table = pa.table({"mark": pa.array(marks, pa.int64()), "text": pa.array(texts, pa.binary())})
+    parts = [table.slice(0, 5).to_batches(1), table.slice(5, 995).to_batches(97), table.slice(1000).to_batches(700)]
+    found = list(repeats._arrays(batch for part in parts for batch in part))
+    assert pa.concat_tables(found).equals(table)
+    groups = [set(part.column("mark").to_pylist()) for part in found]
+    assert sum(map(len, groups)) == len(set(marks)) and len(found) > 3
+
+
 def removed_by_brute_force(texts, length):
     """Bytes covered by a string of some length that starts anywhere else too."""
     texts = [(text or "").encode() for text in texts]
@@ -71,17 +95,34 @@ def removed_by_brute_force(texts, length):
     return found
 
 
-@pytest.mark.parametrize("length, array_bytes", [(400, 2 << 20), (400, 1), (100, 5000)])
-def test_repeats_against_brute_force(docs, rows, monkeypatch, length, array_bytes):
-    monkeypatch.setattr(repeats, "ARRAY_BYTES", array_bytes)
+@pytest.mark.parametrize("length, group_bytes", [(400, 1 << 20), (400, 1), (100, 5000)])
+def test_repeats_against_brute_force(docs, rows, monkeypatch, length, group_bytes):
+    monkeypatch.setattr(repeats, "GROUP_BYTES", group_bytes)
     expected = Counter((row[0], *rest) for row, rest in zip(rows, removed_by_brute_force([r[1] for r in rows], length), strict=True))
     found = repeats.drop_repeats(docs, length).collect()
     assert Counter((r.row.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in found) == expected
     assert sum(r.n_removed for r in found) > 1000
 
 
+def test_repeat_groups_have_all_occurrences(spark):
+    rng = random.Random(8)
+    noise = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    passage = noise(460)
+    texts = [noise(50) + "<" + passage + ">" + noise(70), noise(10) + "(" + passage + ")" + noise(5), passage]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {}
+    for row in repeats.repeat_groups(docs).collect():
+        found.setdefault(bytes(row.repeat), set()).add((row.doc_id, row.start, row.size))
+    covered = {(i, text.find(passage) + at) for i, text in enumerate(texts) for at in range(len(passage))}
+    assert {(i, at) for places in found.values() for i, start, size in places for at in range(start, start + size)} == covered
+    for places in found.values():
+        assert len({texts[i][start : start + size] for i, start, size in places}) == 1
+        string = next(texts[i][start : start + size] for i, start, size in places)
+        assert {i for i, _, _ in places} == {i for i, text in enumerate(texts) if string in text} == {0, 1, 2}
+
+
 def test_common_passage_in_many_texts(spark, monkeypatch):
-    monkeypatch.setattr(repeats, "ARRAY_BYTES", 20_000)
+    monkeypatch.setattr(repeats, "GROUP_BYTES", 20_000)
     rng = random.Random(3)
     noise = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
     passage = noise(450)

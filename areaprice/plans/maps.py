@@ -27,7 +27,7 @@ from ..operators.layers import (
 )
 from ..operators.stats import area_median, area_stats, metric_domain
 from ..scratch import stored
-from ..sources.tables import AREA_KEY, BID_ADDRESS, BID_PRICE
+from ..sources.tables import AREA_KEY, BID_ADDRESS, BID_PRICE, PRICE
 
 # Layer names and titles that differ from map to map.
 HEAT_LAYERS = {
@@ -149,22 +149,32 @@ def map_median_bids(metrics: DataFrame, bids: DataFrame, features: DataFrame) ->
 
 def map_two_periods(deals_a: DataFrame, deals_b: DataFrame, features: DataFrame) -> TwoMaps:
     """Two maps, ``a`` and ``b``, of the same areas, those with deals in either period, each on its own scale."""
-    metrics = [stored(area_median(clean_prices(deals, policy="present"))) for deals in (deals_a, deals_b)]
-    columns = ("median", "median_round", "count")
-    sides = [
-        part.select(AREA_KEY, *[F.col(name).alias(f"{name}_{side}") for name in columns])
-        for part, side in zip(metrics, "ab", strict=True)
-    ]
-    both = stored(sides[0].join(sides[1], AREA_KEY, "outer"))
+    both = _medians_by_side(a=deals_a, b=deals_b)
     shown = with_area_key(features.where("geometry is not null"))
     shown = lookup_stats(shown, both, how="inner", unique=True)
     center = bbox_center(shown)
-    rows = median_layers(
-        shown, {side: (f"_{side}", part) for side, part in zip("ab", metrics, strict=True)}, MEDIAN_TITLE, long=True
-    )
+    scales = {side: (f"_{side}", both.select(F.col(f"median_{side}").alias("median"))) for side in "ab"}
+    rows = median_layers(shown, scales, MEDIAN_TITLE, long=True)
     return TwoMaps(_median_map(rows, "a", center), _median_map(rows, "b", center), rows)
 
 
+def _medians_by_side(**sides: DataFrame) -> DataFrame:
+    """Medians and counts per area of several tables of deals, in one pass over each: a column per table and figure."""
+    tagged = [
+        clean_prices(deals, policy="present").select(
+            F.struct(F.lit(side).alias("side"), F.col(AREA_KEY).alias("area")).alias("_side_area"), PRICE
+        )
+        for side, deals in sides.items()
+    ]
+    found = area_median(functools.reduce(DataFrame.unionByName, tagged), "_side_area", PRICE)
+    columns = [
+        F.max(F.when(F.col("_side_area.side") == side, F.col(name))).alias(f"{name}_{side}")
+        for side in sides
+        for name in ("median", "median_round", "count")
+    ]
+    return stored(found.groupBy(F.col("_side_area.area").alias(AREA_KEY)).agg(*columns))
+
+
 def map_labeled(
     deals: DataFrame,
     features: DataFrame,

@@ -158,10 +158,10 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, length_column: str = "leng
     rank, so no task holds more than its share, even if most pieces have one length. Pieces that repeat are
     each placed. A length that is null, below 1 or above the capacity is an error; an empty table gives no rows.
     """
-    row = whole_row(pieces, "_row")
-    # Stored first, for a sort by ranges reads its input twice.
-    ordered = stored(pieces.select(row, F.col(length_column).cast("long").alias("_length")))
-    table = ranked(ordered, ["_length", F.xxhash64("_row")], "_rank")
+    columns = [F.monotonically_increasing_id().alias("_piece"), whole_row(pieces, "_row")]
+    wide = stored(pieces.select(*columns, F.col(length_column).cast("long").alias("_length")))
+    # Numbers alone are sorted; the pieces, with their ids, move once.
+    table = ranked(wide.select("_piece", "_length"), ["_length", "_piece"], "_rank")
     wrong = F.col("_length").isNull() | ~F.col("_length").between(1, capacity)
     if not table.where(wrong).isEmpty():
         raise ValueError(f"Lengths must be from 1 to {capacity}")
@@ -176,12 +176,11 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, length_column: str = "leng
             slot = starts.searchsorted(rank, side="right") - 1
             sequence = pa.array(sequences[slot] + rank - starts[slot])
             yield pa.RecordBatch.from_pydict(
-                {"_row": batch.column("_row"), "sequence_id": sequence, "offset": pa.array(offsets[slot])}
+                {"_piece": batch.column("_piece"), "sequence_id": sequence, "offset": pa.array(offsets[slot])}
             )
 
-    schema = StructType([table.schema["_row"]]).add("sequence_id", "long").add("offset", "long")
-    placed = table.select("_row", "_rank").mapInArrow(place, schema)
-    return placed.select("_row.*", "sequence_id", "offset")
+    placed = table.select("_piece", "_rank").mapInArrow(place, "_piece long, sequence_id long, offset long")
+    return wide.join(placed, "_piece").select("_row.*", "sequence_id", "offset")
 
 
 def _slots(bins: list[tuple[tuple[int, ...], int]], counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

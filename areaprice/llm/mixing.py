@@ -83,7 +83,9 @@ def _chosen_blocks(cells: DataFrame, block_words: int, seed: str) -> DataFrame:
     """``place, shard, block, take``: words that the rest of a cell's quota takes from its blocks in seeded order."""
     last = F.floor((F.col("words") - 1) / block_words).cast("long")
     numbers = F.explode(F.sequence(F.lit(0).cast("long"), last))
-    blocks = cells.where("rest > 0").select(*CELL, "words", "rest", numbers.alias("block"))
+    # Spread first: a few cells make many blocks.
+    cells = cells.where("rest > 0").repartition(*CELL)
+    blocks = cells.select(*CELL, "words", "rest", numbers.alias("block"))
     blocks = blocks.withColumns(
         {
             "size": F.least(F.lit(block_words).cast("long"), F.col("words") - F.col("block") * block_words),
@@ -156,7 +158,8 @@ def mix(
     end = F.col("start") + F.col("size")
     first, last = (F.floor(at / block_words).cast("long") for at in (F.col("start"), end - 1))
     pieces = placed.select(*CELL, "start", "size", F.explode(F.sequence(first, last)).alias("block"))
-    pieces = pieces.join(_chosen_blocks(quotas, block_words, seed), [*CELL, "block"])
+    # As many blocks as the data has, though Spark sees them come from a small table.
+    pieces = pieces.join(_chosen_blocks(quotas, block_words, seed).hint("merge"), [*CELL, "block"])
     at = F.col("block") * block_words
     from_ = F.greatest(F.col("start"), at)
     range_ = F.struct((from_ - F.col("start")).alias("first"), (F.least(end, at + F.col("take")) - from_).alias("n"))

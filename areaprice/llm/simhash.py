@@ -201,7 +201,8 @@ def _neighbour_links(dense: DataFrame, max_bits: int) -> DataFrame:
     points = dense.distinct().mapInArrow(around, "point long, a long, near boolean")
     met = points.groupBy("point").agg(F.min(F.when(F.col("near"), F.col("a"))).alias("b"), F.count(F.lit(1)).alias("n"))
     met = met.where("n > 1 and b is not null").drop("n")
-    return points.join(met, "point").where("a <> b").select("a", "b").distinct()
+    # Many more points than the fingerprints that Spark sees them come from.
+    return points.join(met.hint("merge"), "point").where("a <> b").select("a", "b").distinct()
 
 
 def near_components(

@@ -125,9 +125,13 @@ def repeated_spans(chunks: DataFrame, least_run: int = Cutting().least_run) -> D
     counted before the shuffle, and the join that marks them is one that Spark splits where a digest is in most
     texts; only the chunks of one document are gathered.
     """
+    # Most chunks are found once: numbers, of half the digest's size, tell these before whole rows are grouped.
+    numbered = chunks.withColumn("number", F.xxhash64("digest"))
+    again = numbered.groupBy("number").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("number")
+    candidates = stored(numbered.join(again, "number").drop("number"))
     first = F.min(F.struct("doc_id", "text_hash", "start"))
-    repeated = chunks.groupBy("digest").agg(first.alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    later = chunks.join(repeated, "digest").where(~F.struct("doc_id", "text_hash", "start").eqNullSafe(F.col("first")))
+    repeated = candidates.groupBy("digest").agg(first.alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    later = candidates.join(repeated, "digest").where(~F.struct("doc_id", "text_hash", "start").eqNullSafe(F.col("first")))
     spans = F.array_sort(F.collect_list(F.struct(F.col("start"), (F.col("start") + F.col("size")).alias("end"))))
     by_text = later.groupBy("doc_id", "text_hash").agg(F.array_distinct(spans).alias("spans"))
 

@@ -49,7 +49,7 @@ def exact_groups(docs: DataFrame, keep: str = "largest", id_column: str = "doc_i
 def _collisions(full: DataFrame, documents: DataFrame, best) -> DataFrame:
     """Documents whose bytes differ from those of the row that stays in their hash group: ``hash, doc_id, sha``."""
     repeated = documents.groupBy("hash").agg(best("doc_id").alias("keep_id"), F.sum("copies").alias("n")).where("n > 1")
-    members = full.join(repeated.drop("n"), "hash")
+    members = stored(full.join(repeated.drop("n"), "hash"))  # the texts of copies alone, for both reads below
     stays = members.where(F.col("doc_id").eqNullSafe(F.col("keep_id")))
     # Of rows with the same id and hash the least text stands for the group: one text per hash is compared with.
     sample = stays.groupBy("hash").agg(F.min("norm").alias("kept_text"))

@@ -24,10 +24,11 @@ REMEMBERED = 1 << 18
 
 
 class Training(NamedTuple):
-    """What is learned from: about this many documents, spread evenly over the labels, and of each some spans of
-    words from anywhere in it; spans of different documents are joined into mixed chains."""
+    """What is learned from: about this many documents, spread evenly over the most frequent labels, and of each some
+    spans of words from anywhere in it; spans of different documents are joined into mixed chains."""
 
     documents: int = 3000
+    labels: int = 200
     spans: int = 3
     span_words: int = 24
     rounds: int = 40
@@ -178,16 +179,18 @@ def fit(spans: Sequence[tuple[str, Sequence[bytes]]], training: Training = Train
 def learn(docs: DataFrame, training: Training = Training(), id_column: str = "doc_id", label_column: str = "lang", text_column: str = "text") -> Model:
     """Fit a model on a bounded sample of the documents with a label.
 
-    Each label gives about as many documents, chosen by a hash of the id, ``training.documents`` in all. Only spans
-    of these come to the driver, ``training.spans`` of ``training.span_words`` words from each.
+    Each of the ``training.labels`` most frequent labels gives about as many documents, chosen by a hash of the id as
+    they are read, ``training.documents`` in all. Only spans of these come to the driver, ``training.spans`` of
+    ``training.span_words`` words from each.
     """
     labelled = docs.select(F.col(id_column).alias("id"), F.col(label_column).cast("string").alias("label"), F.col(text_column).alias("text"))
     labelled = labelled.where("label is not null and text is not null")
-    counts = labelled.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
-    share = F.lit(training.documents) / F.greatest(counts.agg(F.count(F.lit(1))).scalar(), F.lit(1))
-    shares = counts.select("label", (share / F.col("n")).alias("share"))
+    counted = labelled.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+    counts = counted.orderBy(F.desc("n"), "label").limit(training.labels).collect()
+    shares = [F.lit(value) for label, n in counts for value in (label, training.documents / len(counts) / n)]
+    share = F.try_element_at(F.create_map(*shares), "label") if shares else F.lit(0.0)
     spread = F.pmod(F.xxhash64(F.lit(training.seed), F.col("id")), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    sample = labelled.join(shares, "label").where(spread < F.col("share")).select("id", "label", "text")
+    sample = labelled.where(spread < F.coalesce(share, F.lit(0.0)))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

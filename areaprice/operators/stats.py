@@ -15,7 +15,7 @@ STATS = ("arith_mean", "median", "count", "geom_mean")
 
 # Resolution of the exact median: logarithmic cells per factor e, then equal cells within one of those.
 LOG_CELLS = 64
-LINEAR_CELLS = 4096
+LINEAR_CELLS = 1 << 20
 # Of a key whose middle values are not both known.
 IS_OPEN = "_lower is null or _upper is null"
 APPROX_ACCURACY = 10_000

@@ -64,7 +64,7 @@ def _awkward_rows():
     return [(key, make()) for key, make in makers.items() for _ in range(sizes[key])]
 
 
-@pytest.mark.parametrize("log_cells, linear_cells", [(64, 4096), (1, 16), (4, 64)])
+@pytest.mark.parametrize("log_cells, linear_cells", [(64, 1 << 20), (64, 4096), (1, 16), (4, 64)])
 def test_exact_median_against_brute_force(spark, monkeypatch, log_cells, linear_cells):
     monkeypatch.setattr(stats, "LOG_CELLS", log_cells)
     monkeypatch.setattr(stats, "LINEAR_CELLS", linear_cells)

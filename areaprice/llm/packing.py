@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import functools
 import json
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -20,6 +21,8 @@ CAPACITY = 1024
 
 # Fixed value: the pattern by which byte-level BPE of this family cuts a text before merging.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+# White space of that pattern in runs that are kept from its look-ahead, which fails at some 1,000,000 characters.
+LONG_RUN = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{65536,}")
 
 
 @functools.cache
@@ -94,8 +97,7 @@ def tokenized_pieces(
 
 def _pieces(bpe, text: str, end_id: int, capacity: int) -> Iterator[tuple[int, int, bytes]]:
     """Number, start and ids of each piece of one text."""
-    special = any(token in text for token in bpe.special_tokens_set)
-    found = bpe.encode(text, allowed_special="all") if special else bpe.encode_ordinary(text)
+    found = _ids(bpe, text)
     found.append(end_id)
     ids = np.array(found, dtype="<u4")
     first = len(ids) % capacity or capacity
@@ -104,6 +106,35 @@ def _pieces(bpe, text: str, end_id: int, capacity: int) -> Iterator[tuple[int, i
         yield piece, start, ids[start:stop].tobytes()
 
 
+def _ids(bpe, text: str) -> list[int]:
+    special = [token for token in bpe.special_tokens_set if token in text]
+    if len(text) < 65536 or not LONG_RUN.search(text):
+        return bpe.encode(text, allowed_special="all") if special else bpe.encode_ordinary(text)
+    if not special:
+        return _ids_around_runs(bpe, text)
+    longest_first = sorted(special, key=len, reverse=True)
+    parts = re.split(f"({'|'.join(map(re.escape, longest_first))})", text)
+    ids: list[int] = []
+    for i, part in enumerate(parts):
+        ids += [bpe.encode_single_token(part)] if i % 2 else _ids_around_runs(bpe, part)
+    return ids
+
+
+def _ids_around_runs(bpe, text: str) -> list[int]:
+    """Ids of a text without special tokens; a long run of white space is merged as what the pattern would cut.
+
+    That is the whole run at the end of the text, and all but its last character elsewhere.
+    """
+    ids: list[int] = []
+    at = 0
+    for run in LONG_RUN.finditer(text):
+        stop = run.end() if run.end() == len(text) else run.end() - 1
+        ids += bpe.encode_ordinary(text[at : run.start()])
+        ids += bpe._encode_single_piece(text[run.start() : stop])
+        at = stop
+    return ids + bpe.encode_ordinary(text[at:])
+
+
 def best_two_fit(counts: np.ndarray, capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:
     """Fill bins with items of the given lengths; ``counts[n]`` items have length ``n``.
 

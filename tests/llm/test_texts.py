@@ -31,6 +31,13 @@ def test_ids_are_those_of_the_vocabulary_file(rows):
         assert ids.tolist() == [*theirs.encode(text, add_special_tokens=False).ids, 2]
 
 
+@pytest.mark.parametrize("run", [" " * 2_000_000, "\n" * 2_000_000, " \n\u3000\x85" * 300_000, "\x1c" * 100_000 + "\t" * 1_100_000])
+def test_ids_of_very_long_white_space(run):
+    theirs = Tokenizer.from_file(BPE)
+    for text in (run, f"head{run}tail", f"{run}\n5", f"a {run}<|endoftext|>{run}<|endoftext|>'s"):
+        assert packing._ids(packing.encoding(BPE), text) == theirs.encode(text, add_special_tokens=False).ids
+
+
 def test_packed_sequences_hold_every_piece_once(docs, rows):
     theirs = Tokenizer.from_file(BPE)
     pieces = packing.tokenized_pieces(docs.select("doc_id", "n_chars", "text"), BPE, capacity=256)

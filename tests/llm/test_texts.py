@@ -223,6 +223,25 @@ def test_divergence_from_the_language(spark):
     assert all(kept[i] for i in range(30)) and not kept[30] and not kept[31]
 
 
+def test_languages_without_listed_words(spark):
+    rng = random.Random(6)
+    made = lambda letters: "".join(rng.choice(letters) for _ in range(rng.randint(2, 8)))
+    latin, cyrillic, han = "etaoinshrdlu", "абвгдежзиклмнопрст", [chr(0x4E00 + i) for i in range(800)]
+    prose = lambda common, letters, n=200: " ".join(rng.choice([*common, *[made(letters) for _ in common]]) for _ in range(n))
+    good = [("en", prose(["the", "of", "and", "in"], latin)) for _ in range(30)]
+    good += [("it", prose(["il", "che", "non", "per"], latin)) for _ in range(40)]
+    good += [("ru", prose(["и", "не", "что", "это"], cyrillic)) for _ in range(40)]
+    good += [("zh", prose(["，"], han)) for _ in range(40)]
+    good += [("few", prose(["jy", "wo", "ek"], latin)), (None, prose(["il", "che", "non"], latin)), ("en", prose(["il", "che", "non", "per"], latin))]
+    bad = [("it", " ".join(made(latin) for _ in range(200))), ("ru", " ".join(made(cyrillic) for _ in range(200)))]
+    bad += [("it", " ".join(f"{made(latin)}{rng.choice('#*$%&|<>') * 9}" for _ in range(200)))]
+    docs = spark.createDataFrame([(i, lang, text) for i, (lang, text) in enumerate(good + bad)], "doc_id int, lang string, text string")
+    kept = {r.row.doc_id: r.kept for r in quality.judged(docs).collect()}
+    assert [i for i in range(len(good)) if not kept[i]] == []
+    assert [i for i in range(len(good), len(good + bad)) if kept[i]] == []
+    assert quality.keep_good(docs).count() == len(good)
+
+
 def test_distance_is_that_of_jensen_and_shannon(spark):
     row = spark.range(1).select(
         quality.js_distance(F.array(F.lit(0.5), F.lit(0.5), F.lit(0.0)), [0.0, 0.5, 0.5]).alias("a"),

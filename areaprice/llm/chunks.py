@@ -22,12 +22,12 @@ WINDOW = 32
 
 
 class Cutting(NamedTuple):
-    """Sizes of chunks in bytes: ``1 << bits`` on average beyond ``least``; and the least run of dropped chunks."""
+    """Sizes of chunks in bytes: ``1 << bits`` on average beyond ``least``; and the least run of chunks that is dropped, 1 for all."""
 
     bits: int = 5
     least: int = 16
     most: int = 256
-    least_run: int = 100
+    least_run: int = 1
 
 
 @functools.cache
@@ -121,7 +121,7 @@ def repeated_spans(chunks: DataFrame, least_run: int = Cutting().least_run) -> D
     """``doc_id, text_hash, spans``: runs of chunks seen before, as (start, end) in bytes, for texts that have any.
 
     The first occurrence of a digest, by id (nulls first), text hash and start, stays; the others are seen before.
-    Runs of neighbouring such chunks shorter than ``least_run`` bytes are chance and are left alone. Occurrences are
+    Runs of neighbouring such chunks shorter than ``least_run`` bytes are left alone, by default none. Occurrences are
     counted before the shuffle, and the join that marks them is one that Spark splits where a digest is in most
     texts; only the chunks of one document are gathered.
     """

@@ -178,5 +178,16 @@ def test_chunk_dedup_against_brute_force(docs, rows):
     )
 
 
+def test_short_passages_and_short_copies_are_dropped(spark):
+    rng = random.Random(12)
+    noise = lambda n: " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(1, 9))) for _ in range(n))
+    passages = [noise(51) for _ in range(400)]
+    texts = [f"{noise(40)} {passage} {noise(40)}" for passage in passages * 2] + ["a short text", "a short text", "other"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    removed = {r.row.doc_id: r.n_removed for r in chunks.dedup_substrings(docs).collect()}
+    assert sum(removed[i] == 0 for i in range(400, 800)) <= 4
+    assert [removed[i] for i in (800, 801, 802)] == [0, 12, 0]
+
+
 def test_nothing(nothing):
     assert repeats.drop_repeats(nothing).count() == 0 and chunks.dedup_substrings(nothing).count() == 0

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chunks, exact_dedup, language, mixing, packing, pii, quality, repeats, simhash, token_counts
+from . import chunks, exact_dedup, language, mixing, packing, pii, quality, repeats, resampling, simhash, token_counts
 from .oracles import ORACLES
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -102,3 +102,10 @@ def op9_source_mixing(spark, sf_dir):
 def op10_substring_dedup(spark, sf_dir):
     cut = chunks.dedup_substrings(documents(spark, sf_dir).select("doc_id", "text"))
     return cut.select("row.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op12_importance_resampling(spark, sf_dir):
+    target = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("text")
+    drawn = resampling.resample(documents(spark, sf_dir).select("doc_id", "text"), target, percent=10, seed=2024)
+    return drawn.select("row.doc_id", "n_features", "weight", "score", "rank")

@@ -113,3 +113,41 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        and not (n_chars >= {quality.Limits().min_chars} and coalesce(class_distance, 0) > {quality.Limits().class_distance})
        and not (n_words >= {quality.Limits().min_words} and coalesce(word_distance, 0) > {quality.Limits().word_distance}) as kept
 from b"""
+
+
+def _crc32(text: str, table: str) -> str:
+    """Unsigned CRC-32 of the UTF-8 of a text, by the 256 values of :data:`_CRC_TABLE`."""
+    digits = f"hex(encode({text}))"
+    octets = f"list_transform(range(octet_length(encode({text}))), lambda i: cast('0x' || substr({digits}, 2 * cast(i as integer) + 1, 2) as bigint))"
+    step = f"xor(c >> 8, {table}[(xor(c, octet) & 255) + 1])"
+    return f"xor(4294967295, list_reduce({octets}, lambda c, octet: {step}, 4294967295::bigint))"
+
+
+_CRC_TABLE = """select list_transform(range(256), lambda b: list_reduce(range(8), lambda c, bit:
+                       case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, cast(b as bigint))) as crc_of"""
+
+ORACLES["op12_importance_resampling"] = f"""
+with k as ({_CRC_TABLE}),
+     w as (select rid, doc_id, unnest(words) as word
+           from (select row_number() over () as rid, doc_id,
+                        regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as words
+                 from documents)),
+     y as (select unnest(regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')) as word
+           from benchmark),
+     b as (select word, {_crc32("word", "crc_of")} % 10000 as bucket
+           from (select word from w union select word from y), k),
+     s as (select bucket, count(*) as s from w join b using (word) group by bucket),
+     t as (select bucket, count(*) as t from y join b using (word) group by bucket),
+     g as (select bucket, cast(floor(1000 * ln((coalesce(t, 0) + 1) * cast((select count(*) from w) + 10000 as double)
+                  / ((s + 1) * cast((select count(*) from y) + 10000 as double)))) as bigint) as gain
+           from s left join t using (bucket)),
+     d as (select doc_id, count(*) as n_features, cast(sum(gain) as bigint) as weight
+           from w join b using (word) join g using (bucket) group by rid, doc_id),
+     a as (select documents.doc_id, coalesce(n_features, 0) as n_features, coalesce(weight, 0) as weight
+           from documents left join d on documents.doc_id = d.doc_id),
+     e as (select *, weight + cast(floor(-1000 * ln(-ln((cast('0x' || substr(sha256('2024:' || doc_id), 1, 8) as bigint) + 0.5e0)
+                  / 4294967296e0))) as bigint) as score from a),
+     r as (select *, row_number() over (partition by n_features >= 20 order by score desc, doc_id) as place from e)
+select doc_id, n_features, weight, score,
+       case when n_features >= 20 and place <= (select count(*) from e where n_features >= 20) * 10 // 100 then place end as rank
+from r"""

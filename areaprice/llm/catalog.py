@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chunks, exact_dedup, language, mixing, packing, pii, quality, repeats, resampling, simhash, token_counts
+from . import chunks, exact_dedup, language, mixing, packing, pii, quality, repeats, resampling, simhash, spelling, token_counts
 from .oracles import ORACLES
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -104,6 +104,12 @@ def op10_substring_dedup(spark, sf_dir):
     return cut.select("row.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query
+def op11_spelling_variants(spark, sf_dir):
+    words = spelling.word_counts(documents(spark, sf_dir), min_chars=7, min_count=2, damage=31)
+    return spelling.spelling_groups(words, factor=10).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 @query
 def op12_importance_resampling(spark, sf_dir):
     target = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("text")

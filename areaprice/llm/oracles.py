@@ -151,3 +151,24 @@ with k as ({_CRC_TABLE}),
 select doc_id, n_features, weight, score,
        case when n_features >= 20 and place <= (select count(*) from e where n_features >= 20) * 10 // 100 then place end as rank
 from r"""
+
+ORACLES["op11_spelling_variants"] = f"""
+with recursive k as ({_CRC_TABLE}),
+     o as (select doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}'), '[a-z\\x{{C0}}-\\x{{FF}}]+')) as run
+           from documents),
+     d as (select doc_id, run, count(*) as n from o where length(run) >= 7 group by doc_id, run),
+     h as (select run, n, {_crc32("doc_id || ':' || run", "crc_of")} as h from d, k),
+     r as (select case when h % 31 = 0 then substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) else run end as word, n from h),
+     w as (select word, cast(sum(n) as bigint) as n from r where length(word) >= 7 group by word having sum(n) >= 2),
+     p as (select word, n, unnest(range(1, length(word) + 1)) as i from w),
+     -- A letter replaced: the same rest around the same place. A letter deleted: the rest is a word.
+     c as (select word, n, i, substr(word, 1, i - 1) as head, substr(word, i + 1) as tail from p),
+     e as (select a.word, b.word as other, b.n as other_n from c a join c b on a.i = b.i and a.head = b.head and a.tail = b.tail and a.word <> b.word
+           union select c.word, w.word, w.n from c join w on w.word = head || tail
+           union select w.word, c.word, c.n from c join w on w.word = head || tail),
+     b as (select word, count(*) as n_near, max(other_n) as form_n from e group by word),
+     f as (select w.word, w.n, coalesce(n_near, 0) as n_near, case when form_n >= 10 * w.n then form_n end as form_n from w left join b using (word)),
+     g as (select f.word, min(e.other) as form from f join e on e.word = f.word and e.other_n = f.form_n group by f.word),
+     t(word, root, steps) as (select word, word, 0 from w union all select t.word, g.form, steps + 1 from t join g on g.word = t.root),
+     l as (select word, arg_max(root, steps) as root from t group by word)
+select f.word, g.form, l.root, f.n, f.n_near, f.form_n from f left join g using (word) join l using (word)"""

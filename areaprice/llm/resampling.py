@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-import re
 import zlib
 from collections.abc import Iterator
 
@@ -15,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..scratch import stored
-from .rows import ranked, text_slices, whole_row
+from .rows import lowered_slices, ranked, text_slices, whole_row
 
 # Fixed value: a word is a run of digits, lower-case letters and characters beyond ASCII.
 NOT_WORD = r"\x00-\x2F\x3A-\x60\x7B-\x7F"
@@ -33,18 +32,6 @@ def splitter():
     return Split(Regex(f"[^{NOT_WORD}]+"), behavior="removed", invert=True)
 
 
-def lowered_slices(text: str | None) -> Iterator[str]:
-    """The text with A-Z lower-cased, in slices that end at no word."""
-    low = (text or "").encode("utf-8", "replace").lower().decode()
-    separator = re.compile(f"[{NOT_WORD}]")
-    start = 0
-    while start < len(low):
-        end = separator.search(low, start + SLICE)
-        stop = end.end() if end else len(low)
-        yield low[start:stop]
-        start = stop
-
-
 def windows(text: str | None, split, n: int) -> Iterator[tuple[int, list[str]]]:
     """Number of words and features of each slice of a text: runs of 1 to ``n`` words, joined by one space.
 
@@ -52,7 +39,7 @@ def windows(text: str | None, split, n: int) -> Iterator[tuple[int, list[str]]]:
     next one, so runs go across slices, and no run is counted twice.
     """
     kept: list[str] = []
-    for low in lowered_slices(text):
+    for low in lowered_slices(text, f"[{NOT_WORD}]", SLICE):
         new = [low[start:end] for _, (start, end) in split.pre_tokenize_str(low)]
         words = kept + new
         features = list(new)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
@@ -107,3 +108,15 @@ def text_slices(batch: pa.RecordBatch, text: str = "text", limit: int = 8 << 20)
         part = batch.slice(start, stop - start)
         yield part, part.column(text).to_pylist()
         start = stop
+
+
+def lowered_slices(text: str | None, separator: str, limit: int = 1 << 20) -> Iterator[str]:
+    """The text with A-Z lower-cased, in slices of some ``limit`` characters that end at a separator (a pattern)."""
+    low = (text or "").encode("utf-8", "replace").lower().decode()
+    between = re.compile(separator)
+    start = 0
+    while start < len(low):
+        end = between.search(low, start + limit)
+        stop = end.end() if end else len(low)
+        yield low[start:stop]
+        start = stop

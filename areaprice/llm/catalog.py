@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chunks, exact_dedup, language, mixing, packing, pii, quality, repeats, resampling, simhash, spelling, token_counts
+from . import chunks, exact_dedup, language, maxent, mixing, packing, pii, quality, repeats, resampling, simhash, spelling, token_counts
 from .oracles import ORACLES
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -115,3 +115,11 @@ def op12_importance_resampling(spark, sf_dir):
     target = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("text")
     drawn = resampling.resample(documents(spark, sf_dir).select("doc_id", "text"), target, percent=10, seed=2024)
     return drawn.select("row.doc_id", "n_features", "weight", "score", "rank")
+
+
+@query
+def op13_lm_scoring(spark, sf_dir):
+    id_text = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    learned = F.crc32(id_text.cast("binary")) % 7 != 2
+    scored = maxent.lm_scores(documents(spark, sf_dir).select("doc_id", "text"), learned)
+    return scored.select("row.doc_id", (~F.col("learned")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")

@@ -156,6 +156,35 @@ def reached(leaves: np.ndarray, node: np.ndarray, vector: np.ndarray, surplus: n
     return asks, np.searchsorted(leaves, path)
 
 
+def halves(codes: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Hashes of the first and the last letters of each word: of half its length, and of half its length less one.
+
+    Of near words the shorter's first half, or else its last half, is found at the same end of the other.
+    """
+    size = np.diff(starts)
+    powers = np.cumprod(np.full(int(size.max(initial=0)) + 1, 0x9E3779B97F4A7C15, dtype=np.uint64))
+    place = np.arange(len(codes)) - np.repeat(starts[:-1], size)
+    from_end = np.repeat(size, size) - 1 - place
+    result = []
+    for steps in (place, from_end):
+        sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum((codes + np.uint64(1)) * powers[steps])])
+        for length in (size // 2, np.maximum(size - 1, 0) // 2):
+            at = starts[:-1] if steps is place else starts[1:] - length
+            result.append(sums[at + length] - sums[at])
+    return np.array(result)
+
+
+def share_half(size: np.ndarray, hashes: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Pairs that may be near, for words of :func:`halves`; all near pairs are among them."""
+    size_a, size_b = size[a], size[b]
+    near = np.flatnonzero(np.abs(size_a - size_b) <= 1)
+    a, b = a[near], b[near]
+    # Of the longer word half the other's length counts.
+    row_a, row_b = (size_a > size_b)[near].astype(np.int64), (size_b > size_a)[near].astype(np.int64)
+    same = (hashes[row_a, a] == hashes[row_b, b]) | (hashes[2 + row_a, a] == hashes[2 + row_b, b])
+    return near[same]
+
+
 def one_apart(codes: np.ndarray, starts: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Whether the different words ``a`` and ``b`` are one inserted, deleted or replaced letter apart, pair by pair.
 
@@ -194,6 +223,7 @@ def _search(depth: int):
         node, vector = column("node").view(np.uint64), column("vector").view(np.uint64)
         surplus, deficit = column("surplus"), column("deficit")
         codes, starts = letters(words)
+        sizes, hashes = np.diff(starts), halves(codes, starts)
         data = np.flatnonzero(own)
         data = data[np.argsort(vector[data], kind="stable")]
         leaves, first, size = np.unique(vector[data], return_index=True, return_counts=True)
@@ -220,6 +250,8 @@ def _search(depth: int):
                 other = data[np.repeat(first[leaf[start:stop]], number) + offset]
                 start = stop
                 query, other = query[different := query != other], other[different]
+                may = share_half(sizes, hashes, query, other)
+                query, other = query[may], other[may]
                 near = one_apart(codes, starts, query, other)
                 query, other = query[near], other[near]
                 # Words of the node find each other both ways; a query from elsewhere answers for both.

@@ -79,7 +79,10 @@ def test_compares_all_kinds_of_edits():
     codes, starts = spelling.letters(words)
     pairs = [(a, b) for a in range(len(words)) for b in range(len(words)) if a != b]
     a, b = (np.array(side) for side in zip(*pairs))
-    assert spelling.one_apart(codes, starts, a, b).tolist() == [one_edit(words[x], words[y]) for x, y in pairs]
+    near = [one_edit(words[x], words[y]) for x, y in pairs]
+    assert spelling.one_apart(codes, starts, a, b).tolist() == near
+    kept = spelling.share_half(np.diff(starts), spelling.halves(codes, starts), a, b)
+    assert set(np.flatnonzero(near)) <= set(kept.tolist()) and len(kept) < len(pairs) / 2
 
 
 @pytest.mark.parametrize(("min_chars", "min_count", "damage"), [(7, 2, 31), (1, 1, 3), (3, 1, 0)])

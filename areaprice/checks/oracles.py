@@ -262,6 +262,14 @@ ORACLES = {
         "keyed",
         "spots",
     ),
+    "read_geojson_collections": sql(
+        """select cast(id as varchar) as id, 'Feature' as type, json_extract_string(properties, '$.label') as label,
+            json_extract_string(properties, '$.externalKey') as "externalKey",
+            json_extract_string(properties, '$.options.cad_num') as cad_num, cadnum, kind, cast(n as int) as n
+            from keyed left join spots using (id)""",
+        "keyed",
+        "spots",
+    ),
     "write_csv": sql(
         """select "Адрес" as address, "Широта" as lat, "Долгота" as lon, "Цена, руб" as price,
             "Цена за кв.м, руб." as price_raw from raw_bids""",

@@ -129,8 +129,17 @@ def metrics_reuse(spark, sf_dir):
 
 @query
 def read_geojson(spark, sf_dir):
-    path = sinks.write_features(tables.features(spark, sf_dir), scratch_path(spark))
-    read = feature_source.read_features(spark, path, lines=True, id_column="label", properties=["externalKey", "options"])
+    return _read_geojson(spark, sinks.write_features(tables.features(spark, sf_dir), scratch_path(spark)), lines=True)
+
+
+@query
+def read_geojson_collections(spark, sf_dir):
+    path = sinks.write_features(tables.features(spark, sf_dir), scratch_path(spark), collections=True, lineSep=" ")
+    return _read_geojson(spark, path)
+
+
+def _read_geojson(spark, path, lines=False):
+    read = feature_source.read_features(spark, path, lines=lines, id_column="label", properties=["externalKey", "options"])
     return joins.with_area_key(read).select(
         "id",
         "type",

@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.geometry import GEOMETRY_TYPE
+from .scan import feature_texts
 from .tables import _existing
 
-# First line of a collection that has its features on the following lines.
+# First line of a collection that has its features on the following lines, and of one that has them on the same line.
 COLLECTION_HEAD = r'^\{(\s*"type"\s*:\s*"FeatureCollection".*)?$'
+COLLECTION_LINE = r'"features"\s*:\s*\[\s*[^\s]'
 # An id may be a number or text, and properties may be any object: both are kept as their JSON text.
 FEATURE_TYPE = f"struct<id:string,type:string,geometry:{GEOMETRY_TYPE},properties:string>"
 
@@ -26,23 +28,29 @@ def read_features(
 ) -> DataFrame:
     """One row per GeoJSON feature: ``id``, ``type``, ``geometry``, ``properties`` (JSON text).
 
-    A FeatureCollection is one JSON document and thus one task per file. For large layers use one feature
-    per line (``lines=True``), which Spark splits: plain newline-delimited features, text sequences with
-    record separators, and collections written with a feature on each line all work.
+    Any layout is read by many tasks, also a FeatureCollection on one line of any length: see
+    :func:`~areaprice.sources.scan.feature_texts`, which reads the files up to three times and starts a job. A single
+    Feature, features on a line each and text sequences are found by the same scan. With ``lines=True`` each feature
+    must be on a line of its own, in newline-delimited features, text sequences or a collection laid out like that;
+    then one scan by Spark's own text reader does. What is neither a feature nor a collection is an error.
 
     ``id_column`` names a property (or ``id``) to become a key column; if no feature has it, ``KeyError``. That is
-    checked by a job of its own, which reads up to the first feature that has it; with one document per file this
-    parses the document. ``properties`` adds further properties as columns, see :func:`with_properties`, unchecked.
+    checked by a job of its own, which reads up to the first feature that has it. ``properties`` adds further
+    properties as columns, see :func:`with_properties`, unchecked.
     """
     if lines:
         text = _existing(path, lambda: spark.read.text(path))
         record = F.regexp_replace(F.col("value"), r"^[\s\x1e\uFEFF]+|[\s,]+$", "")
-        is_feature = record.startswith("{") & ~record.rlike(COLLECTION_HEAD)
-        feature = F.from_json(record, FEATURE_TYPE, {"mode": "FAILFAST"})
-        features = text.where(is_feature).select(feature.alias("f")).select("f.*")
+        is_head = record.rlike(COLLECTION_HEAD)
+        one_line = F.raise_error("A whole collection is on one line: read it without lines=True")
+        wanted = record.startswith("{") & F.when(is_head & record.rlike(COLLECTION_LINE), one_line).otherwise(~is_head)
+        texts = text.where(wanted).select(record.alias("text"), F.lit(True).alias("top"))
     else:
-        reader = spark.read.schema(f"features array<{FEATURE_TYPE}>").options(multiLine=True, mode="FAILFAST")
-        features = _existing(path, lambda: reader.json(path)).select(F.inline("features"))
+        texts = _existing(path, lambda: feature_texts(spark, path))
+    parsed = texts.select(F.from_json("text", FEATURE_TYPE, {"mode": "FAILFAST"}).alias("f"), "top")
+    is_other = F.col("top") & ~F.col("f.type").eqNullSafe("Feature")
+    other = F.raise_error(F.concat(F.lit("Neither a Feature nor a collection of them: "), F.coalesce("f.type", F.lit("no type"))))
+    features = parsed.select(F.when(is_other, other).otherwise(F.col("f")).alias("f")).select("f.*")
     features = with_properties(features, properties) if properties else features
     return with_id(features, id_column) if id_column else features
 

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -79,13 +80,38 @@ def feature_json(df: DataFrame, columns: Iterable[str] = (), drop: Iterable[str]
 
 
 def write_features(
-    df: DataFrame, path: str, columns: Iterable[str] = (), drop: Iterable[str] = (), mode: str = "overwrite"
+    df: DataFrame,
+    path: str,
+    columns: Iterable[str] = (),
+    drop: Iterable[str] = (),
+    mode: str = "overwrite",
+    collections: bool = False,
+    **options: object,
 ) -> str:
-    """Write newline-delimited GeoJSON, one feature per line."""
-    df.select(feature_json(df, columns, drop).alias("value")).write.mode(mode).text(path)
+    """Write GeoJSON into a directory of part files, one feature per line.
+
+    With ``collections=True`` every part file is a document of its own, a FeatureCollection that other programs can
+    open; a table in one partition gives one document. ``lineSep=" "`` puts a document on one line.
+    """
+    text = df.select(feature_json(df, columns, drop).alias("value"))
+    if collections:
+        text = text.mapInArrow(_as_collection, "value string")
+    text.write.mode(mode).options(**options).text(path)
     return path
 
 
+def _as_collection(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The features of a task with head, commas and tail. A line is held back until it is known whether it is the last."""
+    held, comma = '{"type":"FeatureCollection","features":[', ""
+    for batch in batches:
+        lines = []
+        for line in batch.column(0).to_pylist():
+            lines.append(held + comma)
+            held, comma = line, ","
+        yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], ["value"])
+    yield pa.RecordBatch.from_arrays([pa.array([held, "]}"], pa.string())], ["value"])
+
+
 def write_layer(layers: DataFrame, path: str, mode: str = "overwrite") -> str:
     """Write the rows of map layers as Parquet, one directory per layer."""
     layers.write.mode(mode).partitionBy("layer").parquet(path)

@@ -326,6 +326,26 @@ ORACLES = {
     "union_center": sql(
         "select round(sum(area * cy) / sum(area), 9) as lat, round(sum(area * cx) / sum(area), 9) as lon from moments", "moments"
     ),
+    # Between all heights at which an edge ends or two cross, edges from left to right enter and leave their polygons.
+    "union_center_dissolved": sql(
+        """select round(sum(h * (b * (w0 + w1) / 2 + h * (w0 / 6 + w1 / 3))) / sum(h * (w0 + w1) / 2) + 5.99e1, 9) as lat,
+               round(sum(h * (r0 * r0 + r0 * r1 + r1 * r1 - l0 * l0 - l0 * l1 - l1 * l1) / 6) / sum(h * (w0 + w1) / 2) + 3e1, 9) as lon
+           from (select *, t - b as h, r0 - l0 as w0, r1 - l1 as w1 from covered where n > 0 and r0 is not null)""",
+        "vertices",
+        extra="""sides as (select id, part, x - 3e1 as x, y - 5.99e1 as y, lead(x) over w - 3e1 as u, lead(y) over w - 5.99e1 as v
+                from vertices where kind like '%Polygon' window w as (partition by id, part, ring order by i)),
+            ups as (select row_number() over () as e, concat(id, '-', part) as p, case when y < v then x else u end as xa, least(y, v) as ya,
+                greatest(y, v) as yb, (u - x) / (v - y) as s, least(x, u) as west, greatest(x, u) as east from sides where y <> v),
+            crossings as (select a.ya + (a.xa - b.xa - b.s * (a.ya - b.ya)) / (b.s - a.s) as y,
+                    greatest(a.ya, b.ya) as low, least(a.yb, b.yb) as high
+                from ups a join ups b on a.e < b.e and a.s <> b.s and a.west <= b.east and b.west <= a.east and a.ya < b.yb and b.ya < a.yb),
+            heights as (select ya as y from ups union select yb from ups union select y from crossings where y > low and y < high),
+            slabs as (select y as b, lead(y) over (order by y) as t from heights),
+            active as (select b, t, p, xa + s * (b - ya) as l0, xa + s * (t - ya) as l1 from slabs join ups on ya <= b and yb >= t),
+            entered as (select *, case when row_number() over (partition by b, p order by l0 + l1) % 2 = 1 then 1 else -1 end as turn from active),
+            covered as (select *, sum(turn) over (w rows unbounded preceding) as n, lead(l0) over w as r0, lead(l1) over w as r1
+                from entered window w as (partition by b order by l0 + l1, turn desc, p))""",
+    ),
     "distance_from_point": sql(
         f"""select "Адрес" as address, round(sqrt(power(m * radians("Широта" - {CENTER_POINT[0]}e0), 2)
                 + power(n * cos(ph) * radians("Долгота" - {CENTER_POINT[1]}e0), 2)), 4) as distance_m

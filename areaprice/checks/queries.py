@@ -329,6 +329,11 @@ def bbox_center(spark, sf_dir):
 
 @query
 def union_center(spark, sf_dir):
+    return centers.union_center(tables.features(spark, sf_dir), dissolve=False).select(rounded(lat=9, lon=9))
+
+
+@query
+def union_center_dissolved(spark, sf_dir):
     return centers.union_center(tables.features(spark, sf_dir)).select(rounded(lat=9, lon=9))
 
 

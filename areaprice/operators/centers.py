@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions.geometry import area_moments, centroid_parts, vertices
 from ..functions.numbers import nan_to_null
+from ..scratch import stored
+from .union import union_moments
 
 
 def bids_center(bids: DataFrame) -> DataFrame:
@@ -42,17 +44,25 @@ def bbox_center(features: DataFrame) -> DataFrame:
     )
 
 
-def union_center(features: DataFrame) -> DataFrame:
+def union_center(features: DataFrame, dissolve: bool = True) -> DataFrame:
     """Centroid of all geometries together, in the lon/lat plane.
 
-    As in a geometric union, a geometry that occurs twice counts once; polygons that overlap in part are not
-    dissolved. Polygons are weighted by area; only if none has any, lines by length, and without these the points.
+    Polygons are weighted by area; only if none has any, lines by length, and without these the points. As in a
+    geometric union, what several polygons cover counts once, see :func:`~areaprice.operators.union.union_moments`,
+    which starts jobs; lines and points that occur twice count once.
+
+    ``dissolve=False`` is one pass without jobs, in which polygons that overlap in part are not dissolved, but one that
+    occurs twice counts once: the same for layers without overlaps.
     """
+    if dissolve:
+        moments = stored(union_moments(features))
+        if not moments.where("area > 0").isEmpty():
+            return moments.select((F.col("my") / F.col("area")).alias("lat"), (F.col("mx") / F.col("area")).alias("lon"))
     return parts_center(features.select(centroid_parts(F.col("geometry")).alias("parts")))
 
 
 def parts_center(parts: DataFrame) -> DataFrame:
-    """:func:`union_center` from the ``parts`` of each feature. Names and moments are shuffled, no geometry is."""
+    """:func:`union_center` from the ``parts`` of each feature, without dissolving. Names and moments are shuffled, no geometry is."""
     numbers = ("weight", "mx", "my")
     single = parts.select(F.inline("parts")).groupBy("dimension", "part").agg(*[F.first(n).alias(n) for n in numbers])
     sums = single.agg(

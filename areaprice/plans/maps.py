@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.geometry import centroid_parts
 from ..functions.keys import KEY_PATHS
 from ..functions.numbers import number_of, quoted
-from ..operators.centers import bbox_center, bids_summary, parts_center
+from ..operators.centers import bbox_center, bids_summary, parts_center, union_center
 from ..operators.clean import PERIOD, YEARS, clean_prices, filter_period, require_columns, require_rows
 from ..operators.joins import join_features, lookup_stats, with_area_key
 from ..operators.layers import (
@@ -87,11 +87,14 @@ def map_quick(
     tooltip_columns: Iterable[str] = (),
     classes: int = 6,
     unique: bool = False,
+    dissolve: bool = False,
 ) -> MapLayers:
     """Any table joined to any features on a key, coloured by classes of one column; no features are an error.
 
     The features are read for the rows and, once before, for what is needed of them all: the keys that belong to
     the scale, and the centre. ``unique=True`` says that no key occurs twice in the table, which saves another pass.
+    ``dissolve=True`` is for features that overlap: what several cover counts once for the centre, see
+    :func:`~areaprice.operators.centers.union_center`.
     """
     columns = [F.col(quoted(on)).alias("key"), centroid_parts(F.col("geometry")).alias("parts")]
     known = require_rows(stored(features.select(columns)), "No features")
@@ -108,7 +111,7 @@ def map_quick(
         require_columns(joined, tooltip_columns, "joined table")
         areas = areas.withColumn("tooltip", tooltip({name: name for name in tooltip_columns}))
     # A left join keeps every feature, so the features alone give the centre of the joined map.
-    return MapLayers(areas, None, parts_center(known))
+    return MapLayers(areas, None, union_center(features) if dissolve else parts_center(known))
 
 
 def map_deals_bids(deals: DataFrame, bids: DataFrame, features: DataFrame) -> MapLayers:

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.keys import KEY_PATHS, area_key
 from ..functions.numbers import quoted
 
 HOW = ("left", "right", "inner", "outer")
+# Rows of one key that a task should join at most, and the keys per side that may have more.
+HOT_ROWS, HOT_KEYS = 10_000, 1000
 
 
 def join_features(
@@ -27,7 +28,12 @@ def join_features(
 
     Other columns that both sides have get the suffixes. NULL keys match nothing unless asked to match each
     other. Keys of different types are an error, not a cast. ``unique=True`` says that no key occurs twice in the
-    table; then a left join is a single one, which reads each side once.
+    table; then a left join needs no more than Spark's own.
+
+    The join reads each side once. Spark can't split a hot key of a side that an outer join doesn't preserve, nor NULLs
+    that match nothing, so for all but inner joins a sketch of the keys is taken first, see :func:`hot_keys`, by a
+    job over the two key columns. The rows of hot keys are split over cells, each of which joins a part of one side
+    with a part of the other.
     """
     if how not in HOW:
         raise ValueError(f"Unknown join {how!r}, expected one of {HOW}")
@@ -55,16 +61,58 @@ def join_features(
                 columns.append(column.alias(field.name))
         return joined.select(columns)
 
-    if unique and how == "left":
-        return result(left.join(right, matches, "left"))
-    # An outer join can neither broadcast the side it preserves nor split a hot key of the other side. The
-    # inner join can, and what remains is looked up among distinct keys.
-    parts = [result(left.join(right, matches, "inner"))]
-    if how in ("left", "outer"):
-        parts.append(result(left.join(right.select("_right_key").distinct(), matches, "left_anti")))
-    if how in ("right", "outer"):
-        parts.append(result(right.join(left.select(left_key).distinct(), matches, "left_anti")))
-    return functools.reduce(DataFrame.unionByName, parts)
+    if how == "inner" or unique and how == "left":
+        return result(left.join(right, matches, how))
+    hot = hot_keys(left.select(left_key.alias("key")), right.select(right_key.alias("key")), null_keys_match)
+    if hot is None:
+        return result(left.join(right, matches, how))
+    left_cells = _in_cells(left, left_key, hot, "left", own="n_left", other="n_right")
+    right_cells = _in_cells(right, right_key, hot, "right", own="n_right", other="n_left")
+    joined = left_cells.join(right_cells, matches & (F.col("_left_cell") == F.col("_right_cell")), how)
+    # A row of a hot key meets its matches in some cells only; where the other side has the key it is never alone.
+    alone = F.col("_left_cell").isNull() | F.col("_right_cell").isNull()
+    return result(joined.where(~(alone & F.coalesce("_left_matched", "_right_matched"))))
+
+
+def hot_keys(left: DataFrame, right: DataFrame, null_keys_match: bool = False) -> DataFrame | None:
+    """Keys with more than ``HOT_ROWS`` rows on a side: ``key``, ``n_left`` and ``n_right``; None if there are none.
+
+    Both sides have one column, ``key``. Every task sketches its most frequent keys; those of the merged sketches, at
+    most ``HOT_KEYS`` a side, are counted exactly. A key below the resolution of the sketch, one in some thousands of
+    all rows, may be missed, and then joins like any other. NULL counts as a key, which has no rows on the
+    other side unless NULLs match.
+    """
+    sketch = F.expr(f"approx_top_k(xxhash64(key), {HOT_KEYS}, {10 * HOT_KEYS})").alias("top")
+    sketches = left.agg(sketch).unionByName(right.agg(sketch)).collect()  # a row per side
+    hashes = sorted({item["item"] for side in sketches for item in side["top"] or () if item["count"] > HOT_ROWS})
+    if not hashes:
+        return None
+    of_hash = F.xxhash64("key").isin(hashes)
+    one = [side.where(of_hash).select("key", F.lit(n).alias("n_left"), F.lit(1 - n).alias("n_right")) for side, n in ((left, 1), (right, 0))]
+    counts = one[0].unionByName(one[1]).groupBy("key").agg(F.sum("n_left").alias("n_left"), F.sum("n_right").alias("n_right"))
+    rows = [row for row in counts.where(F.greatest("n_left", "n_right") > HOT_ROWS).collect()]  # at most a row per hash
+    return left.sparkSession.createDataFrame(rows, counts.schema).withColumn("null_matches", F.lit(null_keys_match)) if rows else None
+
+
+def _in_cells(side: DataFrame, key: Column, hot: DataFrame, name: str, own: str, other: str) -> DataFrame:
+    """Rows with ``_<name>_cell``: one cell for most, for a row of a hot key one for each part of the other side.
+
+    Which part a row is in follows from its place among the rows of its task in order of their hashes: rows that are
+    alike are dealt out too, and a task that runs again deals them out as before.
+    """
+    matched = (F.col(other) > 0) & (F.col("key").isNotNull() | F.col("null_matches"))
+    parts = F.ceil(F.col(own) / HOT_ROWS).cast("int")
+    copies = F.when(matched, F.greatest(F.ceil(F.col(other) / HOT_ROWS), F.lit(1))).otherwise(1).cast("int")
+    known = hot.select("key", F.greatest(parts, F.lit(1)).alias("_parts"), copies.alias("_copies"), matched.alias(f"_{name}_matched"))
+    names = [F.col(quoted(column)) for column in side.columns]
+    placed = side.sortWithinPartitions(F.xxhash64(*names)).withColumn("_at", F.monotonically_increasing_id())
+    joined = placed.join(F.broadcast(known), key.eqNullSafe(F.col("key")), "left")  # HOT_KEYS rows a side at most
+    part = F.pmod("_at", F.col("_parts"))
+    own_first = name == "left"
+    cells = F.transform(F.sequence(F.lit(0), F.col("_copies") - 1), lambda c: part * F.col("_copies") + c if own_first else c * F.col("_parts") + part)
+    # Of a key that isn't hot nothing is known, and its one cell is 0.
+    cell = F.explode(F.coalesce(F.when(F.col("_parts").isNotNull(), cells), F.array(F.lit(0).cast("long")))).alias(f"_{name}_cell")
+    return joined.select(*names, F.coalesce(f"_{name}_matched", F.lit(False)).alias(f"_{name}_matched"), cell)
 
 
 def with_area_key(features: DataFrame, paths: tuple[str, ...] = KEY_PATHS) -> DataFrame:

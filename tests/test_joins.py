@@ -1,6 +1,8 @@
-import pytest
+import random
 
+import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from areaprice.operators import joins
 from areaprice.operators.joins import features_with_keys, join_features, lookup_stats, with_area_key
@@ -83,3 +85,68 @@ def test_left_join_of_a_unique_table(spark):
     right = spark.createDataFrame([("a", 9), (None, 8)], "k string, x int")
     found = joins.join_features(left, right, "k", unique=True)
     assert sorted(map(tuple, found.collect()), key=repr) == sorted(map(tuple, joins.join_features(left, right, "k").collect()), key=repr)
+
+
+def skewed(spark, seed, size, nulls):
+    """Rows of which a third has one key, some in copies, others a key that the other side may lack."""
+    rng = random.Random(seed)
+    rows = [(rng.choice(["hot", "hot", "warm", f"k{rng.randint(0, 30)}", None if nulls else "x"]), i // 3 * (i % 2)) for i in range(size)]
+    return spark.createDataFrame(rows, "k string, v int").repartition(3)
+
+
+def plain_join(left, right, how, nulls):
+    found, matched = [], set()
+    for k, v in left:
+        others = [(i, w) for i, (key, w) in enumerate(right) if key == k and (nulls or k is not None)]
+        found += [(k, v, w) for _, w in others]
+        matched |= {i for i, _ in others}
+        if not others and how in ("left", "outer"):
+            found.append((k, v, None))
+    if how in ("right", "outer"):
+        found += [(k, None, w) for i, (k, w) in enumerate(right) if i not in matched]
+    return sorted(found, key=repr)
+
+
+@pytest.mark.parametrize("how", joins.HOW)
+@pytest.mark.parametrize(("seed", "sizes", "nulls"), [(1, (60, 90), True), (2, (90, 12), False), (3, (7, 120), True), (4, (80, 0), False), (5, (0, 80), True)])
+def test_hot_keys_are_split_over_cells(spark, monkeypatch, how, seed, sizes, nulls):
+    monkeypatch.setattr(joins, "HOT_ROWS", 8)
+    left = skewed(spark, seed, sizes[0], nulls)
+    right = skewed(spark, seed + 50, sizes[1], nulls).where("k <> 'warm' or k is null" if seed % 2 else "true").withColumnRenamed("v", "w")
+    found = join_features(left, right, "k", how, null_keys_match=nulls and seed == 3)
+    assert found.columns == ["k", "v", "w"]
+    expected = plain_join(list(map(tuple, left.collect())), list(map(tuple, right.collect())), how, nulls and seed == 3)
+    assert sorted(map(tuple, found.collect()), key=repr) == expected
+
+
+def test_hot_keys_are_counted_exactly(spark, monkeypatch):
+    monkeypatch.setattr(joins, "HOT_ROWS", 20)
+    left = spark.createDataFrame([("a",)] * 50 + [(None,)] * 30 + [("b",)] * 20, "key string")
+    right = spark.createDataFrame([("a",)] * 3 + [("c",)] * 21, "key string")
+    found = joins.hot_keys(left, right)
+    assert sorted(map(tuple, found.drop("null_matches").collect()), key=repr) == [("a", 50, 3), ("c", 0, 21), (None, 30, 0)]
+    assert joins.hot_keys(left.limit(0), right.limit(0)) is None
+    monkeypatch.setattr(joins, "HOT_ROWS", 50)
+    assert joins.hot_keys(left, right) is None
+
+
+@pytest.mark.parametrize("how", joins.HOW)
+@pytest.mark.parametrize("hot_rows", [5, 1000])
+def test_each_side_is_read_once(spark, monkeypatch, tmp_path, capsys, how, hot_rows):
+    monkeypatch.setattr(joins, "HOT_ROWS", hot_rows)
+    for name in ("one", "two"):
+        spark.range(100).selectExpr("id % 7 as k", f"id as {name}").write.parquet(str(tmp_path / name))
+    left, right = (spark.read.parquet(str(tmp_path / name)) for name in ("one", "two"))
+    join_features(left, right, "k", how).explain("formatted")
+    plan = capsys.readouterr().out.split("\n(1) ")[0]
+    assert plan.count("Scan parquet") == 2 and "Cartesian" not in plan
+
+
+def test_a_hot_key_on_both_sides_is_shared_among_tasks(spark, monkeypatch):
+    monkeypatch.setattr(joins, "HOT_ROWS", 200)
+    rows = [("hot", 1)] * 3000 + [(f"k{i}", 1) for i in range(3000)]  # rows of the hot key are all alike
+    left, right = spark.createDataFrame(rows, "k string, v int").repartition(5), spark.createDataFrame(rows[::-6], "k string, w int")
+    left_cells = joins._in_cells(left, F.col("k"), joins.hot_keys(left.selectExpr("k key"), right.selectExpr("k key")), "left", "n_left", "n_right")
+    per_cell = left_cells.groupBy("k", "_left_cell").count().agg(F.max("count"), F.count("*")).first()
+    assert per_cell[0] <= 200 * 1.2 and per_cell[1] >= 3000 + 3000 / 200
+    assert join_features(left, right, "k", "outer").count() == 3000 * 500 + 3000

@@ -27,10 +27,12 @@ def area_stats(
     price: str = "price_per_sqm",
     stats: Iterable[str] = STATS,
     method: str = "exact",
+    times: str | None = None,
 ) -> DataFrame:
     """Mean, median, count and geometric mean of the prices of each area; rows without a price do not count.
 
-    A NULL key is a group of its own. ``method`` concerns the median only:
+    A NULL key is a group of its own. ``times`` names a column of whole numbers that says how often a row counts, as in
+    a table of counted prices; it needs the exact method. ``method`` concerns the median only:
 
     * ``exact`` finds the two middle values through counts per price cell, see :func:`_stats_with_exact_median`. No
       task ever holds a whole area, so it suits areas of any size.
@@ -42,9 +44,12 @@ def area_stats(
     unknown = set(stats) - set(STATS)
     if unknown:
         raise ValueError(f"Unknown statistics {sorted(unknown)}")
-    rows = deals.select(key, nan_to_null(F.col(price).cast("double")).alias("_v"))
+    weight = [F.col(quoted(times)).cast("long").alias("_w")] if times else []
+    rows = deals.select(key, nan_to_null(F.col(price).cast("double")).alias("_v"), *weight)
     value = F.col("_v")
-    if "median" in stats and method == "exact":
+    if times and method != "exact":
+        raise ValueError(f"Rows that count several times need the exact method, not {method!r}")
+    if times or "median" in stats and method == "exact":
         return _stats_with_exact_median(rows, key, stats)
     median = {
         "exact": F.median(value),
@@ -122,11 +127,14 @@ def _stats_with_exact_median(rows: DataFrame, key: str, stats: list[str]) -> Dat
     row per area, is stored; where it leaves a middle value open, the rows of one cell are read again.
     """
     celled = rows.withColumn("_cell", _log_cell(F.col("_v")))
-    sums = ["count(_v) as _n", "min(_v) as _lo", "max(_v) as _hi"]
+    weighted = "_w" in rows.columns
+    count = "coalesce(sum(case when _v is not null then _w end), 0L)" if weighted else "count(_v)"
+    by_weight = " * _w" if weighted else ""
+    sums = [f"{count} as _n", "min(_v) as _lo", "max(_v) as _hi"]
     if "arith_mean" in stats:
-        sums.append("sum(_v) as _sum")
+        sums.append(f"sum(_v{by_weight}) as _sum")
     if "geom_mean" in stats:
-        sums.append("sum(case when _v > 0 then ln(_v) end) as _sum_log")
+        sums.append(f"sum(case when _v > 0 then ln(_v){by_weight} end) as _sum_log")
     # Missing values drop out here and not by a filter on the rows, which Catalyst would push down through
     # the parsing of the price and so parse it once more.
     cells = celled.groupBy(key, "_cell").agg(*[F.expr(text) for text in sums]).where("_n > 0")
@@ -168,13 +176,14 @@ def _middle_values(celled: DataFrame, key: str, wanted: DataFrame, n_open: int)
     in_cell = inside & F.col("_cell").eqNullSafe(F.col("_in"))
     in_part = inside & F.expr("_v between _lo and _hi")
     part = _linear_cell(F.col("_v"), F.col("_lo"), F.col("_hi")).alias("_cell")
+    once = F.col("_w") if "_w" in celled.columns else F.lit(1)
     prices, done = None, []
     while n_open:
         if not done:
-            wanted_rows = celled.withColumn("_n", F.lit(1)).join(wanted, in_cell)
+            wanted_rows = celled.withColumn("_n", once).join(wanted, in_cell)
         else:
             if prices is None:
-                counted = celled.join(wanted, in_part).groupBy(key, "_v").agg(F.count(F.lit(1)).alias("_n"))
+                counted = celled.join(wanted, in_part).groupBy(key, "_v").agg(F.sum(once).alias("_n"))
                 prices = stored(counted)
             wanted_rows = prices.join(wanted, in_part)
         parts = wanted_rows.groupBy(key, part, "_base", "_r0", "_r1", "_want").agg(

@@ -1,25 +1,70 @@
 """GeoJSON geometry as column expressions.
 
 A geometry is ``struct<type: string, coordinates: string>`` with the coordinates as raw JSON text, so that
-features of different kinds share one column. Coordinates are longitude and latitude in degrees.
+features of different kinds share one column; of a GeometryCollection it is the text of its geometries. Coordinates are
+longitude and latitude in degrees.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-GEOMETRY_TYPE = "struct<type:string,coordinates:string>"
+# A geometry as it stands in JSON, see :func:`as_read`.
+JSON_GEOMETRY_TYPE = "struct<type:string,coordinates:string,geometries:string>"
+COLLECTION = "GeometryCollection"
+# Collections within collections that are looked into.
+NESTED = 4
 
 # WGS84 semi-major axis in metres and squared eccentricity.
 WGS84_AXIS = 6378137.0
 WGS84_ECCENTRICITY2 = 0.00669437999014
 
 
+def as_read(geometry: Column) -> Column:
+    """The geometry from one parsed by :data:`JSON_GEOMETRY_TYPE`."""
+    text = F.when(geometry["type"] == COLLECTION, geometry["geometries"]).otherwise(geometry["coordinates"])
+    return F.when(geometry.isNotNull(), F.struct(geometry["type"].alias("type"), text.alias("coordinates")))
+
+
+def members(geometry: Column, nested: int = NESTED) -> Column:
+    """The geometries of a GeometryCollection and of those within it as an array; those nested deeper fail the job."""
+    if not nested:
+        return F.raise_error(F.lit(f"More than {NESTED} geometry collections within each other")).cast(
+            "array<struct<type:string,coordinates:string>>"
+        )
+    parsed = F.from_json(geometry["coordinates"], f"array<{JSON_GEOMETRY_TYPE}>", {"mode": "FAILFAST"})
+    inner = F.transform(F.filter(parsed, lambda g: g.isNotNull()), as_read)
+    flat = F.transform(inner, lambda g: F.when(g["type"] == COLLECTION, members(g, nested - 1)).otherwise(F.array(g)))
+    return F.filter(F.flatten(F.filter(flat, lambda part: part.isNotNull())), lambda g: g["coordinates"].isNotNull())
+
+
+def _of_members(geometry: Column, of_one: Callable[[Column], Column], together: Callable[[Column], Column]) -> Column:
+    """``of_one`` of a geometry, of a GeometryCollection what ``together`` makes of those that its members have."""
+    found = F.filter(F.transform(members(geometry), of_one), lambda one: one.isNotNull())
+    whole = F.when(F.size(found) > 0, together(found))
+    return F.when(geometry["type"] == COLLECTION, whole).otherwise(of_one(geometry))
+
+
 def polygons(geometry: Column) -> Column:
-    """Coordinates of any geometry in one shape: polygon, ring, vertex, ordinate.
+    """Coordinates of any geometry in one shape: polygon, ring, vertex, ordinate. Collections give those of all members."""
+    return _of_members(geometry, _polygons, F.flatten)
+
+
+def area_polygons(geometry: Column) -> Column:
+    """:func:`polygons` of what has an area, also within collections; NULL without any."""
+
+    def of_one(one: Column) -> Column:
+        return F.when(one["type"].isin("Polygon", "MultiPolygon"), _polygons(one))
+
+    return _of_members(geometry, of_one, F.flatten)
+
+
+def _polygons(geometry: Column) -> Column:
+    """Coordinates of one geometry in the shape of :func:`polygons`.
 
     Shallower kinds are wrapped before the text is parsed, so every kind costs one parse. Kinds without
     coordinates give NULL.
@@ -59,6 +104,12 @@ def label_point(geometry: Column) -> Column:
     )
 
 
+def _summed(*names: str) -> Callable[[Column], Column]:
+    """Sums of numbers over an array of structs that have them."""
+    zero = F.struct(*[F.lit(0.0).alias(name) for name in names])
+    return lambda parts: F.aggregate(parts, zero, lambda acc, part: F.struct(*[(acc[n] + part[n]).alias(n) for n in names]))
+
+
 def _ring_moments(ring: Column, sign: Column) -> Column:
     """Signed area and first moments of one ring, whatever way round it runs.
 
@@ -94,27 +145,31 @@ def _ring_moments(ring: Column, sign: Column) -> Column:
 def area_moments(geometry: Column) -> Column:
     """``struct<area, mx, my>`` of a Polygon or MultiPolygon in the lon/lat plane; holes count negative.
 
-    The centroid is ``(mx / area, my / area)``, and moments of several geometries may be added up. Other
-    kinds give NULL.
+    The centroid is ``(mx / area, my / area)``, and moments of several geometries may be added up. A collection adds up
+    its members. Other kinds give NULL.
     """
+    return _of_members(geometry, _area_moments, _summed("area", "mx", "my"))
+
+
+def _area_moments(geometry: Column) -> Column:
     rings = F.transform(
-        polygons(geometry),
+        _polygons(geometry),
         lambda polygon: F.transform(
             polygon, lambda ring, i: _ring_moments(ring, F.when(i == 0, F.lit(1.0)).otherwise(F.lit(-1.0)))
         ),
     )
-    zero = F.struct(*[F.lit(0.0).alias(name) for name in ("area", "mx", "my")])
-    total = F.aggregate(
-        F.flatten(rings),
-        zero,
-        lambda acc, part: F.struct(*[(acc[name] + part[name]).alias(name) for name in ("area", "mx", "my")]),
-    )
-    return F.when(geometry["type"].isin("Polygon", "MultiPolygon"), total)
+    return F.when(geometry["type"].isin("Polygon", "MultiPolygon"), _summed("area", "mx", "my")(F.flatten(rings)))
 
 
 def line_moments(geometry: Column) -> Column:
-    """``struct<length, mx, my>`` of a LineString or MultiLineString in the lon/lat plane; other kinds give NULL."""
+    """``struct<length, mx, my>`` of a LineString or MultiLineString in the lon/lat plane; other kinds give NULL.
+
+    A collection adds up its members.
+    """
+    return _of_members(geometry, _line_moments, _summed("length", "mx", "my"))
+
 
+def _line_moments(geometry: Column) -> Column:
     def step(acc: Column, v: Column) -> Column:
         x, y = F.get(v, 0), F.get(v, 1)
         length = F.coalesce(F.hypot(x - acc["x"], y - acc["y"]), F.lit(0.0))
@@ -129,11 +184,8 @@ def line_moments(geometry: Column) -> Column:
     names = ("length", "mx", "my")
     zero = [F.lit(0.0).alias(name) for name in names]
     start = F.struct(F.lit(None).cast("double").alias("x"), F.lit(None).cast("double").alias("y"), *zero)
-    lines = F.transform(F.flatten(polygons(geometry)), lambda line: F.aggregate(line, start, step))
-    total = F.aggregate(
-        lines, F.struct(*zero), lambda acc, part: F.struct(*[(acc[name] + part[name]).alias(name) for name in names])
-    )
-    return F.when(geometry["type"].isin("LineString", "MultiLineString"), total)
+    lines = F.transform(F.flatten(_polygons(geometry)), lambda line: F.aggregate(line, start, step))
+    return F.when(geometry["type"].isin("LineString", "MultiLineString"), _summed(*names)(lines))
 
 
 def centroid_parts(geometry: Column) -> Column:
@@ -141,21 +193,25 @@ def centroid_parts(geometry: Column) -> Column:
 
     A polygon or line is one part, weighted by area or length and named by a hash of its text; points are a part
     each, weighing 1 and named by their position. So parts that occur twice can be told by their names, which are
-    short. No geometry gives NULL.
+    short. A collection has the parts of its members. No geometry gives NULL.
     """
+    return _of_members(geometry, _centroid_parts, F.flatten)
+
+
+def _centroid_parts(geometry: Column) -> Column:
     name = F.sha2(F.concat(geometry["type"], geometry["coordinates"]), 256)
 
     def one(dimension: int, moments: Column, weight: str) -> Column:
         return F.array(_part(F.lit(dimension), name, moments[weight], moments["mx"], moments["my"]))
 
     points = F.transform(
-        vertices(geometry),
+        F.flatten(F.flatten(_polygons(geometry))),
         lambda v: _part(F.lit(0), F.concat_ws(",", F.get(v, 0), F.get(v, 1)), F.lit(1.0), F.get(v, 0), F.get(v, 1)),
     )
     kind = geometry["type"]
     return (
-        F.when(kind.isin("Polygon", "MultiPolygon"), one(2, area_moments(geometry), "area"))
-        .when(kind.isin("LineString", "MultiLineString"), one(1, line_moments(geometry), "length"))
+        F.when(kind.isin("Polygon", "MultiPolygon"), one(2, _area_moments(geometry), "area"))
+        .when(kind.isin("LineString", "MultiLineString"), one(1, _line_moments(geometry), "length"))
         .when(kind.isin("Point", "MultiPoint"), points)
     )
 

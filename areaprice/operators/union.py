@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.geometry import polygons
+from ..functions.geometry import area_polygons
 from ..scratch import stored, stored_and_observed
 
 # Edges of a cell that is scanned; cells with more are divided, by so many a side at most.
@@ -174,13 +174,13 @@ def _scan(table: pa.Table) -> pa.Table:
 
 
 def union_moments(features: DataFrame) -> DataFrame:
-    """One row with ``area``, ``mx`` and ``my`` of what all Polygons and MultiPolygons cover together; NULL if there are none.
+    """One row with ``area``, ``mx`` and ``my`` of what all Polygons and MultiPolygons cover together, also those in
+    collections; NULL if there are none.
 
     Moments are in the lon/lat plane. Copies of a polygon, and pieces that are alike in a cell, go on as one. Polygons
     with a vertex that isn't two numbers are left out.
     """
-    is_area = F.col("geometry.type").isin("Polygon", "MultiPolygon")
-    one = features.where(is_area).select(F.explode(polygons(F.col("geometry"))).alias("polygon"))
+    one = features.select(F.explode(area_polygons(F.col("geometry"))).alias("polygon"))
     flat = F.transform("polygon", lambda ring: F.flatten(F.transform(ring, lambda v: F.array(F.get(v, 0), F.get(v, 1)))))
     shapes = one.select(flat.alias("rings")).where(~F.exists("rings", lambda ring: F.exists(ring, lambda v: v.isNull() | F.isnan(v))))
     ordinates = F.flatten("rings")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.geometry import GEOMETRY_TYPE
+from ..functions.geometry import JSON_GEOMETRY_TYPE, as_read
 from .scan import feature_texts
 from .tables import _existing
 
@@ -16,7 +16,7 @@ from .tables import _existing
 COLLECTION_HEAD = r'^\{(\s*"type"\s*:\s*"FeatureCollection".*)?$'
 COLLECTION_LINE = r'"features"\s*:\s*\[\s*[^\s]'
 # An id may be a number or text, and properties may be any object: both are kept as their JSON text.
-FEATURE_TYPE = f"struct<id:string,type:string,geometry:{GEOMETRY_TYPE},properties:string>"
+FEATURE_TYPE = f"struct<id:string,type:string,geometry:{JSON_GEOMETRY_TYPE},properties:string>"
 
 
 def read_features(
@@ -51,6 +51,7 @@ def read_features(
     is_other = F.col("top") & ~F.col("f.type").eqNullSafe("Feature")
     other = F.raise_error(F.concat(F.lit("Neither a Feature nor a collection of them: "), F.coalesce("f.type", F.lit("no type"))))
     features = parsed.select(F.when(is_other, other).otherwise(F.col("f")).alias("f")).select("f.*")
+    features = features.withColumn("geometry", as_read(F.col("geometry")))
     features = with_properties(features, properties) if properties else features
     return with_id(features, id_column) if id_column else features
 

@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.geometry import COLLECTION
 from ..functions.numbers import quoted
 from ..functions.text import cp1251_to_latin1
 from .tables import _CP1251_NAMES
@@ -57,7 +58,7 @@ def feature_json(df: DataFrame, columns: Iterable[str] = (), drop: Iterable[str]
         F.concat(
             F.lit('{"type":"'),
             F.col("geometry.type"),
-            F.lit('","coordinates":'),
+            F.when(F.col("geometry.type") == COLLECTION, F.lit('","geometries":')).otherwise(F.lit('","coordinates":')),
             F.col("geometry.coordinates"),
             F.lit("}"),
         ),

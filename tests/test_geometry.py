@@ -1,12 +1,15 @@
 import json
 import math
+import random
 from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
 
-from areaprice.functions.geometry import distance_m, label_point, vertex_count
+from areaprice.functions.geometry import area_moments, distance_m, label_point, vertex_count, vertices
 from areaprice.operators.centers import area_centroids, bbox_center, bids_center, union_center
+from areaprice.sources.features import read_features
+from areaprice.sources.sinks import write_features
 
 RING = (
     "[[30.380581811999996,59.99604609],[30.385111436000003,59.995476652],[30.387655220999996,59.995156770000015],"
@@ -123,3 +126,63 @@ def test_union_centre_takes_the_highest_dimension(spark):
     assert center(line, point, square, square, None) == pytest.approx((1.0, 1.0))
     assert center(point, ("MultiPoint", "[[0,0],[100,100]]")) == pytest.approx((50.0, 50.0))
     assert center(None) == (None, None)
+
+
+def collected(rng, depth):
+    """A random GeometryCollection, and the simple geometries in it."""
+    geometries, simple = [], []
+    for _ in range(rng.randint(0, 4)):
+        kind = rng.choice(["Point", "LineString", "Polygon", "MultiPolygon", "GeometryCollection", "GeometryCollection"])
+        x, y = rng.randint(0, 9), rng.randint(0, 9)
+        ring = [[x, y], [x + 2, y], [x + 2, y + 1], [x, y + 1], [x, y]]
+        coordinates = {"Point": [x, y], "LineString": ring[:3], "Polygon": [ring], "MultiPolygon": [[ring], [[[a + 20, b] for a, b in ring]]]}
+        if kind == "GeometryCollection":
+            if depth:
+                inner, parts = collected(rng, depth - 1)
+                geometries.append(inner)
+                simple += parts
+        else:
+            simple.append({"type": kind, "coordinates": coordinates[kind]})
+            geometries.append(simple[-1])
+    return {"type": "GeometryCollection", "geometries": geometries}, simple
+
+
+def test_collections_are_their_members(spark, tmp_path):
+    rng = random.Random(6)
+    made = [collected(rng, 3) for _ in range(40)]
+    path = tmp_path / "f.geojson"
+    path.write_text(json.dumps({"features": [{"type": "Feature", "id": i, "geometry": g, "properties": {}} for i, (g, _) in enumerate(made)]}))
+    read = read_features(spark, str(path))
+    found = {int(r.id): r for r in area_centroids(read).select("id", vertex_count(F.col("geometry")).alias("n"), label_point(F.col("geometry")).alias("at"), "centroid_lon", "centroid_lat").collect()}
+    alone = spark.createDataFrame([(i, (g["type"], json.dumps(g["coordinates"]))) for i, (_, parts) in enumerate(made) for g in parts], SCHEMA)
+    assert len(found) == 40 and alone.count() > 60
+    rows = alone.select("id", vertices(F.col("geometry")).alias("v"), area_moments(F.col("geometry")).alias("m")).collect()
+    for i, row in found.items():
+        points = [p for r in rows if r.id == i for p in r.v]
+        areas = [r.m for r in rows if r.id == i and r.m]
+        assert (row.n or 0) == len(points)
+        assert (row.at is None) == (not points)
+        if points:
+            assert (row.at.lon, row.at.lat) == pytest.approx([sum(p[k] for p in points) / len(points) for k in (0, 1)])
+        assert (row.centroid_lon is None) == (not areas)
+        if areas:
+            total = sum(m.area for m in areas)
+            assert (row.centroid_lon, row.centroid_lat) == pytest.approx((sum(m.mx for m in areas) / total, sum(m.my for m in areas) / total))
+    for dissolve in (True, False):
+        together, apart = (union_center(table, dissolve=dissolve).first() for table in (read, alone))
+        assert tuple(together) == pytest.approx(tuple(apart))
+    assert tuple(bbox_center(read).first()) == pytest.approx(tuple(bbox_center(alone).first()))
+    out = write_features(read, str(tmp_path / "out"))
+    written = [json.loads(r.value) for r in spark.read.text(out).collect()]
+    assert sorted(written, key=lambda f: f["id"]) == json.loads(path.read_text())["features"]
+
+
+def test_collections_nested_too_deep_fail(spark):
+    deep = {"type": "Point", "coordinates": [1, 2]}
+    for depth in range(6):
+        deep = {"type": "GeometryCollection", "geometries": [deep]}
+        table = shapes(spark, ("GeometryCollection", json.dumps(deep["geometries"])))
+        if depth < 4:
+            assert table.select(vertex_count(F.col("geometry"))).first()[0] == 1
+    with pytest.raises(Exception, match="geometry collections"):
+        table.select(vertex_count(F.col("geometry"))).collect()

@@ -254,6 +254,7 @@ ORACLES = {
         "metrics",
     ),
     "metrics_reuse": sql("select quarter_cad_number, median, count from metrics", "metrics"),
+    "metrics_updated": sql(rounded_stats("metrics").replace("median_round, ", ""), "metrics"),
     "read_geojson": sql(
         """select cast(id as varchar) as id, 'Feature' as type, json_extract_string(properties, '$.label') as label,
             json_extract_string(properties, '$.externalKey') as "externalKey",
@@ -311,6 +312,9 @@ ORACLES = {
         "prices",
     ),
     **{f"join_features_{how}": joined(how) for how in ("left", "right", "inner", "outer")},
+    "join_features_hot_keys": """select coalesce(l_returnflag, k) as flag, l_orderkey, l_linenumber, r_name as name from lineitem full join
+            (select *, case r_regionkey when 0 then 'A' when 1 then 'R' when 2 then 'X' when 3 then 'A' end as k from region)
+            on l_returnflag = k""",
     "vertex_count": sql("select cast(id as varchar) as id, cast(n as int) as n from features left join spots using (id)", "spots"),
     "label_point": sql(
         """select cast(f.id as varchar) as id, round(lon, 9) as lon, round(lat, 9) as lat from features f

@@ -16,7 +16,7 @@ from ..operators.clean import clean_prices, filter_period
 from ..plans import maps
 from ..scratch import scratch_path, stored
 from ..sources import features as feature_source
-from ..sources import sinks
+from ..sources import sinks, updates
 from ..sources import tables as sources
 from . import tables
 
@@ -127,6 +127,17 @@ def metrics_reuse(spark, sf_dir):
     return sources.metrics_or_compute(spark, path, deals).select(STAT_COLUMNS)
 
 
+@query
+def metrics_updated(spark, sf_dir):
+    """Statistics of files that come one after the other, each of which is counted once."""
+    deals = tables.deals(spark, sf_dir)
+    path, store = scratch_path(spark), scratch_path(spark)
+    for part in ("floor <= 2", "floor between 3 and 4", "floor > 4"):
+        sinks.write_csv(deals.where(part), path, sep=";", mode="append")
+        found = updates.updated_metrics(spark, path, store)
+    return found.select("quarter_cad_number", "median", *rounded(arith_mean=4, geom_mean=4), "count")
+
+
 @query
 def read_geojson(spark, sf_dir):
     return _read_geojson(spark, sinks.write_features(tables.features(spark, sf_dir), scratch_path(spark)), lines=True)
@@ -303,6 +314,16 @@ def _join_query(how: str) -> Query:
 QUERIES.update({f"join_features_{how}": _join_query(how) for how in joins.HOW})
 
 
+@query
+def join_features_hot_keys(spark, sf_dir):
+    """Outer join of deals, most of which have one of a few keys, with a table that has some of these keys twice."""
+    deals = spark.read.parquet(f"{sf_dir}/lineitem.parquet").selectExpr("l_returnflag as flag", "l_orderkey", "l_linenumber")
+    flags = spark.read.parquet(f"{sf_dir}/region.parquet").selectExpr(
+        "case r_regionkey when 0 then 'A' when 1 then 'R' when 2 then 'X' when 3 then 'A' end as flag", "r_name as name"
+    )
+    return joins.join_features(deals, flags, "flag", "outer")
+
+
 # Geometry
 
 

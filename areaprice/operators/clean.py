@@ -32,7 +32,7 @@ def clean_prices(df: DataFrame, price: str = "price_per_sqm", policy: str = "pos
 
 def drop_incomplete(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     """Drop rows with NULL or NaN in any of the columns."""
-    return df.na.drop(subset=list(columns))
+    return df.na.drop(subset=[quoted(name) for name in columns])
 
 
 def filter_period(
@@ -47,7 +47,7 @@ def filter_period(
     A text column is compared as text; a date or timestamp column with the day that the text names.
     """
     if years is not None:
-        df = df.where(F.col(year_column).between(*years))
+        df = df.where(F.col(quoted(year_column)).between(*years))
     if period is not None:
         found, wanted = F.col(quoted(period_column)), F.lit(period)
         if isinstance(df.schema[period_column].dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
@@ -58,7 +58,7 @@ def filter_period(
 
 def keep_known(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     """Those of the named columns that the table has."""
-    return df.select([name for name in columns if name in df.columns])
+    return df.select([quoted(name) for name in columns if name in df.columns])
 
 
 def require_columns(df: DataFrame, required: Iterable[str], what: str = "table") -> DataFrame:

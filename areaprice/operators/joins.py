@@ -90,8 +90,8 @@ def hot_keys(left: DataFrame, right: DataFrame, null_keys_match: bool = False) -
     of_hash = F.xxhash64("key").isin(hashes)
     one = [side.where(of_hash).select("key", F.lit(n).alias("n_left"), F.lit(1 - n).alias("n_right")) for side, n in ((left, 1), (right, 0))]
     counts = one[0].unionByName(one[1]).groupBy("key").agg(F.sum("n_left").alias("n_left"), F.sum("n_right").alias("n_right"))
-    rows = [row for row in counts.where(F.greatest("n_left", "n_right") > HOT_ROWS).collect()]  # at most a row per hash
-    return left.sparkSession.createDataFrame(rows, counts.schema).withColumn("null_matches", F.lit(null_keys_match)) if rows else None
+    rows = counts.where(F.greatest("n_left", "n_right") > HOT_ROWS).toArrow()  # at most a row per hash
+    return left.sparkSession.createDataFrame(rows, counts.schema).withColumn("null_matches", F.lit(null_keys_match)) if len(rows) else None
 
 
 def _in_cells(side: DataFrame, key: Column, hot: DataFrame, name: str, own: str, other: str) -> DataFrame:
@@ -133,11 +133,12 @@ def features_with_keys(
 def unique_by_key(metrics: DataFrame, key: str = "quarter_cad_number") -> DataFrame:
     """The same rows, without a NULL key; the job fails if a key occurs twice."""
     others = [name for name in metrics.columns if name != key]
-    twice = F.raise_error(F.concat(F.lit("Duplicate area key "), F.col(key)))
-    counted = metrics.where(F.col(key).isNotNull()).groupBy(key)
-    return counted.agg(F.count(F.lit(1)).alias("_n"), *[F.first(name).alias(name) for name in others]).select(
-        F.when(F.col("_n") > 1, twice).otherwise(F.col(key)).alias(key), *others
-    )
+    area = F.col(quoted(key))
+    twice = F.raise_error(F.concat(F.lit("Duplicate area key "), F.col("_area")))
+    counted = metrics.where(area.isNotNull()).groupBy(area.alias("_area"))
+    found = counted.agg(F.count(F.lit(1)).alias("_n"), *[F.first(quoted(name)).alias(name) for name in others])
+    checked = F.when(F.col("_n") > 1, twice).otherwise(F.col("_area")).alias(key)
+    return found.select(checked, *[F.col(quoted(name)) for name in others])
 
 
 def lookup_stats(
@@ -154,7 +155,7 @@ def lookup_stats(
     ``how="inner"`` also drops features without statistics.
     """
     columns = [name for name in metrics.columns if name != key] if columns is None else list(columns)
-    metrics = metrics.select(key, *columns)
+    metrics = metrics.select([F.col(quoted(name)) for name in (key, *columns)])
     if not unique:
         metrics = unique_by_key(metrics, key)
     metrics = metrics.select(F.col(quoted(key)).cast("string").alias("_area"), *[F.col(quoted(name)) for name in columns])

@@ -45,12 +45,12 @@ def area_stats(
     if unknown:
         raise ValueError(f"Unknown statistics {sorted(unknown)}")
     weight = [F.col(quoted(times)).cast("long").alias("_w")] if times else []
-    rows = deals.select(key, nan_to_null(F.col(price).cast("double")).alias("_v"), *weight)
+    rows = deals.select(F.col(quoted(key)).alias("_area"), nan_to_null(F.col(quoted(price)).cast("double")).alias("_v"), *weight)
     value = F.col("_v")
     if times and method != "exact":
         raise ValueError(f"Rows that count several times need the exact method, not {method!r}")
     if times or "median" in stats and method == "exact":
-        return _stats_with_exact_median(rows, key, stats)
+        return _stats_with_exact_median(rows, "_area", stats).toDF(key, *stats)
     median = {
         "exact": F.median(value),
         "single_shuffle": F.median(value),
@@ -62,8 +62,8 @@ def area_stats(
         "count": F.count(value),
         "geom_mean": geometric_mean(value),
     }
-    grouped = rows.groupBy(key).agg(F.count(value).alias("_n"), *[plain[name].alias(name) for name in stats])
-    return grouped.where("_n > 0").drop("_n")
+    grouped = rows.groupBy("_area").agg(F.count(value).alias("_n"), *[plain[name].alias(name) for name in stats])
+    return grouped.where("_n > 0").drop("_n").toDF(key, *stats)
 
 
 def area_median(deals: DataFrame, key: str = "quarter_cad_number", price: str = "price_per_sqm") -> DataFrame:
@@ -206,15 +206,15 @@ def _middle_values(celled: DataFrame, key: str, wanted: DataFrame, n_open: int)
 
 def metric_domain(df: DataFrame, column: str) -> DataFrame:
     """One row with the least and greatest value of a column, ``lo`` and ``hi``."""
-    return df.agg(F.min(nan_to_null(F.col(column).cast("double"))).alias("lo"),
-                  F.max(nan_to_null(F.col(column).cast("double"))).alias("hi"))
+    return df.agg(F.min(nan_to_null(F.col(quoted(column)).cast("double"))).alias("lo"),
+                  F.max(nan_to_null(F.col(quoted(column)).cast("double"))).alias("hi"))
 
 
 def area_keys(df: DataFrame, key: str = "quarter_cad_number") -> DataFrame:
     """Distinct area keys."""
-    return df.select(key).distinct()
+    return df.select(quoted(key)).distinct()
 
 
 def keys_union(left: DataFrame, right: DataFrame, key: str = "quarter_cad_number") -> DataFrame:
     """Distinct keys of either table."""
-    return left.select(key).union(right.select(key)).distinct()
+    return left.select(quoted(key)).union(right.select(quoted(key))).distinct()

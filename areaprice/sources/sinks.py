@@ -24,10 +24,11 @@ def write_csv(
 ) -> str:
     """Write delimited text with a header into a directory of part files.
 
-    With ``order_by`` rows are in that order, NULL first, within the files and from one to the next by name.
+    With ``order_by`` rows are in that order, NULL first, within the files and from one to the next by name. Rows with
+    the same key may go on from one file to the next, so that a frequent key doesn't make one large file.
     """
     if order_by := list(order_by):
-        df = df.orderBy(*[F.col(quoted(name)) for name in order_by])
+        df = _in_order(df, [F.col(quoted(name)) for name in order_by])
     if encoding.lower() in _CP1251_NAMES:
         text = [name for name, kind in df.dtypes if kind == "string"]
         df = df.withColumns({name: cp1251_to_latin1(F.col(quoted(name))) for name in text})
@@ -38,6 +39,18 @@ def write_csv(
     return path
 
 
+def _in_order(df: DataFrame, keys: list[Column]) -> DataFrame:
+    """Rows in order of the keys, of which the ranges of the files divide those with one key too.
+
+    Within a key rows are in order of their hash, and rows that are alike in order of their place in a task, which is
+    the same when the task runs again, for the task has them in order of their hashes.
+    """
+    columns = [F.col(quoted(name)) for name in df.columns]
+    hashed = df.select(*columns, F.xxhash64(*columns).alias("_hash")).sortWithinPartitions("_hash")
+    placed = hashed.withColumn("_place", F.monotonically_increasing_id())
+    return placed.orderBy(*keys, "_hash", "_place").select(columns)
+
+
 def feature_json(df: DataFrame, columns: Iterable[str] = (), drop: Iterable[str] = ()) -> Column:
     """A feature row as one GeoJSON text, with the named columns merged into its properties.
 

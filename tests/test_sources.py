@@ -284,3 +284,18 @@ def test_sorted_sink(spark, tmp_path):
     path = write_csv(table, str(tmp_path / "sorted"), order_by=["k"])
     lines = [line for part in sorted((tmp_path / "sorted").glob("part-*")) for line in part.read_text().split()[1:]]
     assert [line.split(",")[0] for line in lines] == ["", *map(str, range(50))] and path == str(tmp_path / "sorted")
+
+
+def test_sorted_sink_divides_a_hot_key(spark, tmp_path):
+    rows = [("hot", 1)] * 6000 + [("hot", i) for i in range(2000)] + [(f"k{i % 9}", i) for i in range(2000)] + [(None, 0)]
+    table = spark.createDataFrame(rows, "`the.key` string, v int").repartition(5)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write_csv(table, str(tmp_path / "sorted"), order_by=["the.key"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    parts = [part.read_text().split()[1:] for part in sorted((tmp_path / "sorted").glob("part-*"))]
+    sizes = [len(lines) for lines in parts]
+    assert len(sizes) == 4 and max(sizes) < 1.5 * sum(sizes) / len(sizes)
+    keys = [line.split(",")[0] for lines in parts for line in lines]
+    assert keys == sorted(keys) and len(keys) == len(rows) and keys.count("hot") == 8000

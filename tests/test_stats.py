@@ -7,7 +7,8 @@ import pytest
 from areaprice import scratch
 from areaprice.operators import stats
 from areaprice.operators.clean import clean_prices, filter_period, require_columns, require_rows
-from areaprice.operators.stats import area_median, area_stats, keys_union, metric_domain
+from areaprice.operators.joins import join_features, lookup_stats
+from areaprice.operators.stats import STATS, area_keys, area_median, area_stats, keys_union, metric_domain
 
 GOLDEN_DEALS = {
     "78:10:0005203": [156351.79, 128865.98],
@@ -156,3 +157,18 @@ def test_domain_keys_and_checks(spark):
         require_rows(deals.where("price_per_sqm > 100 and not isnan(price_per_sqm)"), "nothing")
     with pytest.raises(ValueError, match="median"):
         require_columns(deals, ["quarter_cad_number", "median"])
+
+
+@pytest.mark.parametrize("method", ["exact", "single_shuffle"])
+def test_names_with_dots(spark, method):
+    deals = spark.createDataFrame([("a", 1.0), ("a", 4.0), ("b", 2.0), (None, 3.0)], "`area.key` string, `price, m.` double")
+    found = area_stats(deals, "area.key", "price, m.", method=method)
+    assert found.columns == ["area.key", *STATS]
+    medians = {r["area.key"]: r["median"] for r in found.collect()}
+    assert medians == {"a": 2.5, "b": 2.0, None: 3.0}
+    assert area_keys(deals, "area.key").count() == keys_union(deals, deals, "area.key").count() == 3
+    features = spark.createDataFrame([("a",), ("c",)], "cadnum string")
+    looked = lookup_stats(features, found, ["median"], key="area.key")
+    assert {r.cadnum: r["median"] for r in looked.collect()} == {"a": 2.5, "c": None}
+    assert join_features(found, deals, "area.key", "outer").count() == 5  # NULLs match nothing
+    assert metric_domain(deals, "price, m.").first()["hi"] == 4.0

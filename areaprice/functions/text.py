@@ -44,6 +44,16 @@ def is_utf8(text: Column) -> Column:
     return ~text.rlike(r"[^\x00-\x7F]") | F.is_valid_utf8(_as_utf8(text))
 
 
+# Bytes, as Latin-1, that are letters of words in windows-1251 and characters in UTF-8: after a capital or a small letter
+# come as many Ё or ё as UTF-8 wants. What else is valid UTF-8 has signs in the middle of words in windows-1251.
+_BOTH_WAYS = r"^(?:[\x00-\x7F]|[\u00C2-\u00DF][\u00A8\u00B8]|[\u00E0-\u00EF][\u00A8\u00B8]{2}|[\u00F0-\u00F4][\u00A8\u00B8]{3})*$"
+
+
+def tells_encoding(text: Column) -> Column:
+    """Whether valid UTF-8 that was read as Latin-1 can't be windows-1251 as well; NULL for plain ASCII."""
+    return F.when(text.rlike(r"[^\x00-\x7F]"), ~text.rlike(_BOTH_WAYS))
+
+
 def utf8_from_latin1(text: Column) -> Column:
     """Text whose UTF-8 bytes were read as Latin-1, put right."""
     return _unless_ascii(text, _as_utf8(text))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.numbers import lenient_double, missing_to_null, number_of, quoted, without_spaces
-from ..functions.text import cp1251_from_latin1, decode_names, is_utf8, utf8_from_latin1, utf8_or_cp1251
+from ..functions.text import cp1251_from_latin1, decode_names, is_utf8, tells_encoding, utf8_from_latin1, utf8_or_cp1251
 from ..operators.clean import drop_incomplete, keep_known, require_columns
 from ..operators.stats import area_stats
 
@@ -107,10 +107,18 @@ def _decoder(encoding: str) -> _Decoder | None:
 
 
 def _decode_by_file(raw: DataFrame, text: list[str]) -> DataFrame:
-    """Text of files that are UTF-8 if all their values are valid, else windows-1251."""
-    valid = F.every(reduce(lambda a, b: a & b, [is_utf8(F.coalesce(F.col(quoted(name)), F.lit(""))) for name in text]))
+    """Text of files that are UTF-8 if all their values are valid, else windows-1251.
+
+    Short windows-1251 values may be valid UTF-8. If no value of a valid file tells that it can't be such text, the file
+    could be either, which is an error.
+    """
+    values = [F.coalesce(F.col(quoted(name)), F.lit("")) for name in text]
+    valid = F.every(reduce(lambda a, b: a & b, map(is_utf8, values)))
+    tells = F.bool_or(F.greatest(F.lit(None).cast("boolean"), *map(tells_encoding, values)))
     file = F.col("_metadata.file_path")
-    by_file = raw.groupBy(file.alias("_in_file")).agg(valid.alias("_utf8"))
+    either = F.raise_error(F.concat(F.col("_in_file"), F.lit(" could be UTF-8 or windows-1251: name its encoding")))
+    by_file = raw.groupBy(file.alias("_in_file")).agg(valid.alias("_valid"), tells.alias("_tells"))
+    by_file = by_file.select("_in_file", F.when(F.col("_valid") & ~F.col("_tells"), either).otherwise(F.col("_valid")).alias("_utf8"))
     named = raw.select("*", file.alias("_file"))
     known = named.join(by_file, F.col("_file") == F.col("_in_file"))  # a row per file
     decoded = {

@@ -299,3 +299,22 @@ def test_sorted_sink_divides_a_hot_key(spark, tmp_path):
     assert len(sizes) == 4 and max(sizes) < 1.5 * sum(sizes) / len(sizes)
     keys = [line.split(",")[0] for lines in parts for line in lines]
     assert keys == sorted(keys) and len(keys) == len(rows) and keys.count("hot") == 8000
+
+
+@pytest.mark.parametrize("values", [["Рё"], ["Рё", "plain", "СЁ-РЁ"], ["аёё", "Гё"]])
+def test_files_that_could_be_either_are_an_error(spark, tmp_path, values):
+    """Bytes that are words in windows-1251 and valid UTF-8."""
+    lines = "".join(f"{i};{value}\n" for i, value in enumerate(values))
+    folder = tmp_path / "either"
+    folder.mkdir()
+    (folder / "a.csv").write_bytes(("price_per_sqm;t\n" + lines).encode("cp1251"))
+    with pytest.raises(Exception, match="could be UTF-8 or windows-1251"):
+        read_probed(spark, str(folder)).collect()
+    named = read_table(spark, str(folder / "a.csv"), sep=";", encoding="cp1251")
+    assert [r.t for r in named.collect()] == values
+    # One more value tells, whichever it is.
+    for more, encoding in (("Привет", "cp1251"), ("…", "utf-8")):
+        text = ("price_per_sqm;t\n" + lines).encode("cp1251") + f"9;{more}\n".encode(encoding)
+        (folder / "a.csv").write_bytes(text)
+        found = [r.t for r in read_probed(spark, str(folder)).orderBy("price_per_sqm").collect()]
+        assert found == [*(values if encoding == "cp1251" else [v.encode("cp1251").decode() for v in values]), more]

@@ -19,6 +19,8 @@ from .rows import text_slices, whole_row
 
 # A 32-bit gear hash forgets a byte after 32 shifts.
 WINDOW = 32
+# Bits of a chunk's place that are for its size.
+SIZE_BITS = 20
 
 
 class Cutting(NamedTuple):
@@ -89,7 +91,13 @@ def keyed(docs: DataFrame, id_column: str, text_column: str) -> list[Column]:
 
 
 def text_chunks(docs: DataFrame, cutting: Cutting = Cutting(), id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``doc_id, text_hash, start, size, digest`` of every chunk of every whole text, in UTF-8 bytes."""
+    """``doc_id, text_hash, place, high, low`` of every chunk of every whole text, in UTF-8 bytes.
+
+    ``place`` is where the chunk starts, shifted by ``SIZE_BITS`` bits for its size; ``high`` and ``low`` are the halves
+    of its 128-bit digest. So a chunk is five numbers wherever it is stored or shuffled.
+    """
+    if cutting.most >> SIZE_BITS:
+        raise ValueError(f"Chunks of {cutting.most} bytes are too long")
     source = docs.select(*keyed(docs, id_column, text_column))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -101,20 +109,22 @@ def text_chunks(docs: DataFrame, cutting: Cutting = Cutting(), id_column: str =
                 at = np.repeat(np.arange(len(texts)), [len(ends) for ends in points])
                 starts = [start for ends in points for start in (0, *ends[:-1])[: len(ends)]]
                 ends = [end for ends in points for end in ends]
-                digests = [digest(texts[i][a:b]) for i, a, b in zip(at.tolist(), starts, ends, strict=True)]
+                digests = b"".join([digest(texts[i][a:b]) for i, a, b in zip(at.tolist(), starts, ends, strict=True)])
+                high, low = np.frombuffer(digests, dtype="<i8").reshape(-1, 2).T
+                start = np.array(starts, dtype=np.int64)
                 taken = pa.array(at, pa.int64())
                 yield pa.RecordBatch.from_pydict(
                     {
                         "doc_id": part.column("doc_id").take(taken),
                         "text_hash": part.column("text_hash").take(taken),
-                        "start": pa.array(starts, pa.int64()),
-                        "size": pa.array(np.subtract(ends, starts, dtype=np.int64) if ends else [], pa.int64()),
-                        "digest": pa.array(digests, pa.binary()),
+                        "place": pa.array((start << SIZE_BITS) + np.array(ends, dtype=np.int64) - start),
+                        "high": pa.array(high),
+                        "low": pa.array(low),
                     }
                 )
 
     schema = StructType([source.schema["doc_id"], source.schema["text_hash"]])
-    return source.mapInArrow(run, schema.add("start", "long").add("size", "long").add("digest", "binary"))
+    return source.mapInArrow(run, schema.add("place", "long").add("high", "long").add("low", "long"))
 
 
 def repeated_spans(chunks: DataFrame, least_run: int = Cutting().least_run) -> DataFrame:
@@ -125,14 +135,14 @@ def repeated_spans(chunks: DataFrame, least_run: int = Cutting().least_run) -> D
     counted before the shuffle, and the join that marks them is one that Spark splits where a digest is in most
     texts; only the chunks of one document are gathered.
     """
-    # Most chunks are found once: numbers, of half the digest's size, tell these before whole rows are grouped.
-    numbered = chunks.withColumn("number", F.xxhash64("digest"))
-    again = numbered.groupBy("number").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("number")
-    candidates = stored(numbered.join(again, "number").drop("number"))
-    first = F.min(F.struct("doc_id", "text_hash", "start"))
-    repeated = candidates.groupBy("digest").agg(first.alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    later = candidates.join(repeated, "digest").where(~F.struct("doc_id", "text_hash", "start").eqNullSafe(F.col("first")))
-    spans = F.array_sort(F.collect_list(F.struct(F.col("start"), (F.col("start") + F.col("size")).alias("end"))))
+    # Most chunks are found once: half of the digest tells these before whole rows are grouped.
+    again = chunks.groupBy("low").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("low")
+    candidates = stored(chunks.join(again, "low"))
+    first = F.min(F.struct("doc_id", "text_hash", "place"))
+    repeated = candidates.groupBy("low", "high").agg(first.alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    later = candidates.join(repeated, ["low", "high"]).where(~F.struct("doc_id", "text_hash", "place").eqNullSafe(F.col("first")))
+    start, size = F.shiftright("place", SIZE_BITS), F.col("place").bitwiseAND(F.lit((1 << SIZE_BITS) - 1))
+    spans = F.array_sort(F.collect_list(F.struct(start.alias("start"), (start + size).alias("end"))))
     by_text = later.groupBy("doc_id", "text_hash").agg(F.array_distinct(spans).alias("spans"))
 
     return merged_spans(by_text, least_run)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..scratch import stored
-from .rows import lower_ascii, whole_row, whole_text
+from .rows import id_text, lower_ascii, whole_row, whole_text
 
 
 def _hash128(text: Column) -> Column:
@@ -23,8 +23,8 @@ def exact_groups(docs: DataFrame, keep: str = "largest", id_column: str = "doc_i
     sort-merge join, whose large partitions Spark splits.
 
     A null text is the empty text. ``keep`` tells which id stays, ``largest`` or ``smallest``; a null id stays
-    only where a group has no other. Rows that repeat both id and text are one document, returned once, and
-    count each in ``group_size``. Other columns are ignored; an empty table gives no rows.
+    only where a group has no other. Rows that repeat both id and text are documents of their own, of which one
+    stays. Other columns are ignored; an empty table gives no rows.
     """
     best = {"largest": F.max, "smallest": F.min}[keep]
     text = lower_ascii(whole_text(text_column))
@@ -41,9 +41,9 @@ def exact_groups(docs: DataFrame, keep: str = "largest", id_column: str = "doc_i
         "left",
     ).select("hash", "doc_id", "text_sha256", "copies", F.coalesce("other_sha", F.lit("")).alias("part"))
     groups = known.groupBy("hash", "part").agg(best("doc_id").alias("keep_id"), F.sum("copies").alias("group_size"))
-    return known.join(groups, ["hash", "part"]).select(
-        "doc_id", "text_sha256", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept")
-    )
+    each = known.join(groups, ["hash", "part"]).select("*", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
+    kept = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("copy") == 1)
+    return each.select("doc_id", "text_sha256", "keep_id", "group_size", kept.alias("kept"))
 
 
 def _collisions(full: DataFrame, documents: DataFrame, best) -> DataFrame:
@@ -64,7 +64,7 @@ def drop_exact(docs: DataFrame, keep: str = "largest", id_column: str = "doc_id"
     document that stays, one of them is returned.
     """
     def key(doc_id: Column, sha: Column) -> Column:
-        return F.concat_ws(":", F.coalesce(doc_id.cast("string"), F.lit("null")), sha)
+        return F.concat_ws(":", id_text(doc_id), sha)
 
     groups = exact_groups(docs, keep, id_column, text_column).where("kept")
     kept = groups.select(key(F.col("doc_id"), F.col("text_sha256")).alias("key"))

@@ -179,18 +179,20 @@ def fit(spans: Sequence[tuple[str, Sequence[bytes]]], training: Training = Train
 def learn(docs: DataFrame, training: Training = Training(), id_column: str = "doc_id", label_column: str = "lang", text_column: str = "text") -> Model:
     """Fit a model on a bounded sample of the documents with a label.
 
-    Each of the ``training.labels`` most frequent labels gives about as many documents, chosen by a hash of the id as
-    they are read, ``training.documents`` in all. Only spans of these come to the driver, ``training.spans`` of
-    ``training.span_words`` words from each.
+    Every label gives about as many documents, chosen by a hash of id and text as they are read, ``training.documents``
+    in all; of copies one. Only spans of these come to the driver, ``training.spans`` of ``training.span_words``
+    words from each. More than ``training.labels`` labels are an error.
     """
     labelled = docs.select(F.col(id_column).alias("id"), F.col(label_column).cast("string").alias("label"), F.col(text_column).alias("text"))
     labelled = labelled.where("label is not null and text is not null")
     counted = labelled.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
-    counts = counted.orderBy(F.desc("n"), "label").limit(training.labels).collect()
+    counts = counted.orderBy(F.desc("n"), "label").limit(training.labels + 1).collect()
+    if len(counts) > training.labels:
+        raise ValueError(f"More than {training.labels} labels in {label_column!r}")
     shares = [F.lit(value) for label, n in counts for value in (label, training.documents / len(counts) / n)]
     share = F.try_element_at(F.create_map(*shares), "label") if shares else F.lit(0.0)
-    spread = F.pmod(F.xxhash64(F.lit(training.seed), F.col("id")), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    sample = labelled.where(spread < F.coalesce(share, F.lit(0.0)))
+    spread = F.pmod(F.xxhash64(F.lit(training.seed), F.col("id"), F.col("text")), F.lit(1 << 20)) / F.lit(float(1 << 20))
+    sample = labelled.where(spread < F.coalesce(share, F.lit(0.0))).dropDuplicates(["id", "label", "text"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

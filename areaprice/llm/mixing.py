@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..scratch import stored
-from .rows import computed_once, ranked, row_key, whole_row, whole_text, words
+from .rows import computed_once, id_text, ranked, row_key, whole_row, whole_text, words
 
 WEIGHTS = (5, 2, 1)
 TOTAL_SHARE = 1.5
@@ -216,4 +216,4 @@ def mixed_rows(
 
 def key_of(doc_id: str, text_hash: str) -> Column:
     """The :func:`row_key` of a document whose text hash is known."""
-    return F.concat_ws(":", F.coalesce(F.col(doc_id).cast("string"), F.lit("null")), F.hex(text_hash)).alias("key")
+    return F.concat_ws(":", id_text(F.col(doc_id)), F.hex(text_hash)).alias("key")

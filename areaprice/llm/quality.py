@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..scratch import stored
-from .rows import SPACE, WORD, computed_once, renamed, row_key, rows_with_keys, whole_text, words
+from .rows import SPACE, WORD, computed_once, renamed, row_key, whole_row, whole_text, words
 
 # Character classes of what words have beside lower-case letters, each character in one.
 LOWER = r"[a-zß-öø-ÿ\p{Ll}]+"
@@ -297,9 +297,15 @@ def judged(docs: DataFrame, limits: Limits = Limits(), lang_column: str = "lang"
 
 
 def keep_good(docs: DataFrame, limits: Limits = Limits(), id_column: str = "doc_id", lang_column: str = "lang", text_column: str = "text") -> DataFrame:
-    """The documents that :func:`judged` keeps, with all their columns; of rows that repeat id and text, one."""
-    narrow = docs.select(
-        row_key(F.col(id_column), F.col(text_column)).alias("key"), F.col(lang_column).alias("lang"), F.col(text_column).alias("text")
-    )
+    """The documents that :func:`judged` keeps, with all their columns.
+
+    Rows that repeat an id, a text or both are judged each by its text and language, and stay each or go each.
+    """
+
+    def key() -> Column:
+        lang = F.coalesce(F.concat(F.lit("="), F.col(lang_column).cast("string")), F.lit(""))
+        return F.concat_ws(":", row_key(F.col(id_column), F.col(text_column)), lang).alias("key")
+
+    narrow = docs.select(key(), F.col(lang_column).alias("lang"), F.col(text_column).alias("text"))
     keys = judged(narrow, limits).where("kept").select("row.key").distinct()
-    return rows_with_keys(docs, keys, id_column, text_column)
+    return docs.select(whole_row(docs), key()).join(keys, "key", "left_semi").select("row.*")

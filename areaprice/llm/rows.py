@@ -62,7 +62,12 @@ def computed_once(df: DataFrame, **columns: Column) -> DataFrame:
 def row_key(doc_id: Column, text: Column) -> Column:
     """What tells documents apart: the id, null or not, and a hash of the text."""
     text_hash = F.hex(F.xxhash64(F.coalesce(text.cast("string"), F.lit(""))))
-    return F.concat_ws(":", F.coalesce(doc_id.cast("string"), F.lit("null")), text_hash)
+    return F.concat_ws(":", id_text(doc_id), text_hash)
+
+
+def id_text(doc_id: Column) -> Column:
+    """The id as text that no null id has, and no text of an id such as ``null``."""
+    return F.coalesce(F.concat(F.lit("="), doc_id.cast("string")), F.lit(""))
 
 
 def rows_with_keys(docs: DataFrame, keys: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

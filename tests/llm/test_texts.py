@@ -208,7 +208,16 @@ def test_quality_counts_against_brute_force(spark, docs, rows):
         assert Counter((*[r[name] for name in quality.COUNTS], r.base_failed) for r in found) == Counter(map(slow_counts, texts))
         assert not any(r.kept and r.base_failed for r in found)
     kept = quality.keep_good(docs)
-    assert kept.columns == docs.columns and kept.distinct().count() == kept.count()
+    verdicts = Counter(r.row.asDict()["row"] for r in quality.judged(docs).where("kept").collect())
+    assert kept.columns == docs.columns and Counter(r["row"] for r in kept.collect()) == verdicts
+
+
+def test_no_row_that_is_good_goes(spark):
+    rng = random.Random(1)
+    good = " ".join("".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(2, 8))) for _ in range(200))
+    made = [("null", good, "a"), (None, good, "b"), (None, good, "c"), ("x", good, "d"), ("x", good, "e"), ("x", "too short", "f")]
+    docs = spark.createDataFrame([(*row, None) for row in made], "doc_id string, text string, url string, lang string")
+    assert sorted(r.url for r in quality.keep_good(docs).collect()) == list("abcde")
 
 
 def test_divergence_from_the_language(spark):
@@ -413,3 +422,16 @@ def test_nothing(nothing):
     assert pii.find_personal_data(nothing).count() == 0 and token_counts.token_counts(nothing, PIECES).count() == 0
     assert quality.judged(nothing).count() == 0 and quality.keep_good(nothing).count() == 0
     assert mixing.mix(nothing).count() == 0 and mixing.mixed_rows(nothing, mixing.mix(nothing)).count() == 0
+
+
+def test_language_sample_without_ids(spark, monkeypatch):
+    """Rows without an id are told apart by their texts, and copies of a text count once."""
+    seen = []
+    monkeypatch.setattr(language, "fit", lambda spans, training: seen.append(spans))
+    rng = random.Random(2)
+    texts = [" ".join(rng.choice("abcdefgh") * 3 for _ in range(40)) for _ in range(1500)] + ["same words " * 20] * 1500
+    docs = spark.createDataFrame([(None, "xy"[i % 2], text) for i, text in enumerate(texts)], "doc_id long, lang string, text string")
+    language.learn(docs, language.Training(documents=600, spans=2))
+    assert 400 < len(seen[0]) < 1400 and sum(b"same" in span for _, span in seen[0]) <= 4
+    with pytest.raises(ValueError, match="More than 1 labels"):
+        language.learn(docs, language.Training(labels=1))

@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -219,7 +220,8 @@ def _search(depth: int):
 
     def run(table: pa.Table) -> pa.Table:
         column = lambda name: table.column(name).to_numpy()
-        words, n, own = table.column("word").to_pylist(), column("n"), column("own")
+        words, n = table.column("word").to_pylist(), column("n")
+        own, alone = pc.fill_null(table.column("own"), False).to_numpy(), pc.is_null(table.column("own")).to_numpy()
         node, vector = column("node").view(np.uint64), column("vector").view(np.uint64)
         surplus, deficit = column("surplus"), column("deficit")
         codes, starts = letters(words)
@@ -255,7 +257,7 @@ def _search(depth: int):
                 near = one_apart(codes, starts, query, other)
                 query, other = query[near], other[near]
                 # Words of the node find each other both ways; a query from elsewhere answers for both.
-                from_elsewhere = ~own[query]
+                from_elsewhere = ~own[query] & ~alone[query]
                 to = np.concatenate([query, other[from_elsewhere]])
                 form = np.concatenate([other, query[from_elsewhere]])
                 n_near += np.bincount(to, minlength=len(words))
@@ -274,6 +276,18 @@ def _search(depth: int):
     return run
 
 
+def _in_parts(rows: DataFrame) -> DataFrame:
+    """Rows of the last level, where a node has words with one vector, and those of large nodes in parts.
+
+    Each word of a node is searched for in one part. All ask in every part: words of the node for themselves, which
+    ``own`` tells by a null in the other parts, for what they find asks in their part in turn.
+    """
+    parts = F.ceil(F.col("size") / SUBTREE).cast("int")
+    one = rows.withColumn("part", F.explode(F.sequence(F.lit(0), F.greatest(parts, F.lit(1)) - 1)))
+    here = F.pmod(F.xxhash64("word"), F.greatest(parts, F.lit(1))) == F.col("part")
+    return one.withColumn("own", F.when(~F.col("own"), False).when(here, True))
+
+
 def near_words(words: DataFrame) -> DataFrame:
     """``word``, ``n``, ``n_near``, ``form``, ``form_n``: the number of near words and the most frequent of them.
 
@@ -307,11 +321,11 @@ def near_words(words: DataFrame) -> DataFrame:
         )
         last = depth + STEP == LEVELS
         rows = rows.join(alive, "node")
-        ready = rows if last else rows.where(F.col("size") <= SUBTREE)
+        ready = _in_parts(rows) if last else rows.where(F.col("size") <= SUBTREE).withColumn("part", F.lit(0))
         tasks = max(1, math.ceil((seen["small"] or 0) / SUBTREE))
         group = F.when(F.col("size") <= SUBTREE, F.pmod(F.xxhash64("node"), F.lit(tasks))).otherwise(F.col("node"))
         searched = ready.withColumn("group", group).drop("size")
-        found = searched.groupBy("group").applyInArrow(_search(depth + STEP), "word string, n_near bigint, form string, form_n bigint")
+        found = searched.groupBy("group", "part").applyInArrow(_search(depth + STEP), "word string, n_near bigint, form string, form_n bigint")
         parts.append(stored(found))
         if last or not seen["large"]:
             break

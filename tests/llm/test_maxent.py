@@ -2,10 +2,11 @@
 
 import math
 import random
-import zlib
 from collections import Counter
+from dataclasses import replace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -19,6 +20,10 @@ def tokens(text):
     return [*(text or "").encode("utf-8", "replace").lower().split(), b""]
 
 
+def words_of(words):
+    return pa.array(words, pa.binary())
+
+
 def toy(spark, n=120, seed=4):
     """Sentences in two languages, so that a word tells the next."""
     rng = random.Random(seed)
@@ -27,35 +32,32 @@ def toy(spark, n=120, seed=4):
     return spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
 
 
-def random_model(shape, words, seed=1):
+def random_model(shape, seed=1):
     rng = np.random.default_rng(seed)
-    symbols = maxent.Symbols(shape, [(word, 5) for word in words[:7]])
-    model = maxent.Model(shape, symbols, rng.integers(0, 50, shape.symbols), 100, 20)
-    model.class_share = rng.dirichlet(np.ones(shape.classes)).astype(np.float32)
-    model.member_share = rng.dirichlet(np.ones(shape.members), shape.classes).astype(np.float32)
-    model.weights = [rng.normal(0, 0.5, table).astype(np.float32) for table in shape.tables]
-    return model
+    weights = [rng.normal(0, 0.5, table).astype(np.float32) for table in shape.tables]
+    shares = rng.dirichlet(np.ones(shape.classes)), rng.dirichlet(np.ones(shape.members), shape.classes)
+    return maxent.Model(shape, *(share.astype(np.float32) for share in shares), weights)
 
 
 def plain_log_p(model, history, symbol):
     """Natural logarithm of the probability of a symbol after all symbols before it."""
     shape = model.shape
-    last, second, third = ([shape.symbols] * 3 + history)[-1], ([shape.symbols] * 3 + history)[-2], ([shape.symbols] * 3 + history)[-3]
+    last, second = ([shape.symbols] * 2 + history)[-1], ([shape.symbols] * 2 + history)[-2]
     pair = (last * 40503 + second * 30011 + last * second % 8191) % shape.pairs
-    rows = [last, second, pair, third]
+    rows = [last, second, pair]
     classes = [math.log(model.class_share[c]) + sum(model.weights[k][c, row] for k, row in enumerate(rows)) for c in range(shape.classes)]
     of, member = divmod(symbol, shape.members)
     rows = [of * shape.followers + last * 40503 % 65521 % shape.followers, of * (shape.classes + 1) + second // shape.members]
-    members = [math.log(model.member_share[of, m]) + sum(model.weights[4 + k][m, row] for k, row in enumerate(rows)) for m in range(shape.members)]
+    members = [math.log(model.member_share[of, m]) + sum(model.weights[3 + k][m, row] for k, row in enumerate(rows)) for m in range(shape.members)]
     norm = [math.log(sum(map(math.exp, scores))) for scores in (classes, members)]
     return classes[of] - norm[0] + members[member] - norm[1]
 
 
 def test_softmax_as_plain_python_does():
     words = tokens("a few words that come again and again a few times")
-    model = random_model(SMALL, words)
-    symbol = model.symbols.of(words)
-    found = maxent.log_probabilities(model, symbol, np.arange(len(symbol)), maxent.model_factors(model))
+    model = random_model(SMALL)
+    symbol = maxent.Symbols(SMALL, words[:7]).of(words_of(words))
+    found = maxent.log_probabilities(SMALL, symbol, np.arange(len(symbol)), maxent.model_factors(model))
     expected = [plain_log_p(model, symbol[:i].tolist(), int(symbol[i])) for i in range(len(symbol))]
     assert found == pytest.approx(expected, abs=1e-5)
     for history in ([], [3], [3, 9, 20, 1]):
@@ -64,51 +66,53 @@ def test_softmax_as_plain_python_does():
 
 def test_gradient_is_observed_less_expected():
     words = tokens("so it goes and so it goes on and on so it is")
-    model = random_model(SMALL, words, seed=2)
-    symbol, place = model.symbols.of(words), np.arange(len(words))
+    model = random_model(SMALL, seed=2)
+    symbol, place = maxent.Symbols(SMALL, words[:7]).of(words_of(words)), np.arange(len(words))
     wanted = np.arange(len(words))
     seen = maxent.observed(SMALL, symbol, place, wanted)
-    expects = maxent.expected(model, symbol, place, wanted, maxent.model_factors(model))
+    expects = maxent.expected(SMALL, symbol, place, wanted, maxent.model_factors(model))
     assert all(table.sum() == pytest.approx(len(words)) for table in [*seen, *expects])
     for number, table in enumerate(model.weights):
         for at in [np.unravel_index(np.argmax(seen[number]), table.shape), (0, 0), (1, 3)]:
             sides = []
             for by in (1e-2, -1e-2):
                 table[at] += by
-                sides.append(maxent.log_probabilities(model, symbol, place, maxent.model_factors(model)).sum())
+                sides.append(maxent.log_probabilities(SMALL, symbol, place, maxent.model_factors(model)).sum())
                 table[at] -= by
             slope = (sides[0] - sides[1]) / 2e-2
             assert slope == pytest.approx(seen[number][at] - expects[number][at], abs=2e-2)
 
 
-@pytest.mark.parametrize(("block", "piece"), [(2 << 20, 1 << 20), (300, 40), (1, 1)])
-def test_scores_as_plain_python_does(spark, docs, rows, monkeypatch, block, piece):
+@pytest.mark.parametrize(("block", "piece", "common"), [(2 << 20, 1 << 20, 5), (300, 40, 1 << 17), (1, 1, 30)])
+def test_scores_as_plain_python_does(spark, docs, rows, monkeypatch, block, piece, common):
+    shape = replace(SMALL, common=common)
     monkeypatch.setattr(maxent, "BLOCK", block)
     monkeypatch.setattr(maxent, "PIECE", piece)
     if block < 1000:
         rows = [(*row[:1], (row[1] or "")[:600], *row[2:]) for row in rows]
         docs = spark.createDataFrame(rows, docs.schema).repartition(2)
     learned = F.col("row") % 3 != 0
-    found = maxent.lm_scores(docs, learned, SMALL)
+    found = maxent.lm_scores(docs, learned, shape)
     train = Counter(token for row in rows if row[5] % 3 != 0 for token in tokens(row[1]))
     total, different = sum(train.values()), len(train)
 
     blocks = stored(maxent.tokenised(docs, learned))
     counts = maxent.word_counts(blocks)
     assert {bytes(word): n for word, n in counts.collect()} == train
-    model = maxent.learn(blocks, counts, total, different, SMALL)
+    known = maxent.lexicon(counts, total, different, shape)
+    model = maxent.learn(stored(maxent.encoded(blocks, known)), shape)
     mass = Counter()
     for word, n in train.items():
-        mass[int(model.symbols.of([word])[0])] += n + 1
-    expected = []
+        mass[int(known.symbols.of(words_of([word]))[0])] += n + 1
+    expected, single = [], set(known.symbols.single.to_pylist())
     for row in rows:
         words = tokens(row[1])
-        symbols = model.symbols.of(words).tolist()
+        symbols = known.symbols.of(words_of(words)).tolist()
         base = sum(math.log10((train[word] + 1) / (total + different + 1)) for word in words)
         score = 0.0
         for i, (word, symbol) in enumerate(zip(words, symbols)):
-            score += plain_log_p(model, symbols[max(0, i - 3) : i], symbol) / math.log(10) if i < 700 else math.nan
-            if word not in model.symbols.single:
+            score += plain_log_p(model, symbols[max(0, i - 2) : i], symbol) / math.log(10) if i < 700 else math.nan
+            if word not in single:
                 score += math.log10((train[word] + 1) / (mass[symbol] + 1))
         expected.append((row[0], row[5] % 3 != 0, len(words), sum(train[w] > 0 for w in words), total, base, score))
     got = found.select("row.doc_id", "learned", "n_tokens", "n_known", "train_tokens", "base_score", "score").collect()
@@ -130,10 +134,11 @@ def test_learns_what_follows_what(spark):
     likelihood = []
     for rounds in (0, 1, 3):
         shape = maxent.Shape(classes=4, members=6, pairs=32, followers=8, rounds=rounds, rate=0.25, smoothing=3.0)
-        model = maxent.learn(blocks, counts, 1, 1, shape)
+        known = maxent.lexicon(counts, 1, 1, shape)
+        model = maxent.learn(stored(maxent.encoded(blocks, known)), shape)
         lists = [tokens(row["text"]) for row in texts.collect()]
         factors = maxent.model_factors(model)
-        likelihood.append(sum(maxent.log_probabilities(model, model.symbols.of(w), np.arange(len(w)), factors).sum() for w in lists))
+        likelihood.append(sum(maxent.log_probabilities(SMALL, known.symbols.of(words_of(w)), np.arange(len(w)), factors).sum() for w in lists))
     assert likelihood[0] < likelihood[1] < likelihood[2] < 0
 
 
@@ -154,9 +159,17 @@ def test_nothing_to_score_and_nothing_learned(spark, docs, nothing):
 
 
 def test_symbols_are_bounded_and_stable():
-    symbols = maxent.Symbols(SMALL, [(b"", 9), (b"the", 5), (b"of", 4)])
-    words = [f"w{i}".encode() for i in range(500)] + [b"", b"the", b"of"]
-    found = symbols.of(words)
-    assert found.max() < SMALL.symbols and (found == maxent.Symbols(SMALL, [(b"", 9), (b"the", 5), (b"of", 4)]).of(words)).all()
+    head = [b"", b"the", b"of"]
+    words = [f"w{i}".encode() for i in range(500)] + [b"x", *head]
+    found = maxent.Symbols(SMALL, head).of(words_of(words))
+    assert found.max() < SMALL.symbols and (found == maxent.Symbols(SMALL, head).of(words_of(words))).all()
+    assert (found[100:] == maxent.Symbols(SMALL, head).of(words_of(words).slice(100))).all()
     assert len({*found[-3:].tolist()}) == 3 and not {*found[-3:].tolist()} & {*found[:-3].tolist()}
-    assert zlib.crc32(b"he") % 4 == found[-2] // 6
+    assert (~maxent.Symbols(SMALL, head).is_shared()).sum() == 3
+    assert maxent.Symbols(SMALL, []).of(words_of([])).tolist() == []
+
+
+def test_sums_travel_whole():
+    numbers = np.array([0, 1, -1, 255, -256, 2**62, -(2**62), 7], dtype=np.int64)
+    assert maxent._unpacked(maxent._packed(numbers)).tolist() == numbers.tolist()
+    assert len(maxent._packed(np.arange(-(1 << 15), 1 << 15))) < 3 << 16

@@ -135,9 +135,10 @@ def repeated_spans(chunks: DataFrame, least_run: int = Cutting().least_run) -> D
     counted before the shuffle, and the join that marks them is one that Spark splits where a digest is in most
     texts; only the chunks of one document are gathered.
     """
-    # Most chunks are found once: half of the digest tells these before whole rows are grouped.
+    # Most chunks are found once: half of the digest tells these before whole rows are grouped. Texts may be more than
+    # their files show, so the join is one that never sends a side whole to all tasks.
     again = chunks.groupBy("low").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("low")
-    candidates = stored(chunks.join(again, "low"))
+    candidates = stored(chunks.join(again.hint("merge"), "low"))
     first = F.min(F.struct("doc_id", "text_hash", "place"))
     repeated = candidates.groupBy("low", "high").agg(first.alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     later = candidates.join(repeated, ["low", "high"]).where(~F.struct("doc_id", "text_hash", "place").eqNullSafe(F.col("first")))
@@ -228,6 +229,9 @@ def dedup_substrings(
     stand, whatever is inserted before them; the chunks that straddle their ends stay. A null or empty text has no
     chunks and nothing removed. Rows that repeat both id and text are the same document: they lose the same
     spans, and its first occurrence stays in each. An empty table gives no rows.
+
+    Texts are cut twice, to count halves of digests and to keep the chunks whose half is found again: only these are
+    stored, for all chunks are nearly as large as the texts.
     """
-    chunks = stored(text_chunks(docs, cutting, id_column, text_column))
+    chunks = text_chunks(docs, cutting, id_column, text_column)
     return without_spans(docs, repeated_spans(chunks, cutting.least_run), id_column, text_column)

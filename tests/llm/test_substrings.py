@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from areaprice.llm import chunks, repeats
 from areaprice.llm.suffixes import SuffixArray
+from areaprice.scratch import stored
 
 
 def random_texts(rng, n):
@@ -189,5 +190,20 @@ def test_short_passages_and_short_copies_are_dropped(spark):
     assert [removed[i] for i in (800, 801, 802)] == [0, 12, 0]
 
 
+def test_only_chunks_found_again_are_stored(spark, monkeypatch):
+    tables = []
+    monkeypatch.setattr(chunks, "stored", lambda df: tables.append(stored(df)) or tables[-1])
+    rng = random.Random(21)
+    noise = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    passage = noise(600)
+    texts = [noise(4000) for _ in range(40)] + [noise(300) + passage + noise(300) for _ in range(2)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    removed = {r.row.doc_id: r.n_removed for r in chunks.dedup_substrings(docs).collect()}
+    pieces = Counter(t.encode()[a:b] for t in texts for ends in chunks.cut_points([t.encode()]) for a, b in zip([0, *ends], ends, strict=False))
+    again = {piece: n for piece, n in pieces.items() if n > 1}
+    assert 400 < removed[41] == sum(map(len, again)) and sum(removed.values()) == removed[41]
+    assert sum(table.count() for table in tables) == sum(again.values()) < 40 < sum(pieces.values())
+
+
 def test_nothing(nothing):
     assert repeats.drop_repeats(nothing).count() == 0 and chunks.dedup_substrings(nothing).count() == 0

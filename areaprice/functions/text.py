@@ -16,9 +16,14 @@ _AS_CP1251 = _HIGH_BYTES.decode("cp1251")
 _ONLY_LATIN1 = "".join(c for c in bytes(range(128, 256)).decode("latin-1") if c not in _AS_CP1251)
 
 
+def _is_ascii(text: Column) -> Column:
+    """Whether all characters are one byte, which is quicker to see than by a pattern."""
+    return F.octet_length(text) == F.char_length(text)
+
+
 def _unless_ascii(text: Column, changed: Column) -> Column:
     """Most cells are plain ASCII and are passed on as they are, which is quicker than looking up each letter."""
-    return F.when(text.rlike(r"[^\x00-\x7F]"), changed).otherwise(text)
+    return F.when(_is_ascii(text), text).otherwise(changed)
 
 
 def cp1251_from_latin1(text: Column) -> Column:
@@ -35,28 +40,25 @@ def cp1251_to_latin1(text: Column) -> Column:
     return _unless_ascii(text, F.translate(text, _AS_CP1251 + _ONLY_LATIN1, _AS_LATIN1 + unknown))
 
 
-def _as_utf8(text: Column) -> Column:
+def latin1_bytes(text: Column) -> Column:
+    """The bytes that were read as Latin-1, taken for UTF-8, valid or not."""
     return F.encode(text, "ISO-8859-1").cast("string")
 
 
-def is_utf8(text: Column) -> Column:
-    """Whether text that was read as Latin-1 is valid UTF-8."""
-    return ~text.rlike(r"[^\x00-\x7F]") | F.is_valid_utf8(_as_utf8(text))
-
-
-# Bytes, as Latin-1, that are letters of words in windows-1251 and characters in UTF-8: after a capital or a small letter
-# come as many Ё or ё as UTF-8 wants. What else is valid UTF-8 has signs in the middle of words in windows-1251.
-_BOTH_WAYS = r"^(?:[\x00-\x7F]|[\u00C2-\u00DF][\u00A8\u00B8]|[\u00E0-\u00EF][\u00A8\u00B8]{2}|[\u00F0-\u00F4][\u00A8\u00B8]{3})*$"
+# Bytes, as Latin-1, that go on a character in UTF-8 and are no letters of words in windows-1251. Those that begin one are
+# letters there, and of those that go on only Ё and ё: all else that is valid UTF-8 has signs in the middle of words.
+_UTF8_ALONE = r"[\u0080-\u00A7\u00A9-\u00B7\u00B9-\u00BF]"
 
 
 def tells_encoding(text: Column) -> Column:
-    """Whether valid UTF-8 that was read as Latin-1 can't be windows-1251 as well; NULL for plain ASCII."""
-    return F.when(text.rlike(r"[^\x00-\x7F]"), ~text.rlike(_BOTH_WAYS))
+    """Whether valid UTF-8 can't be windows-1251 as well; NULL for plain ASCII and for what is not valid."""
+    as_latin1 = F.decode(text.cast("binary"), "ISO-8859-1")
+    return F.when(~_is_ascii(text) & F.is_valid_utf8(text), as_latin1.rlike(_UTF8_ALONE))
 
 
-def utf8_from_latin1(text: Column) -> Column:
-    """Text whose UTF-8 bytes were read as Latin-1, put right."""
-    return _unless_ascii(text, _as_utf8(text))
+def utf8_or_cp1251_by(text: Column, utf8: Column) -> Column:
+    """Text read as Latin-1, put right as UTF-8 where ``utf8`` is true, else as windows-1251."""
+    return _unless_ascii(text, F.when(utf8, latin1_bytes(text)).otherwise(F.translate(text, _AS_LATIN1, _AS_CP1251)))
 
 
 def utf8_or_cp1251(text: Column) -> Column:
@@ -64,7 +66,7 @@ def utf8_or_cp1251(text: Column) -> Column:
 
     Decided for each value by itself; a short windows-1251 value may happen to be valid UTF-8.
     """
-    return F.when(is_utf8(text), utf8_from_latin1(text)).otherwise(cp1251_from_latin1(text))
+    return utf8_or_cp1251_by(text, F.is_valid_utf8(latin1_bytes(text)))
 
 
 def decode_names(names: list[str]) -> list[str]:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
-from functools import reduce
 from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
@@ -12,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.numbers import lenient_double, missing_to_null, number_of, quoted, without_spaces
-from ..functions.text import cp1251_from_latin1, decode_names, is_utf8, tells_encoding, utf8_from_latin1, utf8_or_cp1251
+from ..functions.text import cp1251_from_latin1, decode_names, latin1_bytes, tells_encoding, utf8_or_cp1251, utf8_or_cp1251_by
 from ..operators.clean import drop_incomplete, keep_known, require_columns
 from ..operators.stats import area_stats
 
@@ -65,6 +64,7 @@ def read_delimited(
     """
     schema = options.pop("schema", None)
     decode = _decoder(encoding)
+    given = bool(options)
     options = {**CSV_OPTIONS, **(STRICT_OPTIONS if strict else {}), "sep": sep, **options}
     options["encoding"] = "ISO-8859-1" if decode else encoding
     reader = spark.read.options(**options)
@@ -78,7 +78,9 @@ def read_delimited(
         raw = spark.read.options(**options).schema(hidden).csv(path)
     text = [name for name, kind in raw.dtypes if kind == "string"]
     if decode and text:
-        raw = decode.table(raw, text)
+        # Bytes above ASCII stand in values and nowhere else.
+        same_bytes = strict and not given and text == raw.columns and "".join([sep, *names]).isascii()
+        raw = decode.table(raw, text, spark.read.text(path) if same_bytes else None)
     columns = []
     for name, new in zip(raw.columns, names, strict=True):
         column = F.col(quoted(name))
@@ -87,15 +89,18 @@ def read_delimited(
 
 
 class _Decoder(NamedTuple):
-    """How to put right text that was read as Latin-1: the names of the header, and the columns of a table."""
+    """How to put right text that was read as Latin-1: the names of the header, and the columns of a table.
+
+    A table may come with the lines of its files, if they have the bytes of the values and else ASCII.
+    """
 
     names: Callable[[list[str]], list[str]]
-    table: Callable[[DataFrame, list[str]], DataFrame]
+    table: Callable[[DataFrame, list[str], DataFrame | None], DataFrame]
 
 
 def _decoder(encoding: str) -> _Decoder | None:
-    def each(decode: Callable[[Column], Column]) -> Callable[[DataFrame, list[str]], DataFrame]:
-        return lambda raw, text: raw.withColumns({name: decode(F.col(quoted(name))) for name in text})
+    def each(decode: Callable[[Column], Column]) -> Callable[[DataFrame, list[str], DataFrame | None], DataFrame]:
+        return lambda raw, text, lines: raw.withColumns({name: decode(F.col(quoted(name))) for name in text})
 
     if encoding.lower() in _CP1251_NAMES:
         return _Decoder(lambda names: [name.encode("latin-1").decode("cp1251", "replace") for name in names], each(cp1251_from_latin1))
@@ -106,25 +111,27 @@ def _decoder(encoding: str) -> _Decoder | None:
     return None
 
 
-def _decode_by_file(raw: DataFrame, text: list[str]) -> DataFrame:
+def _decode_by_file(raw: DataFrame, text: list[str], lines: DataFrame | None) -> DataFrame:
     """Text of files that are UTF-8 if all their values are valid, else windows-1251.
 
     Short windows-1251 values may be valid UTF-8. If no value of a valid file tells that it can't be such text, the file
-    could be either, which is an error.
+    could be either, which is an error. Whole lines tell the same as the values of a row, and need no parsing.
     """
-    values = [F.coalesce(F.col(quoted(name)), F.lit("")) for name in text]
-    valid = F.every(reduce(lambda a, b: a & b, map(is_utf8, values)))
-    tells = F.bool_or(F.greatest(F.lit(None).cast("boolean"), *map(tells_encoding, values)))
     file = F.col("_metadata.file_path")
+    if lines is not None:
+        rows = lines.select(file.alias("_in_file"), F.col("value").alias("_bytes"))
+    else:
+        # The values of a row are tested as one: between them ASCII, which is no part of a longer character.
+        values = F.concat_ws("\n", *[F.col(quoted(name)) for name in text])
+        rows = raw.select(file.alias("_in_file"), latin1_bytes(values).alias("_bytes"))
+    valid, tells = F.every(F.is_valid_utf8("_bytes")), F.bool_or(tells_encoding(F.col("_bytes")))
     either = F.raise_error(F.concat(F.col("_in_file"), F.lit(" could be UTF-8 or windows-1251: name its encoding")))
-    by_file = raw.groupBy(file.alias("_in_file")).agg(valid.alias("_valid"), tells.alias("_tells"))
+    by_file = rows.groupBy("_in_file").agg(valid.alias("_valid"), tells.alias("_tells"))
     by_file = by_file.select("_in_file", F.when(F.col("_valid") & ~F.col("_tells"), either).otherwise(F.col("_valid")).alias("_utf8"))
     named = raw.select("*", file.alias("_file"))
-    known = named.join(by_file, F.col("_file") == F.col("_in_file"))  # a row per file
-    decoded = {
-        name: F.when(F.col("_utf8"), utf8_from_latin1(F.col(quoted(name)))).otherwise(cp1251_from_latin1(F.col(quoted(name))))
-        for name in text
-    }
+    # A row per file, which Spark takes for a table as large as the files: it would shuffle all rows by their file.
+    known = named.join(F.broadcast(by_file), F.col("_file") == F.col("_in_file"))
+    decoded = {name: utf8_or_cp1251_by(F.col(quoted(name)), F.col("_utf8")) for name in text}
     return known.withColumns(decoded).drop("_file", "_in_file", "_utf8")
 
 

@@ -83,8 +83,8 @@ def op6_token_counts(spark, sf_dir):
 
 @query
 def op7_suffix_array_dedup(spark, sf_dir):
-    cut = repeats.drop_repeats(documents(spark, sf_dir).select("doc_id", "text"), length=400)
-    return cut.select("row.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    cut = repeats.drop_repeats(documents(spark, sf_dir).select("doc_id", "text"), length=400, shorter=200)
+    return cut.select("row.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), "n_repeated")
 
 
 @query

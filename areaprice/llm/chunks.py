@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from typing import NamedTuple
 
 import numpy as np
@@ -177,16 +177,20 @@ def merged(spans: list[tuple[int, int]]) -> list[dict[str, int]]:
     return runs
 
 
-def without_spans(docs: DataFrame, spans: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def without_spans(
+    docs: DataFrame, spans: DataFrame, id_column: str = "doc_id", text_column: str = "text", more: Sequence[str] = ()
+) -> DataFrame:
     """Each document's bytes without its spans: ``row``, ``n_bytes``, ``n_removed``, ``n_spans``, ``kept`` (binary).
 
     ``spans`` has ``doc_id, text_hash, spans`` once for each text that has any; ``row`` is a struct of the other columns.
+    ``more`` names whole numbers of ``spans`` that are returned too, 0 for texts it does not have.
     """
     others = docs.drop(text_column)
     rows = docs.select(whole_row(others), *keyed(docs, id_column, text_column))
-    known = spans.select(F.col("doc_id").alias("span_id"), F.col("text_hash").alias("span_hash"), "spans")
+    known = spans.select(F.col("doc_id").alias("span_id"), F.col("text_hash").alias("span_hash"), "spans", *more)
     same = F.col("doc_id").eqNullSafe(F.col("span_id")) & (F.col("text_hash") == F.col("span_hash"))
-    joined = rows.join(known, same, "left").select("row", "text", "spans")
+    numbers_too = [F.coalesce(F.col(name), F.lit(0).cast("long")).alias(name) for name in more]
+    joined = rows.join(known, same, "left").select("row", "text", "spans", *numbers_too)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -201,12 +205,13 @@ def without_spans(docs: DataFrame, spans: DataFrame, id_column: str = "doc_id",
                     {
                         "row": part.column("row"),
                         **{name: pa.array(values, pa.int64()) for name, values in numbers.items()},
+                        **{name: part.column(name) for name in more},
                         "kept": pa.array(kept, pa.binary()),
                     }
                 )
 
     schema = StructType([joined.schema["row"]])
-    for name in ("n_bytes", "n_removed", "n_spans"):
+    for name in ("n_bytes", "n_removed", "n_spans", *more):
         schema = schema.add(name, "long")
     return joined.mapInArrow(run, schema.add("kept", "binary"))
 

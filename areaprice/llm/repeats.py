@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import itertools
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from typing import NamedTuple
 
 import numpy as np
@@ -11,10 +11,10 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, StructField, StructType
 
 from ..scratch import stored
-from .chunks import SPAN_TYPE, keyed, merged, merged_spans, without_spans
+from .chunks import SPAN_TYPE, keyed, merged, without_spans
 from .rows import text_slices
 from .suffixes import SuffixArray
 
@@ -30,7 +30,13 @@ ARRAY_BYTES = 1 << 18
 # Bytes of text in a group above which it is settled by hashes of its strings.
 GROUP_BYTES = 1 << 20
 
-SPANS = "array<struct<start:bigint,end:bigint>>"
+# A segment's group and the halves of its digest.
+SEGMENT_KEY = ("mark", "high", "low")
+SEGMENT_COLUMNS = "mark long, high long, low long"
+SPANS_FIELD = StructField("spans", ArrayType(StructType().add("start", "long").add("end", "long")))
+# Spans of repeats by the length of string that they were found for.
+SPANS = "array<struct<length:int,start:bigint,end:bigint>>"
+MARKED_SPANS = pa.list_(pa.struct([("length", pa.int32()), ("start", pa.int64()), ("end", pa.int64())]))
 
 
 def _mark_hashes(data: np.ndarray, size: int = MARK) -> np.ndarray:
@@ -86,46 +92,53 @@ def segments(data: bytes, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray,
     return marks.view(np.int64), first, size, weight
 
 
-def _segment_rows(texts: DataFrame, length: int) -> DataFrame:
-    """``doc_id, text_hash, mark, first, size, weight, digest`` of every segment of every text."""
+def _segment_rows(texts: DataFrame, length: int, longest: int) -> DataFrame:
+    """``doc_id, text_hash, mark, first, size, bytes, weight, high, low`` of every segment of every text.
+
+    ``bytes`` is what the strings of ``longest`` bytes need that start in the segment, as far as the text goes;
+    ``high`` and ``low`` are the halves of the 128-bit digest of these bytes.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh3_128_digest
+        more = longest - 1
         for batch in batches:
             for part, values in text_slices(batch, limit=1 << 20):
                 found = []
+                sizes = []
                 digests = []
                 for text in values:
                     data = text.encode("utf-8", "replace")
                     rows = segments(data, length)
                     found.append(rows)
-                    more = length - 1
+                    sizes.append(np.minimum(rows[2] + more, len(data) - rows[1]))
                     digests += [digest(data[a : a + n + more]) for a, n in zip(rows[1].tolist(), rows[2].tolist(), strict=True)]
                 marks, first, size, weight = (np.concatenate(column) for column in zip(*found, strict=True))
                 taken = pa.array(np.repeat(np.arange(len(found)), [len(rows[0]) for rows in found]))
+                high, low = np.frombuffer(b"".join(digests), dtype="<i8").reshape(-1, 2).T
                 yield pa.RecordBatch.from_pydict(
                     {
                         "doc_id": part.column("doc_id").take(taken),
                         "text_hash": part.column("text_hash").take(taken),
                         "mark": pa.array(marks),
-                        "first": pa.array(first),
-                        "size": pa.array(size),
-                        "weight": pa.array(weight),
-                        "digest": pa.array(digests, pa.binary()),
+                        "first": pa.array(first.astype(np.int32)),
+                        "size": pa.array(size.astype(np.int32)),
+                        "bytes": pa.array(np.concatenate(sizes).astype(np.int32)),
+                        "weight": pa.array(weight.astype(np.int32)),
+                        "high": pa.array(high),
+                        "low": pa.array(low),
                     }
                 )
 
-    schema = StructType([texts.schema["doc_id"], texts.schema["text_hash"]])
-    for name in ("mark", "first", "size", "weight"):
-        schema = schema.add(name, "long")
-    return texts.mapInArrow(run, schema.add("digest", "binary"))
+    schema = StructType([texts.schema["doc_id"], texts.schema["text_hash"]]).add("mark", "long")
+    for name in ("first", "size", "bytes", "weight"):
+        schema = schema.add(name, "integer")
+    return texts.mapInArrow(run, schema.add("high", "long").add("low", "long"))
 
 
-def _distinct_texts(texts: DataFrame, repeated: DataFrame, length: int) -> DataFrame:
-    """``mark, digest, n, text`` of each distinct segment in ``repeated``, read from the document that has it first."""
-    at = F.min(F.struct("doc_id", "text_hash", "first", "size")).alias("at")
-    distinct = repeated.groupBy("mark", "digest").agg(at, F.count(F.lit(1)).alias("n"))
-    wanted = F.collect_list(F.struct("mark", "digest", "n", F.col("at.first"), F.col("at.size"))).alias("wanted")
+def _segment_texts(texts: DataFrame, distinct: DataFrame) -> DataFrame:
+    """``mark, high, low, n, size, text`` of each of the distinct segments, read from the document that has it first."""
+    wanted = F.collect_list(F.struct(*SEGMENT_KEY, "n", "at.first", "at.size", "at.bytes")).alias("wanted")
     by_text = distinct.groupBy(F.col("at.doc_id").alias("in_id"), F.col("at.text_hash").alias("in_hash")).agg(wanted)
     same = F.col("doc_id").eqNullSafe(F.col("in_id")) & (F.col("text_hash") == F.col("in_hash"))
     # Rows that repeat id and text are read once.
@@ -137,15 +150,15 @@ def _distinct_texts(texts: DataFrame, repeated: DataFrame, length: int) -> DataF
                 for text, segs in zip(values, part.column("wanted"), strict=True):
                     data = text.encode("utf-8", "replace")
                     segs = segs.values
-                    spans = zip(segs.field("first").to_pylist(), segs.field("size").to_pylist(), strict=True)
+                    spans = zip(segs.field("first").to_pylist(), segs.field("bytes").to_pylist(), strict=True)
                     yield pa.RecordBatch.from_pydict(
                         {
-                            **{name: segs.field(name) for name in ("mark", "digest", "n")},
-                            "text": pa.array([data[a : a + n + length - 1] for a, n in spans], pa.binary()),
+                            **{name: segs.field(name) for name in (*SEGMENT_KEY, "n", "size")},
+                            "text": pa.array([data[a : a + n] for a, n in spans], pa.binary()),
                         }
                     )
 
-    return found.select("text", "wanted").mapInArrow(run, "mark long, digest binary, n long, text binary")
+    return found.select("text", "wanted").mapInArrow(run, f"{SEGMENT_COLUMNS}, n long, size int, text binary")
 
 
 class _Groups:
@@ -199,10 +212,26 @@ def _arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
 
 
 def shared_runs(texts: list[bytes], length: int) -> list[tuple[int, int, bytes]]:
-    """Runs of consecutive strings of ``length`` bytes that may occur twice in the texts: text number, first, bytes.
+    """Runs of consecutive strings of ``length`` bytes that may occur twice in the texts: text number, first, bytes."""
+    starts = np.array([max(0, len(text) - length + 1) for text in texts], dtype=np.int64)
+    return [(run.row, run.first, texts[run.row][run.first : run.end]) for run in _shared_runs(texts, [length], starts)]
+
+
+class _Run(NamedTuple):
+    """Consecutive strings of one text: its number, the first of them and how many, and the end of their bytes."""
+
+    row: int
+    first: int
+    size: int
+    end: int
+
+
+def _shared_runs(texts: list[bytes], lengths: Sequence[int], starts: np.ndarray) -> list[_Run]:
+    """Runs of strings of the first length that may occur twice, of those among the first ``starts`` of each text.
 
     A rolling hash of every string, from running sums, tells those that occur once. What it lets through is left
-    to the suffix array, which so gets the repeated parts and not all their surroundings.
+    to the suffix array, which so gets the repeated parts and not all their surroundings. A run goes on for strings
+    of the greater ``lengths`` only as far as these may occur twice.
     """
     sizes = np.array([len(text) for text in texts], dtype=np.int64)
     data = np.frombuffer(b"".join(texts), dtype=np.uint8)
@@ -211,151 +240,219 @@ def shared_runs(texts: list[bytes], length: int) -> list[tuple[int, int, bytes]]
     powers = np.cumprod(np.full(n, FACTOR, dtype=np.uint64))
     sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(values * powers)])
     ends = np.cumsum(sizes)
-    remaining = np.repeat(ends, sizes) - np.arange(n)
-    first = np.flatnonzero(remaining >= length)
-    if len(first) < 2:
-        return []
-    # Moved to a common power: what stands in front of a string doesn't matter.
-    hashes = (sums[first + length] - sums[first]) * powers[n - 1 - first]
-    order = np.argsort(hashes)
-    equal = hashes[order[1:]] == hashes[order[:-1]]
-    twice = np.zeros(len(first), dtype=bool)
-    twice[order[1:][equal]] = True
-    twice[order[:-1][equal]] = True
-    first = first[twice]
-    owner = ends.searchsorted(first, side="right")
+    first = np.flatnonzero(np.arange(n) < np.repeat(ends - sizes + starts, sizes))
+    owner = np.repeat(np.arange(len(texts)), starts)
+    for length in lengths:
+        long = np.flatnonzero(first + length <= ends[owner])
+        # Moved to a common power: what stands in front of a string doesn't matter.
+        hashes = (sums[first[long] + length] - sums[first[long]]) * powers[n - 1 - first[long]]
+        order = np.argsort(hashes)
+        equal = hashes[order[1:]] == hashes[order[:-1]]
+        twice = np.zeros(len(first), dtype=bool)
+        twice[long[order[1:][equal]]] = True
+        twice[long[order[:-1][equal]]] = True
+        if length == lengths[0]:
+            first, owner = first[twice], owner[twice]
+            reach = first + length
+        else:
+            reach[twice] = first[twice] + length
     if not len(first):
         return []
     begins = np.flatnonzero(np.append(True, (np.diff(first) != 1) | (np.diff(owner) != 0)))
-    stops = np.append(begins[1:], len(first)) - 1
-    found = []
-    for begin, stop in zip(begins.tolist(), stops.tolist(), strict=True):
-        row = int(owner[begin])
-        at = int(first[begin] - (ends[row] - sizes[row]))
-        found.append((row, at, texts[row][at : at + int(first[stop] - first[begin]) + length]))
-    return found
+    rows = owner[begins]
+    before = (ends - sizes)[rows]
+    columns = rows, first[begins] - before, np.diff(np.append(begins, len(first))), np.maximum.reduceat(reach, begins) - before
+    return [_Run(*run) for run in zip(*(column.tolist() for column in columns), strict=True)]
 
 
 class _Repeats:
-    """Maximal repeats among distinct segments, in the suffix array of the runs that may repeat."""
+    """Maximal repeats among distinct segments, in the suffix array of the runs that may repeat.
+
+    ``sizes`` is the number of strings of the first of the ``lengths`` that start in each segment. Its bytes go on as
+    far as strings of the last one need; strings that start there belong to other segments.
+    """
 
-    def __init__(self, texts: list[bytes], length: int) -> None:
-        self.length = length
-        self.runs = shared_runs(texts, length)
-        self.array = SuffixArray([text for _, _, text in self.runs], length)
+    def __init__(self, texts: list[bytes], sizes: list[int], lengths: Sequence[int]) -> None:
+        self.lengths = lengths
+        self.runs = _shared_runs(texts, lengths, np.array(sizes, dtype=np.int64))
+        parts = [texts[run.row][run.first : run.end] for run in self.runs]
+        self.array = SuffixArray(parts, lengths[0], [run.size for run in self.runs])
 
     def groups(self) -> Iterator[tuple[int, list[tuple[int, int]]]]:
         """Length, and the (segment, place in it) of all occurrences, of every maximal repeat."""
-        for size, places in self.array.repeats(self.length):
+        for size, places in self.array.repeats(self.lengths[0]):
             numbers = self.array.starts.searchsorted(places, side="right") - 1
             offsets = (places - self.array.starts[numbers]).tolist()
-            yield size, [(self.runs[i][0], self.runs[i][1] + offset) for i, offset in zip(numbers.tolist(), offsets, strict=True)]
+            yield size, [(self.runs[i].row, self.runs[i].first + offset) for i, offset in zip(numbers.tolist(), offsets, strict=True)]
+
+    def covered(self) -> Iterator[tuple[int, int, int, int]]:
+        """Segment, length, start and end of the bytes covered by occurrences of at least each of the lengths.
 
-    def covered(self) -> Iterator[tuple[int, int, int]]:
-        """Segment, start and end of the bytes that occurrences cover: of those at one place, the longest counts."""
+        Of occurrences at one place, the longest counts.
+        """
         n = len(self.array.data)
         reach = np.zeros(n, dtype=np.int64)
-        for size, places in self.array.repeats(self.length):
+        for size, places in self.array.repeats(self.lengths[0]):
             reach[places] = np.maximum(reach[places], size)
-        at = np.flatnonzero(reach)
-        change = np.zeros(n + 1, dtype=np.int64)
-        np.add.at(change, at, 1)
-        np.add.at(change, at + reach[at], -1)
-        inside = np.cumsum(change)[:n] > 0
         first = np.zeros(n, dtype=bool)
         first[self.array.starts] = True
-        begins = np.flatnonzero(inside & (first | ~np.append(False, inside[:-1])))
-        stops = np.flatnonzero(inside & np.append(first[1:] | ~inside[1:], True)) + 1
-        numbers = self.array.starts.searchsorted(begins, side="right") - 1
-        for number, begin, stop in zip(numbers.tolist(), begins.tolist(), stops.tolist(), strict=True):
-            row, moved, _ = self.runs[number]
-            moved -= int(self.array.starts[number])
-            yield row, begin + moved, stop + moved
+        for length in self.lengths:
+            at = np.flatnonzero(reach >= length)
+            change = np.zeros(n + 1, dtype=np.int64)
+            np.add.at(change, at, 1)
+            np.add.at(change, at + reach[at], -1)
+            inside = np.cumsum(change)[:n] > 0
+            begins = np.flatnonzero(inside & (first | ~np.append(False, inside[:-1])))
+            stops = np.flatnonzero(inside & np.append(first[1:] | ~inside[1:], True)) + 1
+            numbers = self.array.starts.searchsorted(begins, side="right") - 1
+            for number, begin, stop in zip(numbers.tolist(), begins.tolist(), stops.tolist(), strict=True):
+                moved = self.runs[number].first - int(self.array.starts[number])
+                yield self.runs[number].row, length, begin + moved, stop + moved
+
+
+def _marked(spans: list[tuple[int, int, int]]) -> list[dict[str, int]]:
+    """Spans (length, start, end) joined where those of one length touch."""
+    by_length = itertools.groupby(sorted(spans), key=lambda span: span[0])
+    return [{"length": length, **run} for length, own in by_length for run in merged([span[1:] for span in own])]
+
+
+def _covered_whole(copies: DataFrame, lengths: Sequence[int]) -> DataFrame:
+    """``mark, high, low, spans`` of segments that occur twice: they are repeats as a whole."""
+    ends = [F.least("at.bytes", F.col("at.size") + (length - 1)) for length in lengths]
+    spans = F.array(
+        *[
+            F.struct(F.lit(length).alias("length"), F.lit(0).cast("long").alias("start"), end.cast("long").alias("end"))
+            for length, end in zip(lengths, ends, strict=True)
+        ]
+    )
+    return copies.select(*SEGMENT_KEY, F.filter(spans, lambda span: span["end"] >= span["length"]).alias("spans"))
 
 
-def _covered(distinct: DataFrame, length: int) -> DataFrame:
-    """``mark, digest, spans``: bytes of each distinct segment that a repeat covers."""
+def _covered(distinct: DataFrame, lengths: Sequence[int]) -> DataFrame:
+    """``mark, high, low, spans``: bytes of each distinct segment that a repeat covers, by length."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _arrays(batches):
-            texts, times = table.column("text").to_pylist(), table.column("n").to_pylist()
-            # A segment that occurs twice is a repeat as a whole.
-            spans = {row: [(0, len(text))] for row, (text, n) in enumerate(zip(texts, times, strict=True)) if n > 1}
-            for row, start, end in _Repeats(texts, length).covered():
-                spans.setdefault(row, []).append((start, end))
+            texts, sizes, times = (table.column(name).to_pylist() for name in ("text", "size", "n"))
+            spans: dict[int, list[tuple[int, int, int]]] = {}
+            for row, (text, size, n) in enumerate(zip(texts, sizes, times, strict=True)):
+                # A segment that occurs twice is a repeat as a whole.
+                ends = [(length, min(len(text), size + length - 1)) for length in lengths] if n > 1 else []
+                for length, end in ends:
+                    if end >= length:
+                        spans.setdefault(row, []).append((length, 0, end))
+            for row, *span in _Repeats(texts, sizes, lengths).covered():
+                spans.setdefault(row, []).append(tuple(span))
             if spans:
-                rows = table.select(["mark", "digest"]).take(pa.array(list(spans)))
-                found = pa.array([merged(sorted(own)) for own in spans.values()], SPAN_TYPE)
+                rows = table.select(SEGMENT_KEY).take(pa.array(list(spans)))
+                found = pa.array([_marked(own) for own in spans.values()], MARKED_SPANS)
                 yield from rows.append_column("spans", found).combine_chunks().to_batches()
 
     dealt = distinct.repartition("mark").sortWithinPartitions("mark")
-    return dealt.mapInArrow(run, f"mark long, digest binary, spans {SPANS}")
+    return dealt.mapInArrow(run, f"{SEGMENT_COLUMNS}, spans {SPANS}")
 
 
-def _covered_in_large(distinct: DataFrame, length: int) -> DataFrame:
+def _covered_in_large(distinct: DataFrame, lengths: Sequence[int]) -> DataFrame:
     """What :func:`_covered` gives, for groups too large for one array, from counts of their strings' hashes."""
 
     def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh3_128_digest
         for batch in batches:
-            columns = (batch.column(name).to_pylist() for name in ("mark", "digest", "n", "text"))
-            for mark, own, n, text in zip(*columns, strict=True):
-                size = len(text) - length + 1
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "string": pa.array([digest(text[i : i + length]) for i in range(size)], pa.binary()),
-                        "mark": pa.array([mark] * size, pa.int64()),
-                        "digest": pa.array([own] * size, pa.binary()),
-                        "n": pa.array([n] * size, pa.int64()),
-                        "start": pa.array(range(size), pa.int64()),
-                    }
-                )
+            columns = (batch.column(name).to_pylist() for name in (*SEGMENT_KEY, "n", "size", "text"))
+            for mark, high, low, n, starts, text in zip(*columns, strict=True):
+                for length in lengths:
+                    size = max(0, min(starts, len(text) - length + 1))
+                    yield pa.RecordBatch.from_pydict(
+                        {
+                            "string": pa.array([digest(text[i : i + length]) for i in range(size)], pa.binary()),
+                            "mark": pa.array([mark] * size, pa.int64()),
+                            "high": pa.array([high] * size, pa.int64()),
+                            "low": pa.array([low] * size, pa.int64()),
+                            "n": pa.array([n] * size, pa.int64()),
+                            "length": pa.array([length] * size, pa.int32()),
+                            "start": pa.array(range(size), pa.int64()),
+                        }
+                    )
 
-    found = stored(distinct.mapInArrow(strings, "string binary, mark long, digest binary, n long, start long"))
+    found = stored(distinct.mapInArrow(strings, f"string binary, {SEGMENT_COLUMNS}, n long, length int, start long"))
     again = found.groupBy("string").agg(F.sum("n").alias("times")).where("times > 1").drop("times")
-    span = F.struct("start", (F.col("start") + length).alias("end"))
-    spans = found.join(again, "string").groupBy("mark", "digest").agg(F.array_sort(F.collect_list(span)).alias("spans"))
-    return merged_spans(spans)
+    span = F.struct("length", "start", (F.col("start") + F.col("length")).alias("end"))
+    spans = found.join(again, "string").groupBy(*SEGMENT_KEY).agg(F.collect_list(span).alias("spans"))
+
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            runs = [_marked([tuple(span.values()) for span in own]) for own in batch.column("spans").to_pylist()]
+            yield batch.set_column(batch.schema.get_field_index("spans"), "spans", pa.array(runs, MARKED_SPANS))
+
+    return spans.mapInArrow(joined, f"{SEGMENT_COLUMNS}, spans {SPANS}")
 
 
 class _Segments(NamedTuple):
-    """Segments of groups with two or more: where they are, and the distinct ones with their texts."""
+    """Segments of groups with two or more: where they are, and the distinct ones, with one place of ``n`` and their group's ``kinds``."""
 
     placed: DataFrame
     distinct: DataFrame
 
 
-def _find_segments(texts: DataFrame, length: int) -> _Segments:
-    table = stored(_segment_rows(texts, length))
+def _find_segments(texts: DataFrame, length: int, longest: int) -> _Segments:
+    table = stored(_segment_rows(texts, length, longest))
     groups = table.groupBy("mark").agg(F.sum("weight").alias("weight")).where("weight > 1").select("mark")
     placed = stored(table.join(groups, "mark").drop("weight"))
-    return _Segments(placed, stored(_distinct_texts(texts, placed, length)))
+    at = F.min(F.struct("doc_id", "text_hash", "first", "size", "bytes")).alias("at")
+    distinct = stored(placed.groupBy(*SEGMENT_KEY).agg(at, F.count(F.lit(1)).alias("n")))
+    kinds = distinct.groupBy("mark").agg(F.count(F.lit(1)).alias("kinds"))
+    return _Segments(placed, distinct.join(kinds, "mark"))
 
 
-def repeated_spans(docs: DataFrame, length: int = LENGTH, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def repeated_spans(
+    docs: DataFrame, length: int = LENGTH, id_column: str = "doc_id", text_column: str = "text", shorter: int | None = None
+) -> DataFrame:
     """``doc_id, text_hash, spans``: the bytes of each text that lie in a string of ``length`` bytes found twice.
 
-    Every string of ``length`` bytes belongs to the group of its least mark (a hash of ``MARK`` bytes), and equal
-    strings to the same one. So texts fall into segments, runs of strings of one group, and only segments of groups
-    with two or more are looked at. Equal segments are counted, not compared; the distinct ones of a group come
-    together; runs of their strings that may repeat go into an enhanced suffix array, whose scan gives the maximal
-    repeats with all their occurrences. Groups whose distinct segments are more than ``GROUP_BYTES`` are settled by
-    counting their strings' 128-bit hashes, spread over all tasks. Matches never cross documents.
+    With ``shorter``, a length too, the texts with a string of that many bytes found twice are returned, and
+    ``n_repeated`` is the number of bytes of them that such strings cover; ``spans`` may be empty.
+
+    Every string of the least of these lengths belongs to the group of its least mark (a hash of ``MARK`` bytes),
+    and equal strings to the same one. So texts fall into segments, runs of strings of one group, and only segments
+    of groups with two or more are looked at. A segment has the bytes that strings of the greatest length need which
+    start in it, so these meet in the group of their beginning. Equal segments are counted, not compared, and those
+    of a group with no others are never read; the distinct ones of other groups come together, and runs of their
+    strings that may repeat go into an enhanced suffix array, whose scan gives the maximal repeats with all their
+    occurrences. Groups whose distinct segments are more than ``GROUP_BYTES`` are settled by counting their strings'
+    128-bit hashes, spread over all tasks. Matches never cross documents.
     """
-    placed, distinct = _find_segments(docs.select(*keyed(docs, id_column, text_column)), length)
+    lengths = sorted({length, length if shorter is None else shorter})
+    texts = docs.select(*keyed(docs, id_column, text_column))
+    placed, found = _find_segments(texts, lengths[0], lengths[-1])
+    alone = (F.col("kinds") == 1) & (F.col("n") > 1)
+    distinct = stored(_segment_texts(texts, found.where(~alone)))
     sizes = distinct.groupBy("mark").agg(F.sum(F.octet_length("text")).alias("bytes"))
     large = stored(sizes.where(F.col("bytes") > GROUP_BYTES).select("mark"))
     if large.isEmpty():
-        covered = _covered(distinct, length)
+        covered = _covered(distinct, lengths)
     else:
-        small = _covered(distinct.join(large, "mark", "left_anti"), length)
-        covered = small.unionByName(_covered_in_large(distinct.join(large, "mark", "left_semi"), length))
+        small = _covered(distinct.join(large, "mark", "left_anti"), lengths)
+        covered = small.unionByName(_covered_in_large(distinct.join(large, "mark", "left_semi"), lengths))
+    covered = covered.unionByName(_covered_whole(found.where(alone), lengths))
+    first = F.col("first").cast("long")
     shift = F.transform(
-        "spans", lambda s: F.struct((s["start"] + F.col("first")).alias("start"), (s["end"] + F.col("first")).alias("end"))
+        "spans", lambda s: F.struct(s["length"].alias("length"), (s["start"] + first).alias("start"), (s["end"] + first).alias("end"))
     )
-    found = placed.join(covered, ["mark", "digest"]).select("doc_id", "text_hash", shift.alias("spans"))
-    by_text = found.groupBy("doc_id", "text_hash").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"))
-    return merged_spans(by_text)
+    moved = placed.join(covered, list(SEGMENT_KEY)).select("doc_id", "text_hash", shift.alias("spans"))
+    by_text = moved.groupBy("doc_id", "text_hash").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            runs = [_marked([tuple(span.values()) for span in own]) for own in batch.column("spans").to_pylist()]
+            spans = [[{"start": s["start"], "end": s["end"]} for s in own if s["length"] == length] for own in runs]
+            columns = {"doc_id": batch.column("doc_id"), "text_hash": batch.column("text_hash"), "spans": pa.array(spans, SPAN_TYPE)}
+            if shorter is not None:
+                repeated = [sum(s["end"] - s["start"] for s in own if s["length"] == shorter) for own in runs]
+                columns["n_repeated"] = pa.array(repeated, pa.int64())
+            yield pa.RecordBatch.from_pydict(columns)
+
+    schema = StructType([texts.schema["doc_id"], texts.schema["text_hash"], SPANS_FIELD])
+    return by_text.mapInArrow(run, schema if shorter is None else schema.add("n_repeated", "long"))
 
 
 def repeat_groups(docs: DataFrame, length: int = LENGTH, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -364,34 +461,42 @@ def repeat_groups(docs: DataFrame, length: int = LENGTH, id_column: str = "doc_i
     ``repeat`` is the hash of the string, ``size`` its bytes. A repeat that is longer than the segments it lies in is
     reported in parts, one per segment. One row per occurrence; a string within longer repeats has rows of its own.
     """
-    placed, distinct = _find_segments(docs.select(*keyed(docs, id_column, text_column)), length)
+    texts = docs.select(*keyed(docs, id_column, text_column))
+    placed, found = _find_segments(texts, length, length)
+    distinct = _segment_texts(texts, found)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh3_128_digest
         for table in _arrays(batches):
-            texts, times = table.column("text").to_pylist(), table.column("n").to_pylist()
+            texts, sizes, times = (table.column(name).to_pylist() for name in ("text", "size", "n"))
             whole = ((len(text), [(row, 0)]) for row, (text, n) in enumerate(zip(texts, times, strict=True)) if n > 1)
-            for size, places in itertools.chain(whole, _Repeats(texts, length).groups()):
+            for size, places in itertools.chain(whole, _Repeats(texts, sizes, [length]).groups()):
                 rows, offsets = zip(*places, strict=True)
                 name = digest(texts[rows[0]][offsets[0] : offsets[0] + size])
-                found = table.select(["mark", "digest"]).take(pa.array(rows)).combine_chunks()
+                found = table.select(SEGMENT_KEY).take(pa.array(rows)).combine_chunks()
                 found = found.append_column("repeat", pa.array([name] * len(rows), pa.binary()))
                 found = found.append_column("size", pa.array([size] * len(rows), pa.int64()))
                 yield from found.append_column("offset", pa.array(offsets, pa.int64())).to_batches()
 
     dealt = distinct.repartition("mark").sortWithinPartitions("mark")
-    found = dealt.mapInArrow(run, "mark long, digest binary, repeat binary, size long, offset long")
+    found = dealt.mapInArrow(run, f"{SEGMENT_COLUMNS}, repeat binary, size long, offset long")
     start = (F.col("first") + F.col("offset")).alias("start")
-    placed = placed.drop("size").join(found, ["mark", "digest"])
+    placed = placed.drop("size").join(found, list(SEGMENT_KEY))
     return placed.select("repeat", "size", "doc_id", "text_hash", start).distinct()
 
 
-def drop_repeats(docs: DataFrame, length: int = LENGTH, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def drop_repeats(
+    docs: DataFrame, length: int = LENGTH, id_column: str = "doc_id", text_column: str = "text", shorter: int | None = None
+) -> DataFrame:
     """Every document without the bytes that lie in a string of ``length`` bytes that starts anywhere else too.
 
     Returns ``row`` (a struct of the document's other columns), ``n_bytes``, ``n_removed``, ``n_spans`` (maximal runs
     that go) and ``kept`` (what is left of the text's UTF-8 bytes). All occurrences go, the first as well; strings
     are judged on the input. A null or empty text, and one shorter than ``length``, loses nothing, unless it
     repeats inside itself. Rows that repeat id and text are occurrences of each other; an empty table gives no rows.
+
+    With ``shorter``, a length too, ``n_repeated`` tells how many bytes lie in a string of that many bytes that starts
+    anywhere else too, so that shorter passages are seen; none of them goes for that. Both come from one search.
     """
-    return without_spans(docs, repeated_spans(docs, length, id_column, text_column), id_column, text_column)
+    spans = repeated_spans(docs, length, id_column, text_column, shorter)
+    return without_spans(docs, spans, id_column, text_column, [] if shorter is None else ["n_repeated"])

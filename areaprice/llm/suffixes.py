@@ -13,19 +13,24 @@ FIRST = 7
 class SuffixArray:
     """Suffixes of at least ``least`` bytes of the given texts in lexical order, built by prefix doubling.
 
+    With ``counts``, those that start among so many first bytes of each text, at least ``least`` bytes long as well.
+
     ``order`` has their positions in the concatenated texts, ``common`` the length of the prefix that each shares
     with the one before (0 for the first), ``left`` the byte before each, negative and unique at the start of a
     text. No suffix reaches beyond its text.
     """
 
-    def __init__(self, texts: Sequence[bytes], least: int) -> None:
+    def __init__(self, texts: Sequence[bytes], least: int, counts: Sequence[int] | None = None) -> None:
         sizes = np.array([len(text) for text in texts], dtype=np.int64)
         n = int(sizes.sum())
         self.starts = np.cumsum(sizes) - sizes
         self.data = np.frombuffer(b"".join(texts), dtype=np.uint8)
         self.remaining = np.repeat(self.starts + sizes, sizes) - np.arange(n)
-        self.levels = list(self._ranks(n, int(sizes.max(initial=0))))
-        places = np.flatnonzero(self.remaining >= least)
+        wanted = self.remaining >= least
+        if counts is not None:
+            wanted &= np.arange(n) < np.repeat(self.starts + np.array(counts, dtype=np.int64), sizes)
+        places = np.flatnonzero(wanted)
+        self.levels = list(self._ranks(wanted, int(sizes.max(initial=0))))
         self.order = places[np.argsort(self.levels[-1][1][places], kind="stable")] if len(places) else places
         self.common = np.zeros(len(places), dtype=np.int64)
         if len(places) > 1:
@@ -35,24 +40,40 @@ class SuffixArray:
         left[self.starts[sizes > 0]] = -1 - np.arange(int((sizes > 0).sum()))
         self.left = left[self.order]
 
-    def _ranks(self, n: int, longest: int) -> Iterator[tuple[int, np.ndarray]]:
-        """Ranks of all suffixes by their first 7, 14, 28, ... bytes, until that is more than the longest text."""
+    def _ranks(self, wanted: np.ndarray, longest: int) -> Iterator[tuple[int, np.ndarray]]:
+        """Ranks of suffixes by their first 7, 14, 28, ... bytes, until that is more than the longest text.
+
+        The last ranks are those of the wanted suffixes; each level has besides them the suffixes that start where
+        its bytes end, for which the level before is asked.
+        """
+        n = len(wanted)
         padded = np.zeros(n + FIRST, dtype=np.uint64)
         padded[:n] = self.data
         shown = np.minimum(self.remaining, FIRST)
         key = np.zeros(n, dtype=np.uint64)
         for i in range(FIRST):
             key = (key << np.uint64(8)) | np.where(shown > i, padded[i : n + i], np.uint64(0))
-        rank = np.unique((key << np.uint64(8)) | shown.astype(np.uint64), return_inverse=True)[1]
-        size = FIRST
-        yield size, rank.astype(np.int32)
-        while size < longest:
-            after = np.zeros(n, dtype=np.int64)
-            inside = np.flatnonzero(self.remaining > size)
-            after[inside] = rank[inside + size] + 1
-            rank = np.unique(rank.astype(np.int64) * (n + 1) + after, return_inverse=True)[1]
-            size *= 2
-            yield size, rank.astype(np.int32)
+        sizes = [FIRST]
+        while sizes[-1] < longest:
+            sizes.append(2 * sizes[-1])
+        asked = [np.flatnonzero(wanted)]
+        for size in reversed(sizes[:-1]):
+            wanted = wanted.copy()
+            wanted[asked[-1][self.remaining[asked[-1]] > size] + size] = True
+            asked.append(np.flatnonzero(wanted))
+        rank = np.zeros(n, dtype=np.int32)
+        places = asked.pop()
+        rank[places] = _ranked((key << np.uint64(8) | shown.astype(np.uint64))[places])
+        yield FIRST, rank
+        for size in sizes[:-1]:
+            places = asked.pop()
+            after = np.zeros(len(places), dtype=np.int64)
+            inside = np.flatnonzero(self.remaining[places] > size)
+            after[inside] = rank[places[inside] + size] + 1
+            found = _ranked(rank[places].astype(np.int64) * (n + 1) + after, (n + 1) ** 2)
+            rank = np.zeros(n, dtype=np.int32)
+            rank[places] = found
+            yield 2 * size, rank
 
     def _common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Length of the common prefix of pairs of suffixes, from the ranks of ever shorter prefixes."""
@@ -100,3 +121,17 @@ def _intervals(common: list[int]) -> Iterator[tuple[int, int, int]]:
             yield closed, first, place
         if not stack or stack[-1][0] < length:
             stack.append((length, first))
+
+
+def _ranked(keys: np.ndarray, bound: int = 1 << 64) -> np.ndarray:
+    """Dense rank of each key, all below ``bound``; keys that leave room for their places are sorted along with these."""
+    bits = len(keys).bit_length()
+    if bound << bits <= 1 << 63:
+        both = np.sort((keys << bits) | np.arange(len(keys)))
+        order, found = both & ((1 << bits) - 1), both >> bits
+    else:
+        order = np.argsort(keys)
+        found = keys[order]
+    ranks = np.zeros(len(keys), dtype=np.int32)
+    ranks[order[1:]] = np.cumsum(found[1:] != found[:-1])
+    return ranks

@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from areaprice.llm import chunks, repeats
+from areaprice.llm import catalog, chunks, repeats
 from areaprice.llm.suffixes import SuffixArray
 from areaprice.scratch import stored
 
@@ -105,6 +105,53 @@ def test_repeats_against_brute_force(docs, rows, monkeypatch, length, group_byte
     assert sum(r.n_removed for r in found) > 1000
 
 
+@pytest.mark.parametrize("length, shorter, group_bytes", [(400, 200, 1 << 20), (400, 200, 1), (200, 100, 5000), (100, 300, 5000), (150, 150, 1)])
+def test_bytes_in_shorter_repeats_against_brute_force(docs, rows, monkeypatch, length, shorter, group_bytes):
+    monkeypatch.setattr(repeats, "GROUP_BYTES", group_bytes)
+    texts = [r[1] for r in rows]
+    both = zip(rows, removed_by_brute_force(texts, length), removed_by_brute_force(texts, shorter), strict=True)
+    expected = Counter((row[0], *rest, short[1]) for row, rest, short in both)
+    found = repeats.drop_repeats(docs, length, shorter=shorter).collect()
+    assert Counter((r.row.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept), r.n_repeated) for r in found) == expected
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_shorter_repeats_of_near_copies(spark, monkeypatch, seed):
+    rng = random.Random(300 + seed)
+    noise = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    pool = [noise(rng.randint(90, 420)) for _ in range(12)] + ["z" * 700, "ab" * 300]
+    texts = ["".join(rng.choice(pool) if rng.random() < 0.6 else noise(rng.randint(1, 150)) for _ in range(rng.randint(1, 7))) for _ in range(60)]
+    texts += [text[:n] + "!" + text[n + 1 :] for text in texts[:20] for n in [rng.randrange(len(text))]]
+    monkeypatch.setattr(repeats, "GROUP_BYTES", rng.choice([1 << 20, 3000]))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.row.doc_id: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept), r.n_repeated) for r in repeats.drop_repeats(docs, shorter=200).collect()}
+    both = zip(removed_by_brute_force(texts, 400), removed_by_brute_force(texts, 200), strict=True)
+    assert found == {i: (*long, short[1]) for i, (long, short) in enumerate(both)}
+    assert sum(f[4] for f in found.values()) > sum(f[1] for f in found.values()) > 0
+
+
+def test_op7_tells_passages_of_over_50_words(spark, tmp_path):
+    rng = random.Random(31)
+    noise = lambda n: " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 8))) for _ in range(n))
+    passages = [noise(51) for _ in range(20)]
+    texts = [f"{noise(40)} {passage} {noise(40)}" for passage in passages * 2] + [noise(120) for _ in range(20)]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    found = {r.doc_id: r for r in catalog.QUERIES["op7_suffix_array_dedup"](spark, str(tmp_path)).collect()}
+    assert all(found[i].n_removed == 0 and len(passages[i % 20]) <= found[i].n_repeated <= len(passages[i % 20]) + 4 for i in range(40))
+    assert not any(found[i].n_removed or found[i].n_repeated for i in range(40, 60))
+
+
+def test_texts_of_copies_are_not_read_again(spark, monkeypatch):
+    asked = []
+    read = repeats._segment_texts
+    monkeypatch.setattr(repeats, "_segment_texts", lambda texts, distinct: asked.append(distinct) or read(texts, distinct))
+    rng = random.Random(9)
+    texts = ["".join(rng.choice("abcdefgh ") for _ in range(3000)) for _ in range(6)]
+    docs = spark.createDataFrame(list(enumerate(texts * 3)), "doc_id long, text string")
+    assert all(r.n_removed == r.n_repeated == 3000 for r in repeats.drop_repeats(docs, shorter=200).collect())
+    assert asked[0].count() == 0
+
+
 def test_repeat_groups_have_all_occurrences(spark):
     rng = random.Random(8)
     noise = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
